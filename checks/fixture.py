@@ -6,7 +6,6 @@ The same SQL builds it on both engines; only the date format function differs.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +13,7 @@ from longreg.operators.history import create_backbone
 from longreg.operators.link import MatchPass
 from longreg.operators.shape import LINEAGE
 from longreg.plans.standardise import standardise
+from longreg.sources.tables import stage
 from longreg.specs.model import CodeMap, SourceSpec
 
 SECRET = "oracle-test-secret"
@@ -107,14 +107,29 @@ def register(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(sql, **{n: table(spark, sf, n) for n in names})
 
 
-def wave(spark: SparkSession, sf: str, day: dt.date) -> DataFrame:
+def standardised(spark: SparkSession, sf: str, day: dt.date) -> DataFrame:
     raw = register(spark, sf).where(F.col("wave_date") == F.lit(day)).drop("wave_date")
     return standardise(raw, SPEC, source=SOURCE, wave_date=day, file_id=FILES[day],
                        loaded_on=LOADED[day], secret=SECRET, code_tables={"countries": COUNTRIES})
 
 
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def _staged(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """Silver tables of the fixture, written once per application as the jobs do."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STAGED:
+        _STAGED[key] = stage(build(), name)
+    return _STAGED[key]
+
+
+def wave(spark: SparkSession, sf: str, day: dt.date) -> DataFrame:
+    return _staged(spark, sf, f"wave-{day}", lambda: standardised(spark, sf, day))
+
+
 def both_waves(spark: SparkSession, sf: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [wave(spark, sf, d) for d in (WAVE_1, WAVE_2)])
+    return wave(spark, sf, WAVE_1).unionByName(wave(spark, sf, WAVE_2))
 
 
 def checked_first_wave(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,4 +137,5 @@ def checked_first_wave(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backbone(spark: SparkSession, sf: str) -> DataFrame:
-    return checked_first_wave(spark, sf).where("is_valid").drop("is_valid")
+    checked = _staged(spark, sf, "backbone", lambda: checked_first_wave(spark, sf))
+    return checked.where("is_valid").drop("is_valid")

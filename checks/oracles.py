@@ -226,10 +226,13 @@ def first_of(c, where="TRUE"):
     return f"first_value(CASE WHEN {where} THEN {c} END IGNORE NULLS) OVER ({SITE_W})"
 
 
+NONBLANK = "nullif(trim({}), '')"
+
+
 def _k_of_n(with_file):
     older = f"file_id <> '{F2}'" if with_file else "TRUE"
     ev = (ADDRESS, "code_sbi_1", NAME)
-    firsts = ", ".join(f"{first_of(f'nullif(trim({c}), '')', older)} AS f{i}" for i, c in enumerate(ev))
+    firsts = ", ".join(f"{first_of(NONBLANK.format(c), older)} AS f{i}" for i, c in enumerate(ev))
     score = " + ".join(f"CASE WHEN trim({c}) = f{i} THEN 1 ELSE 0 END" for i, c in enumerate(ev))
     taker = f"agrees AND file_id = '{F2}'" if with_file else "agrees"
     stamp = (f"CASE WHEN {KEYED} AND {older} AND n_current > 0 THEN {AS_OF} END" if with_file else "CAST(NULL AS DATE)")
@@ -255,7 +258,7 @@ def _numeric(table, cols):
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
         # Population skewness from central moments.
-        out.append(f"""SELECT '{c}' AS column, round(avg({x}), 3) AS mean, round(median({x}), 3) AS median,
+        out.append(f"""SELECT '{c}' AS "column", round(avg({x}), 3) AS mean, round(median({x}), 3) AS median,
   round(stddev_samp({x}), 3) AS stddev,
   round((SELECT avg(pow({x} - m, 3)) / pow(avg(pow({x} - m, 2)), 1.5) FROM {table}, (SELECT avg({x}) AS m FROM {table})), 3) AS skewness,
   count(*) - count({c}) AS null_count FROM {table}""")
@@ -263,23 +266,23 @@ def _numeric(table, cols):
 
 
 def _strings(table, cols):
-    return [f"SELECT '{c}' AS column, count(DISTINCT {c}) AS distinct_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM {table}"
+    return [f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM {table}"
             for c in cols]
 
 
 def _stats(numeric, strings, other, types, order, table):
-    rows = [f"SELECT column, mean, median, stddev, skewness, CAST(NULL AS BIGINT) AS distinct_count, null_count FROM ({s})"
+    rows = [f"SELECT \"column\", mean, median, stddev, skewness, CAST(NULL AS BIGINT) AS distinct_count, null_count FROM ({s})"
             for s in numeric]
-    rows += [f"SELECT column, NULL, NULL, NULL, NULL, distinct_count, null_count FROM ({s})" for s in strings]
+    rows += [f"SELECT \"column\", NULL, NULL, NULL, NULL, distinct_count, null_count FROM ({s})" for s in strings]
     rows += [f"SELECT '{c}', NULL, NULL, NULL, NULL, NULL, count(*) - count({c}) FROM {table}" for c in other]
-    type_of = "CASE column " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in types.items()) + " END"
-    place = "CASE column " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(order)) + " END"
-    return (f"SELECT column, {type_of} AS type, CAST({place} AS INTEGER) AS position, mean, median, stddev, skewness, "
+    type_of = "CASE \"column\" " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in types.items()) + " END"
+    place = "CASE \"column\" " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(order)) + " END"
+    return (f"SELECT \"column\", {type_of} AS type, CAST({place} AS INTEGER) AS position, mean, median, stddev, skewness, "
             f"distinct_count, null_count FROM ({' UNION ALL '.join(rows)})")
 
 
 def _histogram(cols):
-    return " UNION ALL ".join(f"""SELECT '{c}' AS column, bin, count(*) AS rows FROM (
+    return " UNION ALL ".join(f"""SELECT '{c}' AS "column", bin, count(*) AS rows FROM (
  SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(7, floor((CAST({c} AS DOUBLE) - lo) / ((hi - lo) / 8))) END AS INTEGER) AS bin
  FROM lineitem, (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM lineitem)) GROUP BY bin""" for c in cols)
 
@@ -322,7 +325,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_manifest": q(CLEAN, "SELECT source, wave_date, file_id, count(*) AS rows FROM c GROUP BY ALL"),
         "split_matched_counts": f"SELECT matched, count(*) AS rows FROM (SELECT entity_id IS NOT NULL AS matched FROM ("
                                 + exact(_by(NAME, CITY, unique=True)) + ")) GROUP BY matched",
-        "dictionary_labels": "SELECT 'part_' || p_partkey AS column, p_brand AS description, CAST(p_size AS VARCHAR) AS value, p_type AS label FROM part",
+        "dictionary_labels": "SELECT 'part_' || p_partkey AS \"column\", p_brand AS description, CAST(p_size AS VARCHAR) AS value, p_type AS label FROM part",
         "dictionary_study": "SELECT p_name AS title, CAST(p_partkey AS VARCHAR) AS id FROM part",
         "rename_map": "SELECT c_custkey AS case_number, c_name AS company_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "drop_by_pattern": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
@@ -331,6 +334,8 @@ def oracle_sql() -> dict[str, str]:
         "select_required": "SELECT o_orderkey, o_orderstatus FROM orders",
         "add_lineage": q(CLEAN, """SELECT CAST(NULL AS VARCHAR) AS entity_id, CAST(NULL AS VARCHAR) AS group_id, CAST(NULL AS VARCHAR) AS site_id,
  row_id, file_id, wave_date, loaded_on, CAST(NULL AS DATE) AS superseded_on, latest_event_date, source, address_key FROM w2"""),
+        "standardise_wave": q(CLEAN, "SELECT " + ", ".join(c for c in BACKBONE if c not in (
+            "entity_id", "group_id", "site_id", "superseded_on")) + " FROM w2"),
         "release_projection": q(CLEAN, f"SELECT {release_types}, CAST(NULL AS DATE) AS superseded_on FROM g"),
         "filter_not_blank": q(CLEAN, "SELECT row_key, case_id, establishment_id, date_founded FROM c WHERE case_id IS NOT NULL AND establishment_id IS NOT NULL AND date_founded IS NOT NULL"),
         "history_active": q(CLEAN, f"SELECT {IDS} FROM bb WHERE superseded_on IS NULL"),
@@ -357,26 +362,26 @@ def oracle_sql() -> dict[str, str]:
         "map_codes": q(raw, f"SELECT row_key, correspondence_code_country, {ISO3} AS iso3 FROM f"),
         "map_codes_table": q(raw, """SELECT row_key, correspondence_code_country, CASE WHEN correspondence_code_country IS NOT NULL
  THEN coalesce(n_name, 'UDF') END AS country FROM f LEFT JOIN nation ON lpad(CAST(n_nationkey AS VARCHAR), 4, '0') = correspondence_code_country"""),
-        "dictionary_coverage": q("""described AS (SELECT column, 'seen ' || count(*) AS description FROM (
-  SELECT unnest(['o_orderkey', 'o_custkey', 'flag_' || l_returnflag]) AS column FROM lineitem) GROUP BY column),
+        "dictionary_coverage": q("""described AS (SELECT "column", 'seen ' || count(*) AS description FROM (
+  SELECT unnest(['o_orderkey', 'o_custkey', 'flag_' || l_returnflag]) AS "column" FROM lineitem) GROUP BY "column"),
 filled AS (UNPIVOT (SELECT count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey, count(o_orderstatus) AS o_orderstatus,
   count(o_totalprice) AS o_totalprice, count(o_orderdate) AS o_orderdate, count(o_orderpriority) AS o_orderpriority FROM orders)
- ON COLUMNS(*) INTO NAME column VALUE filled)""", """SELECT coalesce(f.column, d.column) AS column, description, filled,
- CASE WHEN f.column IS NULL THEN 'orphan' WHEN d.column IS NULL THEN 'undocumented' ELSE 'documented' END AS coverage
-FROM filled f FULL JOIN described d ON f.column = d.column"""),
+ ON COLUMNS(*) INTO NAME "column" VALUE filled)""", """SELECT coalesce(f."column", d."column") AS "column", description, filled,
+ CASE WHEN f."column" IS NULL THEN 'orphan' WHEN d."column" IS NULL THEN 'undocumented' ELSE 'documented' END AS coverage
+FROM filled f FULL JOIN described d ON d."column" = f."column" """),
         "profile_numeric": " UNION ALL ".join(_numeric("lineitem", lineitem)),
         "profile_string": q(raw, " UNION ALL ".join(_strings("f", texts))),
-        "profile_nulls": q(CLEAN, """SELECT 'date_founded' AS column, count(*) - count(date_founded) AS null_count FROM c UNION ALL
+        "profile_nulls": q(CLEAN, """SELECT 'date_founded' AS "column", count(*) - count(date_founded) AS null_count FROM c UNION ALL
  SELECT 'indication_import', count(*) - count(indication_import) FROM c UNION ALL SELECT 'site_id', count(*) FROM c"""),
         "profile_columns": q(CLEAN, _stats(_numeric("c", ["employees_total"]), _strings("c", ["hq_indicator"]),
                                            ["date_founded", "indication_import"], mixed, list(mixed), "c")),
         "dataset_dims": "SELECT 'orders' AS dataset, count(*) AS rows, CAST(6 AS BIGINT) AS columns FROM orders",
         "histogram": _histogram(["l_quantity", "l_extendedprice", "l_linenumber"]),
-        "label_frequency": f"""SELECT coalesce(x.col, l.col) AS column, coalesce(x.val, l.val) AS value, label, coalesce(n, 0) AS rows FROM (
+        "label_frequency": f"""SELECT coalesce(x.col, l.col) AS "column", coalesce(x.val, l.val) AS value, label, coalesce(n, 0) AS rows FROM (
  SELECT 'l_returnflag' AS col, l_returnflag AS val, count(*) AS n FROM lineitem GROUP BY ALL UNION ALL
  SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY ALL) x FULL JOIN {LABELS} ON x.col = l.col AND x.val = l.val""",
-        "codebook": f"""SELECT position, column AS name, CASE column WHEN 'l_quantity' THEN 'No description provided' ELSE upper(column) END AS label,
- type, CAST(CASE column WHEN 'l_returnflag' THEN 3 WHEN 'l_linestatus' THEN 1 END AS INTEGER) AS labels, mean, median, stddev, skewness,
+        "codebook": f"""SELECT position, "column" AS name, CASE "column" WHEN 'l_quantity' THEN 'No description provided' ELSE upper("column") END AS label,
+ type, CAST(CASE "column" WHEN 'l_returnflag' THEN 3 WHEN 'l_linestatus' THEN 1 END AS INTEGER) AS labels, mean, median, stddev, skewness,
  distinct_count, null_count FROM ({_stats(_numeric('lineitem', ['l_quantity']), _strings('lineitem', ['l_returnflag', 'l_linestatus']), [], flags, list(flags), 'lineitem')})""",
         "top1_per_key": """SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
  ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1""",
@@ -419,8 +424,8 @@ FROM own WHERE {filled(*LOCATION)} GROUP BY {', '.join(text(c) for c in LOCATION
         "address_key": q(CLEAN, "SELECT row_key, address_key FROM c"),
         "pad_ids": """SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS case_id,
  CASE WHEN c_nationkey = 0 THEN NULL WHEN length(c_name) < 12 THEN lpad(c_name, 12, '0') ELSE c_name END AS establishment_id FROM customer""",
-        "quality_checks": q(raw, f"""SELECT rule, column, rows, blank, failed FROM (
- SELECT 'file id is a random uuid' AS rule, 'file_id' AS column, count(*) AS rows, 0::BIGINT AS blank, 0::BIGINT AS failed FROM f UNION ALL
+        "quality_checks": q(raw, f"""SELECT rule, "column", rows, blank, failed FROM (
+ SELECT 'file id is a random uuid' AS rule, 'file_id' AS "column", count(*) AS rows, 0::BIGINT AS blank, 0::BIGINT AS failed FROM f UNION ALL
  SELECT 'firm number has 8 digits', 'case_id', count(*), count(*) FILTER (coalesce(trim(case_id), '') = ''),
   count(*) FILTER (trim(case_id) <> '' AND NOT regexp_matches(case_id, '^[0-9]{{8}}$')) FROM f UNION ALL
  SELECT 'founding date is a date', 'date_founded', count(*), count(*) FILTER (coalesce(trim(date_founded), '') = ''),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from functools import partial
 
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from longreg.functions.blank import blank_to_null
 from longreg.operators import clean, dedup, history, identity, link, profile, quality, release, shape
 from longreg.sources import bronze, delimited, dictionary
+from longreg.sources.tables import shared_folder
 
 from . import fixture as fx
 from .fixture import LOADED, SECRET, WAVE_1, WAVE_2, table
@@ -56,8 +56,7 @@ def _rows(spark, sf):
 
 def scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Write the register as delimited text to the shared folder and scan it back."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = os.path.join(shared, f"register-{uuid.uuid4()}")
+    path = os.path.join(shared_folder(spark), f"register-{uuid.uuid4()}")
     raw = fx.register(spark, sf)
     delimited.write_delimited(raw, path)
     back = delimited.scan_delimited(spark, path, columns=raw.columns)
@@ -123,7 +122,13 @@ def select_required(spark, sf):
 
 
 def add_lineage(spark, sf):
-    return _w2(spark, sf).select(*shape.LINEAGE)
+    return fx.standardised(spark, sf, WAVE_2).select(*shape.LINEAGE)
+
+
+def standardise_wave(spark, sf):
+    """All cleaning operators in a row, as the import jobs run them."""
+    df = fx.standardised(spark, sf, WAVE_2)
+    return df.select(*[c for c in fx.BACKBONE if c not in IDS and c != "superseded_on"])
 
 
 def release_projection(spark, sf):
@@ -468,7 +473,7 @@ QUERIES = {
     "assign_ids_known_blank": partial(assign_ids_known, allow_blank=True),
 }
 for _f in (scan_csv_roundtrip, bronze_manifest, split_matched_counts, dictionary_labels, dictionary_study,
-           rename_map, drop_by_pattern, ensure_columns, order_columns, select_required, add_lineage,
+           rename_map, drop_by_pattern, ensure_columns, order_columns, select_required, add_lineage, standardise_wave,
            release_projection, filter_not_blank, history_active, release_subsets, release_subset_rows,
            fill_nulls, null_if, exact_match_override, exact_match_mapped, threshold_match, release_restrict,
            release_by_backbone, refresh_by_row_id, map_codes, map_codes_table, dictionary_coverage,

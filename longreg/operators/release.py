@@ -61,7 +61,7 @@ def subset_by_backbone(src: DataFrame, backbone: DataFrame, col: str,
     require(backbone, ["entity_id", col])
     rows = active_only(backbone) if active else backbone
     # The set per entity is bounded by the number of configured groups.
-    per_entity = (rows.where(not_blank(rows, "entity_id"))
+    per_entity = (rows
                   .select("entity_id", F.explode(_groups_of(F.trim(F.col(col).cast("string")), groups)).alias("g"))
                   .groupBy("entity_id").agg(F.sort_array(F.collect_set("g")).alias("_groups")))
     found = F.coalesce(F.col("_groups"), F.array().cast("array<string>"))

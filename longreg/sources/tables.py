@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -28,6 +30,23 @@ def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "errorife
     return seen.get["rows"]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see: the one the cluster names, a local one in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "longreg")
+
+
+def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the table.
+
+    Linkage reads its inputs several times; staging evaluates the text cleaning once,
+    prunes later scans to their columns, and survives the loss of executors.
+    """
+    spark = df.sparkSession
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4()}")
+    write_table(df, path, partition_by)
+    return scan_table(spark, path)
+
+
 def read_backbone(spark: SparkSession, path: str) -> DataFrame:
     """The valid rows of a backbone version (a partition, so the rest is not read)."""
     return scan_table(spark, path).where("is_valid").drop("is_valid")
