@@ -13,7 +13,8 @@ from longreg.operators.history import create_backbone
 from longreg.operators.link import MatchPass
 from longreg.operators.shape import LINEAGE
 from longreg.plans.standardise import standardise
-from longreg.sources.tables import stage
+from longreg.session import tune
+from longreg.sources.tables import spread_input, stage
 from longreg.specs.model import CodeMap, SourceSpec
 
 SECRET = "oracle-test-secret"
@@ -101,10 +102,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def register(spark: SparkSession, sf: str) -> DataFrame:
+    tune(spark)
     names = ("orders", "customer", "nation")
     sql = REGISTER_SQL.format(date_format="date_format(o.o_orderdate,'yyyyMMdd')",
                               **{n: "{" + n + "}" for n in names})
-    return spark.sql(sql, **{n: table(spark, sf, n) for n in names})
+    tables = {n: table(spark, sf, n) for n in names}
+    tables["orders"] = spread_input(tables["orders"])
+    return spark.sql(sql, **tables)
 
 
 def standardised(spark: SparkSession, sf: str, day: dt.date) -> DataFrame:

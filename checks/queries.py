@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from longreg.functions.blank import blank_to_null
 from longreg.operators import clean, dedup, history, identity, link, profile, quality, release, shape
 from longreg.sources import bronze, delimited, dictionary
-from longreg.sources.tables import shared_folder
+from longreg.sources.tables import shared_folder, stage
 
 from . import fixture as fx
 from .fixture import LOADED, SECRET, WAVE_1, WAVE_2, table
@@ -422,17 +422,18 @@ def backbone_create(spark, sf):
     return fx.checked_first_wave(spark, sf)
 
 
-def _updated(spark, sf):
-    return history.update_backbone(_w2(spark, sf), fx.backbone(spark, sf), fx.BACKBONE, fx.DEDUPE,
-                                   fx.PASSES_2, SECRET, LOADED[WAVE_2])
+def _identified(spark, sf):
+    return identity.identify(_w2(spark, sf), fx.backbone(spark, sf), SECRET, fx.PASSES_2)
 
 
 def backbone_update(spark, sf):
-    return _updated(spark, sf)[0]
+    """Link and identify the second wave, write it, and add it to the backbone."""
+    return history.update_backbone(stage(_identified(spark, sf), "identified"), fx.backbone(spark, sf),
+                                   fx.BACKBONE, fx.DEDUPE, LOADED[WAVE_2])
 
 
 def identified_wave(spark, sf):
-    return _linked(_updated(spark, sf)[1])
+    return _linked(_identified(spark, sf))
 
 
 def _both_with_ids(spark, sf):

@@ -6,21 +6,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .blank import all_filled, as_text
 
-
 UUID_DIGITS = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
 
 
-def sized(part: Column) -> Column:
-    """A key part behind its own length, so that joined parts stay unambiguous
-    whatever characters they hold ("a1","23" and "a12","3" differ)."""
-    return F.concat(F.length(part).cast("string"), F.lit(":"), part)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def filled_text(name: str) -> str:
+    """SQL for the trimmed text of a column, NULL when blank."""
+    return f"nullif(trim(CAST({quoted(name)} AS STRING)), '')"
 
-def key_text(df: DataFrame, names: list[str], allow_blank: bool = False) -> Column:
-    """One string per combination of the columns; NULL when a part is blank,
-    unless blanks are allowed, in which case they equal each other."""
-    text = F.concat_ws("|", *[sized(as_text(F.col(n))) for n in names])
-    return text if allow_blank else F.when(all_filled(df, names), text)
+
+def key_of(texts: list[str], allow_blank: bool = False) -> Column:
+    """One string from SQL texts, each behind its own length, so that joined parts stay
+    unambiguous whatever they hold ("a1","23" and "a12","3" differ). NULL if a part is
+    NULL, unless blanks are allowed, in which case they equal each other.
+
+    Built as one SQL expression: a cascade has dozens of parts, and each Column call is
+    a round trip to the JVM.
+    """
+    parts = [f"coalesce({t}, '')" if allow_blank else t for t in texts]
+    return F.expr("concat(" + ", '|', ".join(f"length({p}), ':', {p}" for p in parts) + ")")
+
+
+def key_text(names: list[str], allow_blank: bool = False) -> Column:
+    return key_of([filled_text(n) for n in names], allow_blank)
+
+
+def sized(part: Column) -> Column:
+    return F.concat(F.length(part).cast("string"), F.lit(":"), part)
 
 
 def keyed_id(secret: str, namespace: str, parts: list[Column]) -> Column:

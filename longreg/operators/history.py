@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.blank import as_text, blank_to_null
 from ..functions.keys import key_text
 from .dedup import drop_duplicates
-from .identity import generate_ids, identify
-from .link import MatchPass
+from .identity import generate_ids
 from .order import newest_first, oldest_first
 from .shape import select_required
 from .skew import attach_group_values
@@ -78,19 +77,18 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
     return check_history(generate_ids(select_required(wave, columns), secret), as_of)
 
 
-def update_backbone(wave: DataFrame, backbone: DataFrame, columns: list[str], dedupe: list[str],
-                    passes: list[MatchPass], secret: str, as_of) -> tuple[DataFrame, DataFrame]:
-    """Add a wave: link and identify, append, drop repeated content, supersede, check.
+def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
+                    dedupe: list[str], as_of) -> DataFrame:
+    """Add a wave that has ids (see `identify`): append, drop repeated content,
+    supersede and check. Adding the same wave again changes nothing.
 
-    Returns (checked rows, identified wave). Adding the same wave again changes nothing.
+    The wave is read more than once, so pass it as a staged table.
     """
-    identified = identify(wave, backbone, secret, passes)
     rows = backbone_union(identified, backbone, columns)
-    return check_history(drop_duplicates(rows, dedupe, survivor_order()), as_of), identified
+    return check_history(drop_duplicates(rows, dedupe, survivor_order()), as_of)
 
 
-def _site_key(df: DataFrame) -> Column:
-    return key_text(df, ["case_id", "establishment_id"])
+SITE_KEY = ["case_id", "establishment_id"]
 
 
 def _first(column: Column, where: Column | None = None) -> Column:
@@ -108,7 +106,7 @@ def _adopt(rows: DataFrame, who: Column) -> DataFrame:
 def inherit_oldest_id(df: DataFrame) -> DataFrame:
     """Rows with the same firm and site number take the oldest entity and site id."""
     rows = attach_group_values(
-        df.withColumn("_key", _site_key(df)), ["_key"],
+        df.withColumn("_key", key_text(SITE_KEY)), ["_key"],
         [_first(blank_to_null(F.col(i))).alias(f"_old_{i}") for i in ("entity_id", "site_id")],
         spread=["row_id"])
     return _adopt(rows, F.col("_key").isNotNull()).select(*df.columns)
@@ -126,7 +124,7 @@ def inherit_id_from_older_file(df: DataFrame, file_id: str, as_of) -> DataFrame:
     the earlier rows they replace are marked superseded."""
     older = F.col("file_id") != file_id
     rows = attach_group_values(
-        df.withColumn("_key", _site_key(df)), ["_key"],
+        df.withColumn("_key", key_text(SITE_KEY)), ["_key"],
         [*[_first(blank_to_null(F.col(i)), older).alias(f"_old_{i}")
            for i in ("entity_id", "site_id")],
          F.count_if(~older).alias("_current")], spread=["row_id"])
@@ -147,7 +145,7 @@ def inherit_id_k_of_n(df: DataFrame, evidence: list[str], at_least: int,
     firsts = [_first(blank_to_null(F.col(c).cast("string")), older).alias(f"_f{i}")
               for i, c in enumerate(evidence)]
     extra = [F.count_if(~older).alias("_current")] if file_id else []
-    rows = attach_group_values(df.withColumn("_key", _site_key(df)), ["_key"],
+    rows = attach_group_values(df.withColumn("_key", key_text(SITE_KEY)), ["_key"],
                                [*firsts, *extra], spread=["row_id"])
     score = sum((F.coalesce(F.trim(F.col(c).cast("string")) == F.col(f"_f{i}"), F.lit(False))
                  .cast("int") for i, c in enumerate(evidence)), F.lit(0))

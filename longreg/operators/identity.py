@@ -41,7 +41,7 @@ def assign_ids(df: DataFrame, keys: list[str], id_col: str, secret: str, *, name
     else:
         p = MatchPass.on(*keys, allow_blank=allow_blank, oldest=True, needs=id_col)
         known = candidates(backbone, [p]).select("key", F.col(f"ids.{id_col}").alias("_known"))
-        keyed = df.withColumn("key", key_text(df, keys, allow_blank))
+        keyed = df.withColumn("key", key_text(keys, allow_blank))
         joined = lookup_join(keyed, known, ["key"], spread=["row_id"])
         found = [F.col("_known"), new]
     order = [*found, own] if force else [own, *found]

@@ -13,11 +13,11 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import blank, not_blank
-from ..functions.keys import key_text
+from ..functions.keys import filled_text, key_of, key_text
 from .order import LAST, newest_date, newest_first
 from .dedup import top_per_key
 from .shape import require
-from .skew import lookup_join
+from .skew import HASH, lookup_join
 
 IDS = ["entity_id", "group_id", "site_id"]
 BACKBONE_COLUMNS = [*IDS, "row_id", "superseded_on", "latest_event_date", "wave_date"]
@@ -59,11 +59,23 @@ class MatchPass:
         return [b for _, b in self.keys]
 
 
-def _stack(df: DataFrame, keys: list[Column], carry: list) -> DataFrame:
-    """One row per (row, pass) that has a key."""
-    entries = [F.struct(F.lit(i).alias("slot"), k.alias("key")) for i, k in enumerate(keys)]
-    return (df.select(*carry, F.explode(F.array(*entries)).alias("_e"))
-            .select(*[c for c in carry], "_e.slot", "_e.key").where(F.col("key").isNotNull()))
+def _stack(df: DataFrame, passes: list[MatchPass], columns: list[list[str]], usable: list,
+           carry: list[str]) -> DataFrame:
+    """One row per (row, pass) that has a key, with the hash of (slot, key) in front.
+
+    The text of each key column is cleaned once per row, whatever the number of passes.
+    """
+    names = sorted({c for cols in columns for c in cols})
+    texts = {c: f"_t{i}" for i, c in enumerate(names)}
+    cleaned = df.select(*carry, *[F.expr(filled_text(c)).alias(t) for c, t in texts.items()],
+                        *[c.alias(f"_u{i}") for i, c in enumerate(usable)])
+    entries = []
+    for i, (p, cols) in enumerate(zip(passes, columns)):
+        key = key_of([texts[c] for c in cols], p.allow_blank)
+        entries.append(F.struct(F.lit(i).alias("slot"), F.when(F.col(f"_u{i}"), key).alias("key")))
+    return (cleaned.select(*carry, F.explode(F.array(*entries)).alias("_e"))
+            .select(*carry, "_e.*").where(F.col("key").isNotNull())
+            .withColumn(HASH, F.xxhash64("slot", "key")))
 
 
 def _among(slots: list[int]) -> Column:
@@ -76,13 +88,8 @@ def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
     prefer = sorted({c for p in passes for c in p.prefer})
     require(backbone, [*BACKBONE_COLUMNS, *prefer, *[b for p in passes for b in p.backbone_columns]])
 
-    keys = []
-    for p in passes:
-        usable = not_blank(backbone, p.needs)
-        if p.active:
-            usable = usable & F.col("superseded_on").isNull()
-        keys.append(F.when(usable, key_text(backbone, p.backbone_columns, p.allow_blank)))
-
+    usable = [not_blank(backbone, p.needs) & F.col("superseded_on").isNull() if p.active
+              else not_blank(backbone, p.needs) for p in passes]
     slots = lambda test: [i for i, p in enumerate(passes) if test(p)]
     oldest = _among(slots(lambda p: p.oldest))
     rank = F.struct(
@@ -94,22 +101,20 @@ def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
         .otherwise(newest_date("wave_date")).alias("w"),
         F.col("row_id"))
     unique = _among(slots(lambda p: p.unique))
-    return (_stack(backbone, keys, [*BACKBONE_COLUMNS, *prefer])
-            .groupBy("slot", "key")
+    stacked = _stack(backbone, passes, [p.backbone_columns for p in passes], usable,
+                     [*BACKBONE_COLUMNS, *prefer])
+    return (stacked.groupBy(HASH, "slot", "key")
             .agg(F.min_by(F.struct(*IDS), rank).alias("ids"), F.min(rank).alias("best"),
                  (F.min("entity_id") != F.max("entity_id")).alias("_several"))
-            .select("slot", "key", "ids", "best",
+            .select(HASH, "slot", "key", "ids", "best",
                     (unique & F.coalesce("_several", F.lit(False))).alias("ambiguous")))
 
 
 def stacked_hits(src: DataFrame, backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
     """(row_id, slot, ids, best, ambiguous) for every pass that finds a candidate."""
     require(src, ["row_id", "entity_id", *[s for p in passes for s in p.source_columns]])
-    keys = []
-    for p in passes:
-        key = key_text(src, p.source_columns, p.allow_blank)
-        keys.append(key if p.override else F.when(blank(src, p.needs), key))
-    stacked = _stack(src, keys, ["row_id"])
+    usable = [F.lit(True) if p.override else blank(src, p.needs) for p in passes]
+    stacked = _stack(src, passes, [p.source_columns for p in passes], usable, ["row_id"])
     return (lookup_join(stacked, candidates(backbone, passes), ["slot", "key"], spread=["row_id"])
             .where(F.col("ids").isNotNull()).drop("key"))
 
@@ -146,7 +151,7 @@ def match_cascade(src: DataFrame, backbone: DataFrame, passes: list[MatchPass])
 def exact_match(src: DataFrame, backbone: DataFrame, keys, **options) -> DataFrame:
     """A single pass: one join of the source with the reduced backbone."""
     p = MatchPass.on(*keys.items() if isinstance(keys, dict) else keys, **options)
-    key = key_text(src, p.source_columns, p.allow_blank)
+    key = key_text(p.source_columns, p.allow_blank)
     keyed = src.withColumn("key", key if p.override else F.when(blank(src, p.needs), key))
     right = candidates(backbone, [p]).select(
         "key", F.col("ids").alias("_ids"), F.col("ambiguous").alias("_ambiguous"))

@@ -1,23 +1,33 @@
 """Lookup joins that hold when one key owns a large share of the rows.
 
 A key is "hot" when it holds more than 1/HOT_SHARE of the rows it is looked up for.
-At most HOT_SHARE keys can be hot, whatever the data, so their values are broadcast
-under a proven bound. Hot rows, and rows without a key, are spread over the other
-partitions of the shuffle; all other keys are small enough for one partition.
+At most HOT_SHARE keys can be hot, whatever the data, so the list of hot keys is
+broadcast under a proven bound. Rows of a hot key are salted over SPREAD partitions and
+its single lookup row is repeated once per salt; all other keys fit in one partition.
+
+Keys travel behind a 64-bit hash of themselves. The hash leads every sort, where it
+decides almost all comparisons, and stands for the key in the hot list; the key columns
+still decide equality.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import any_null
 
 HOT_SHARE = 1000
-SPREAD = 4096
+SPREAD = 256
+HASH = "_hash"
+
+
+def hash_of(keys: list[str]) -> Column:
+    """Hash of the key, NULL when a part is NULL."""
+    return F.when(~any_null(keys), F.xxhash64(*keys))
 
 
-def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.where(~any_null(keys))
+def _salts(is_hot: Column) -> Column:
+    return F.sequence(F.lit(0), F.when(is_hot, SPREAD - 1).otherwise(F.lit(0)))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str],
@@ -26,41 +36,35 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
 
     `spread` names columns that vary within a key (a row id). `weight` names a column
     of `right` with the number of left rows of the key, when the caller knows it.
+    Rows without a key are salted too, since they would all meet in one partition.
+    Both sides may bring the key hash along in `_hash`.
     """
-    values = [c for c in right.columns if c not in keys and c != weight]
-    total = left.agg(F.count(F.lit(1)).alias("n"))
-    if weight:
-        zero = F.pmod(F.col(weight), F.lit(1))
-        hot = right.where(F.col(weight) * HOT_SHARE > total.scalar()).drop(weight)
-    else:
-        zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-        hot_keys = (_keyed(left, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-                    .where(F.col("_rows") * HOT_SHARE > total.scalar()).select(*keys))
-        found = right.join(F.broadcast(hot_keys), keys, "left_semi")
-        hot = hot_keys.join(F.broadcast(found), keys, "left")
-
-    hot = hot.select(F.lit(True).alias("_hot"),
-                     *[F.col(k).alias(f"_h_{k}") for k in keys],
-                     *[F.col(v).alias(f"_h_{v}") for v in values])
-    on_hot = [F.col(k) == F.col(f"_h_{k}") for k in keys]
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salt = F.when(is_hot | any_null(keys),
-                  F.pmod(F.xxhash64(*spread), F.lit(SPREAD)) + 1).otherwise(F.lit(0)).cast("long")
-    # The right side's salt is 0 but must not be a literal: the optimizer would fold it
-    # into a filter and drop it from the shuffle keys.
-    cold = right.select(*[F.col(k).alias(f"_c_{k}") for k in keys],
-                        *[F.col(v).alias(f"_c_{v}") for v in values],
-                        zero.cast("long").alias("_c_salt"))
-    on_cold = [F.col(k) == F.col(f"_c_{k}") for k in keys] + [F.col("_salt") == F.col("_c_salt")]
-    joined = (left.join(F.broadcast(hot), on_hot, "left").withColumn("_salt", salt)
-              .join(cold, on_cold, "left"))
-    return joined.select(
-        *left.columns,
-        *[F.when(is_hot, F.col(f"_h_{v}")).otherwise(F.col(f"_c_{v}")).alias(v) for v in values])
+    left_columns = [c for c in left.columns if c != HASH]
+    values = [c for c in right.columns if c not in keys and c not in (weight, HASH)]
+    hashed = lambda df: df if HASH in df.columns else df.withColumn(HASH, hash_of(keys))
+    left, right = hashed(left), hashed(right)
+
+    rows = weight or "_rows"
+    counts = right if weight else (left.where(F.col(HASH).isNotNull()).groupBy(HASH)
+                                   .agg(F.count(F.lit(1)).alias("_rows")))
+    is_hot = F.col(rows) * HOT_SHARE > counts.agg(F.sum(rows).alias("n")).scalar()
+    hot = F.broadcast(counts.where(is_hot).select(F.col(HASH).alias("_hot")).distinct())
+
+    salt = F.when(F.col("_hot").isNotNull() | F.col(HASH).isNull(),
+                  F.pmod(F.xxhash64(*spread), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
+    salted = left.join(hot, F.col(HASH) == F.col("_hot"), "left").withColumn("_salt", salt)
+    marked = right.join(hot, F.col(HASH) == F.col("_hot"), "left")
+    lookup = marked.select(F.col(HASH).alias("_r_hash"), *[F.col(k).alias(f"_r_{k}") for k in keys], *values,
+                           F.explode(_salts(F.col("_hot").isNotNull())).alias("_r_salt"))
+    on = [F.col(HASH) == F.col("_r_hash"), F.col("_salt") == F.col("_r_salt"),
+          *[F.col(k) == F.col(f"_r_{k}") for k in keys]]
+    return salted.join(lookup, on, "left").select(*left_columns, *values)
 
 
 def attach_group_values(df: DataFrame, keys: list[str], aggregates: list, spread: list[str]) -> DataFrame:
     """Add per-group aggregates to every row, like a window over the whole group but
     pre-aggregated before the shuffle, so no group is ever gathered in one task."""
-    grouped = _keyed(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
-    return lookup_join(df, grouped, keys, spread, weight="_rows")
+    hashed = df.withColumn(HASH, hash_of(keys))
+    grouped = (hashed.where(F.col(HASH).isNotNull()).groupBy(HASH, *keys)
+               .agg(F.count(F.lit(1)).alias("_rows"), *aggregates))
+    return lookup_join(hashed, grouped, keys, spread, weight="_rows")

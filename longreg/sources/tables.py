@@ -13,6 +13,13 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_input(scan: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores, such as a few files that cannot be
+    split, before expensive per-row work. Larger inputs are returned as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _same(a: str, b: str) -> bool:
     clean = lambda p: os.path.normpath(p.removeprefix("file://").removeprefix("file:"))
     return clean(a) == clean(b)
