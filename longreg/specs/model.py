@@ -41,4 +41,5 @@ class SourceSpec:
     address: tuple = ()
     passes: tuple[MatchPass, ...] = ()
     release: tuple = ()
+    release_deny: tuple = ()
     backbone: tuple = ()
