@@ -96,7 +96,7 @@ def link_survey(spark: SparkSession, wave: Wave, spec: SourceSpec, root: str, se
 
 
 def _matched(spark: SparkSession, silver: str) -> DataFrame:
-    return scan_table(spark, silver).where("linked").drop("linked")
+    return scan_table(spark, silver, ["linked"]).where("linked").drop("linked")
 
 
 def release_register(spark: SparkSession, silver: str, spec: SourceSpec, groups: dict, target: str) -> int:

@@ -9,8 +9,11 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-def scan_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def scan_table(spark: SparkSession, path: str, flags=()) -> DataFrame:
+    """Read a table. `flags` names partition columns that hold booleans, which Spark
+    reads back as text; filters on them still prune partitions."""
+    df = spark.read.parquet(path)
+    return df.withColumns({f: F.col(f).cast("boolean") for f in flags}) if flags else df
 
 
 def spread_input(scan: DataFrame) -> DataFrame:
@@ -56,8 +59,8 @@ def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
 
 def read_backbone(spark: SparkSession, path: str) -> DataFrame:
     """The valid rows of a backbone version (a partition, so the rest is not read)."""
-    return scan_table(spark, path).where("is_valid").drop("is_valid")
+    return scan_table(spark, path, ["is_valid"]).where("is_valid").drop("is_valid")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path).where("not is_valid").drop("is_valid")
+    return scan_table(spark, path, ["is_valid"]).where("not is_valid").drop("is_valid")

@@ -84,7 +84,7 @@ def test_second_wave_extends_the_history(spark, world):
 
 
 def test_silver_and_manifest(spark, world):
-    silver = scan_table(spark, world["second"]["silver"])
+    silver = scan_table(spark, world["second"]["silver"], ["linked"])
     assert world["second"]["silver_rows"] == silver.count() == 3
     assert silver.where("linked").count() == 3
     log = scan_table(spark, f"{world['root']}/bronze/register/manifest").orderBy("wave_date").collect()
@@ -92,7 +92,7 @@ def test_silver_and_manifest(spark, world):
 
 
 def test_survey_is_linked(spark, world):
-    rows = {r["lisa_id"]: r for r in scan_table(spark, world["survey"]["silver"]).collect()}
+    rows = {r["lisa_id"]: r for r in scan_table(spark, world["survey"]["silver"], ["linked"]).collect()}
     assert (rows["1"]["case_id"], rows["1"]["match_pass"], rows["1"]["linked"]) == ("00000001", 1, True)
     assert rows["2"]["case_id"] is None and rows["2"]["match_pass"] == 4
     assert rows["3"]["match_status"] == "unmatched" and not rows["3"]["linked"]
