@@ -11,19 +11,6 @@ from longreg.operators.profile import numeric_columns
 from . import fixture as fx
 
 
-def cascade_one_by_one(src: DataFrame, backbone: DataFrame, passes) -> DataFrame:
-    """One join per pass, each on the rows that are still unlinked."""
-    done, rest = None, src.withColumn("match_pass", F.lit(None).cast("int"))
-    for i, p in enumerate(passes):
-        step = {s: b for s, b in p.keys}
-        linked = link.exact_match(rest, backbone, step, allow_blank=p.allow_blank, override=p.override,
-                                  unique=p.unique, prefer=p.prefer, active=p.active)
-        hit = linked.where("match_status = 'linked'").withColumn("match_pass", F.lit(i + 1)).drop("match_status")
-        done = hit if done is None else done.unionByName(hit)
-        rest = linked.where("match_status <> 'linked'").drop("match_status")
-    return done.unionByName(rest)
-
-
 def cascade_by_windows(src: DataFrame, backbone: DataFrame, passes) -> DataFrame:
     """Fan-out join and one window per pass over all rows."""
     out = src.withColumn("match_pass", F.lit(None).cast("int"))

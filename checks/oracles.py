@@ -202,7 +202,7 @@ def _update():
     return q(f"""{CLEAN}{identified(PASSES_2)},
 rows_ AS (SELECT {own} FROM named UNION ALL SELECT {cols} FROM bb),
 dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(DEDUPE)}
-  ORDER BY wave_date NULLS LAST, loaded_on NULLS LAST, superseded_on NULLS LAST, row_id) AS rn FROM rows_) WHERE rn = 1),
+  ORDER BY wave_date NULLS LAST, loaded_on NULLS LAST, superseded_on NULLS FIRST, row_id) AS rn FROM rows_) WHERE rn = 1),
 hist AS (SELECT *, row_number() OVER w AS rn, first_value(superseded_on) OVER w AS newest_superseded FROM dd
   WINDOW w AS (PARTITION BY coalesce(group_id, ''), coalesce(site_id, '')
    ORDER BY wave_date DESC NULLS LAST, latest_event_date DESC NULLS LAST, row_id))""",

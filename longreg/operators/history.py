@@ -67,9 +67,10 @@ def backbone_union(wave: DataFrame, backbone: DataFrame, columns: list[str]) ->
 
 
 def survivor_order() -> list:
-    """Of equal rows the one loaded first stays, with its ids and its history mark."""
+    """Of equal rows the one loaded first stays, with its ids; among those of one load
+    an active row goes before a superseded one, so that no entity loses its active row."""
     return [F.col("wave_date").asc_nulls_last(), F.col("loaded_on").asc_nulls_last(),
-            F.col("superseded_on").asc_nulls_last(), F.col("row_id").asc()]
+            F.col("superseded_on").asc_nulls_first(), F.col("row_id").asc()]
 
 
 def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) -> DataFrame:
@@ -80,11 +81,13 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
 def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
                     dedupe: list[str], as_of) -> DataFrame:
     """Add a wave that has ids (see `identify`): append, drop repeated content,
-    supersede and check. Adding the same wave again changes nothing.
+    supersede and check. Rows that are in the backbone already stay out, with whatever
+    ids a second linkage gave them, so adding the same wave again changes nothing.
 
     The wave is read more than once, so pass it as a staged table.
     """
-    rows = backbone_union(identified, backbone, columns)
+    fresh = identified.join(backbone.select("row_id"), "row_id", "left_anti")
+    rows = backbone_union(fresh, backbone, columns)
     return check_history(drop_duplicates(rows, dedupe, survivor_order()), as_of)
 
 
