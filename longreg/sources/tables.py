@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -40,9 +39,25 @@ def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "errorife
     return seen.get["rows"]
 
 
+SHARED = "longreg.shared.folder"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: the one the cluster names, a local one in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "longreg")
+    """The folder that driver and executors share: the one the cluster names in
+    `spark.checkpoint.dir`, else the one the caller named with `name_shared_folder`."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not path:
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return path
+
+
+def name_shared_folder(spark: SparkSession) -> SparkSession:
+    """For sessions in one JVM (tests, benchmarks) that name no folder: use one beside the
+    warehouse. A cluster has to name its own, so there nothing is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(SHARED, os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "stage"))
+    return spark
 
 
 def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
