@@ -11,10 +11,11 @@ no length's pieces meet in one task.
 from __future__ import annotations
 
 import functools
+import operator
 import os
-import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,46 +23,64 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from longreg.sources.tables import stage
 
-from .common import Memo, bounded_batches
+from .common import bounded_batches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Tails cut off before a word is looked up. The tokenizer ends a piece between a letter or
-#: digit and a run of these, and no special token ends with one.
-TAIL = re.compile(rb"(?<=[a-z0-9])[.,;:!?#$%&*)]+\Z")
+#: Tails cut off before a word is looked up. The tokenizer ends a piece between a letter
+#: and a run of these, and no special token ends with one.
+TAIL = b".,;:!?#$%&*)"
+#: Words and stems a worker remembers between batches.
+REMEMBERED = 700_000
 
 
-@functools.lru_cache(maxsize=2)
-def _word_ids(tokenizer_path: str) -> Memo:
-    """ids of a word (raw bytes) as little-endian 32-bit numbers, kept for the worker's life."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-
-    def encode(word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    parts = Memo(encode, 300_000)
-
-    def whole(word: bytes) -> bytes:
-        if b"<|" in word:  # may spell a special token, which only counts as spelt
-            return encode(word)
-        word = word.lower()
-        tail = TAIL.search(word)
-        return parts[word[:tail.start()]] + parts[tail.group()] if tail else parts[word]
-
-    return Memo(whole, 300_000)
-
-
-def pieces_of(text: str | None, word_ids: Memo, end_id: int, capacity: int) -> Iterator[tuple[int, int, int, int]]:
-    """(piece, start, length, crc32 of the ids) of one document.
+class WordIds:
+    """The ids of words, as little-endian 32-bit numbers, remembered within a bounded size.
 
     The tokenizer drops white space and never joins text across it, so the ids of a text
-    are those of its words one after the other.
+    are those of its words one after the other. A batch's unknown words are encoded at once.
     """
-    words = (text or "").encode("utf-8", "replace").split()
-    ids = b"".join(map(word_ids.__getitem__, words)) + np.asarray([end_id], "<u4").tobytes()
+
+    def __init__(self, tokenizer_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.words: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        """Makes `self.words` hold all of `words`."""
+        unknown = list(words - self.words.keys())
+        if len(self.words) + len(unknown) > REMEMBERED:
+            self.words = {w: self.words[w] for w in words.intersection(self.words)}
+        # What may spell a special token counts only as it is spelt.
+        low = [word if b"<|" in word else word.lower() for word in unknown]
+        stems = [word if b"<|" in word else word.rstrip(TAIL) for word in low]
+        stems = [stem if stem.decode("utf-8", "replace")[-1:].isalpha() else word for stem, word in zip(stems, low)]
+        tails = [word[len(stem):] for stem, word in zip(stems, low)]
+        parts = {*stems, *tails}
+        new = list(parts - self.stems.keys())
+        if len(self.stems) + len(new) > REMEMBERED:
+            self.stems = {p: self.stems[p] for p in parts.intersection(self.stems)}
+        texts = [part.decode("utf-8", "replace") for part in new]
+        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.stems.update(zip(new, (struct.pack(f"<{len(e)}I", *e.ids) for e in encodings)))
+        found = self.stems.__getitem__
+        self.words.update(zip(unknown, map(operator.add, map(found, stems), map(found, tails))))
+
+    def of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        texts = [(text or "").encode("utf-8", "replace").split() for text in texts]
+        self.learn(set().union(*texts))
+        return (b"".join(map(self.words.__getitem__, words)) for words in texts)
+
+
+@functools.lru_cache(maxsize=1)  # one for the life of a worker
+def word_ids(tokenizer_path: str) -> WordIds:
+    return WordIds(tokenizer_path)
+
+
+def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
+    """(piece, start, length, crc32 of the ids) of one document's ids."""
     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
         part = ids[at:at + 4 * capacity]
         yield piece, at // 4, len(part) // 4, zlib.crc32(part)
@@ -72,10 +91,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capa
     bounded_batches(docs.sparkSession)
 
     def run(frames):
-        word_ids = _word_ids(tokenizer_path)
+        encoder, end = word_ids(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
         for frame in frames:
-            rows = [(doc, *piece) for doc, text in zip(frame["doc_id"], frame["text"])
-                    for piece in pieces_of(text, word_ids, end_id, capacity)]
+            rows = [(doc, *piece) for doc, ids in zip(frame["doc_id"], encoder.of(frame["text"]))
+                    for piece in pieces_of(ids + end, capacity)]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.astype({"doc_id": "Int64"})
 

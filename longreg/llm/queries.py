@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing
+from . import mixing, ngram_join, packing
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -22,8 +22,13 @@ def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.similar_groups(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return groups.withColumnRenamed("size", "n_shingles")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_best_fit_packing, op8_pareto_mixing)}
+    f.__name__: f for f in (op5_best_fit_packing, op8_pareto_mixing, op10_ngram_jaccard_join)}
 
 #: The other operators draw, learn or search in ways that SQL can't express; tests hold them
 #: against brute force.
