@@ -9,7 +9,8 @@ them meet. Pairs that met are counted exactly: partial overlaps fragment by frag
 their sum per pair.
 
 Links are asked for as connected groups, so documents that met need not all be paired. They
-are paired with one of them first; only what that leaves unconnected is paired in full.
+are paired with one of them first. Only what that leaves unconnected is searched for pairs
+in full, in the order that lets the fewest meet.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from longreg.sources.tables import stage
 
@@ -36,6 +37,8 @@ COUNTED = 256
 #: size is fixed; when it is full it keeps nothing out, and results are the same.
 FILTER_BITS = 1 << 26
 LARGEST = 1 << 40
+#: Ratio of neighbouring steps of set sizes.
+STEP = 1.02
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -208,23 +211,57 @@ def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 def _still_apart(met: DataFrame, links: DataFrame) -> DataFrame:
     """Those of met whose key holds several components of the links so far, with label."""
     labels = connected_components(links).withColumnRenamed("node", "cls").withColumnRenamed("component", "label")
-    labelled = met.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    labelled = met.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     apart = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("key")
     return stage(labelled.join(apart, "key"), "apart")
 
 
-def _to_one(met: DataFrame, choose) -> DataFrame:
-    """Pairs of every class with one class of each of its keys."""
-    one = met.groupBy("key").agg(choose(F.struct("cls", "size")).alias("o"))
+def _to_central(met: DataFrame) -> DataFrame:
+    """Pairs of every class with the class of each of its keys that meets most others.
+
+    Copies that differ from their original in several places each may not be similar to one
+    another, but the original is to all of them, and it shares most keys.
+    """
+    meets = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    central = met.join(meets, "key").groupBy("cls").agg(F.sum("n").alias("meets"))
+    one = met.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls", "size")).alias("o"))
     return met.join(one, "key").where(F.col("cls") != F.col("o.cls")).select(
         F.col("cls").alias("a"), F.col("size").alias("size_a"), F.col("o.cls").alias("b"), F.col("o.size").alias("size_b"))
 
 
-def _across(apart: DataFrame) -> DataFrame:
-    """All pairs of classes that share a key and are in different components."""
-    a = apart.select("key", F.col("cls").alias("a"), F.col("size").alias("size_a"), F.col("label").alias("label_a"))
-    b = apart.select("key", F.col("cls").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-    return a.join(b, "key").where("label_a < label_b").select("a", "size_a", "b", "size_b")
+def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of unconnected classes that may be similar.
+
+    Here the n-grams are ordered by how few classes have them. Two sets of given sizes need so
+    many n-grams in common that one of them is among the first few of both. A copy's own
+    changes come first in this order, so copies of one text that differ in too much from one
+    another do not meet. The first few are fewer the more is known of the other's size, so
+    they are taken per step of its size.
+    """
+    members = apart.groupBy("cls").agg(F.max("size").alias("size"), F.max("label").alias("label"))
+    grams = members.join(sets, "cls").where(F.col("level") == _level(F.col("size"))).select(
+        "cls", "size", "label", F.explode("grams").alias("gram"))
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("cls").orderBy("n", "gram"))
+    log_step = float(np.log(STEP))
+    step = lambda size: F.floor(F.log(size) / log_step)
+    others = F.explode(F.sequence(step(F.floor(F.col("size") * num / den)) - 1, step(F.ceil(F.col("size") * den / num)) + 1))
+    least = F.greatest(F.ceil(F.col("size") * num / den), F.floor(F.pow(F.lit(STEP), F.col("other"))))
+    first = F.col("size") - F.ceil((F.col("size") + least) * num / (num + den)) + 1
+    placed = (grams.join(shared, "gram").withColumn("place", place)
+              .where((F.col("n") > 1) & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * num / den) + 1))
+              .withColumn("own", step(F.col("size"))).withColumn("other", others).where(F.col("place") <= first))
+    key = ["gram", "small", "large"]
+    posted = stage(placed.select("gram", F.least("own", "other").alias("small"), F.greatest("own", "other").alias("large"),
+                                 "cls", "size", "label", "place"), "postings")
+    several = posted.groupBy(*key).agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select(*key)
+    left = posted.join(several, key)
+    a = left.select(*key, *[F.col(c).alias(f"{c}_a") for c in ("cls", "size", "label", "place")])
+    b = left.select(*key, *[F.col(c).alias(f"{c}_b") for c in ("cls", "size", "label", "place")])
+    common = F.ceil((F.col("size_a") + F.col("size_b")) * num / (num + den))
+    near = (F.col("place_a") <= F.col("size_a") - common + 1) & (F.col("place_b") <= F.col("size_b") - common + 1)
+    return a.join(b, key).where(near & (F.col("label_a") < F.col("label_b"))).select(
+        F.col("cls_a").alias("a"), "size_a", F.col("cls_b").alias("b"), "size_b")
 
 
 def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -240,11 +277,8 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -
     met = _met(base)
     reps = base.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     sets = _counted_sets(docs, met.select("cls").distinct().join(reps, "cls"), n, num, den)
-    links = stage(_links(_to_one(met, F.min), sets, num, den), "ngram-links")
-    apart = _still_apart(met, links)
-    links = stage(links.unionByName(_links(_to_one(apart, F.max), sets, num, den)), "ngram-links")
-    apart = _still_apart(apart, links)
-    links = links.unionByName(_links(_across(apart), sets, num, den))
+    links = stage(_links(_to_central(met), sets, num, den), "ngram-links")
+    links = links.unionByName(_links(_across(_still_apart(met, links), sets, num, den), sets, num, den))
     groups = reps.join(connected_components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
