@@ -7,12 +7,34 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, ngram_join, packing
-from .common import table
+from . import mixing, ngram_join, packing, quality, secret_scan
+from .common import remainder, table
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with held_out, score and predicted; held-out labels are not learned from."""
+    learned = labels.where(remainder("doc_id", 4) != 2).select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(docs, learned)
+    return quality.score(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2).withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_scores(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.with_spans(docs, secret_scan.cuts(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+                        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -28,7 +50,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_best_fit_packing, op8_pareto_mixing, op10_ngram_jaccard_join)}
+    f.__name__: f for f in (
+        op3_quality_classifier, op4_secret_scan, op5_best_fit_packing, op8_pareto_mixing, op10_ngram_jaccard_join)}
 
 #: The other operators draw, learn or search in ways that SQL can't express; tests hold them
 #: against brute force.
