@@ -22,6 +22,8 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import Steps
+
 #: Kinds and forms, in the order in which they are listed.
 KINDS = {
     "assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -93,20 +95,6 @@ def _two_sided(z: Column) -> Column:
     return 2 / (1 + F.exp(1.5976 * a + 0.07056 * a * a * a))
 
 
-class Steps:
-    """An array of structs to which fields are added step by step, so that a later field refers
-    to an earlier one by name instead of repeating how it is made."""
-
-    def __init__(self, array: Column, fields: tuple[str, ...]):
-        self.array, self.fields = array, fields
-
-    def add(self, **made) -> Steps:
-        kept = self.fields
-        array = F.transform(self.array, lambda c: F.struct(
-            *[c[f].alias(f) for f in kept], *[make(c).alias(name) for name, make in made.items()]))
-        return Steps(array, (*kept, *made))
-
-
 def _encoding(body: Column) -> Column:
     name = None
     for encoding, characters, _ in ENCODINGS:
