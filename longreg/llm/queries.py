@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, ngram_join, packing, pseudonyms, quality, secret_scan, wordpieces
+from . import hmm, mixing, ngram_join, packing, pseudonyms, quality, secret_scan, wordpieces
 from .common import remainder, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -39,6 +39,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op1_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = hmm.scored(docs, remainder("doc_id", 7) != 2)
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymised(docs, key="op2", counts=True)
@@ -61,7 +67,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_feistel_pseudonyms, op3_quality_classifier, op4_secret_scan, op5_best_fit_packing, op7_token_counts, op8_pareto_mixing,
+        op1_hidden_markov_scores, op2_feistel_pseudonyms, op3_quality_classifier, op4_secret_scan, op5_best_fit_packing, op7_token_counts, op8_pareto_mixing,
         op10_ngram_jaccard_join)}
 
 #: The other operators draw, learn or search in ways that SQL can't express; tests hold them
