@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hmm, mixing, ngram_join, packing, pseudonyms, quality, secret_scan, wordpieces
+from . import hmm, hnsw, mixing, mtree, ngram_join, packing, pseudonyms, quality, secret_scan, wordpieces
 from .common import remainder, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -50,6 +50,10 @@ def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(docs, key="op2", counts=True)
 
 
+def op6_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.highest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wordpieces.token_counts(docs, public_tokenizers.path(WORD_BPE)).drop("text")
@@ -60,6 +64,10 @@ def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.similar_groups(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
     return groups.withColumnRenamed("size", "n_shingles")
@@ -67,8 +75,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_hidden_markov_scores, op2_feistel_pseudonyms, op3_quality_classifier, op4_secret_scan, op5_best_fit_packing, op7_token_counts, op8_pareto_mixing,
-        op10_ngram_jaccard_join)}
+        op1_hidden_markov_scores, op2_feistel_pseudonyms, op3_quality_classifier, op4_secret_scan, op5_best_fit_packing, op6_mtree_top_k,
+        op7_token_counts, op8_pareto_mixing, op9_hnsw_neighbours, op10_ngram_jaccard_join)}
 
 #: The other operators draw, learn or search in ways that SQL can't express; tests hold them
 #: against brute force.
