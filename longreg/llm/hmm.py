@@ -13,7 +13,6 @@ over whole texts then gives their exact likelihood.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,7 @@ class Settings:
     states: int = 8
     own: int = 1 << 15  # most frequent words that are classes of their own
     shared: int = 1 << 12  # classes of all other words
-    rounds: int = 4
+    rounds: int = 3
     segment: int = 256  # tokens; longer training texts are cut, and go on from the average state
     seed: int = 3
 
@@ -43,13 +42,26 @@ def shared_class(word: bytes, s: Settings) -> int:
     return xxhash.xxh3_64_intdigest(word[-4:]) % s.shared
 
 
+def _chunks(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[pd.DataFrame]:
+    """Frames put together until the values of a column are `most` characters or numbers long."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame)
+        size += int(frame[column].str.len().sum())
+        if size >= most:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _numbered(docs: DataFrame, trained: Column) -> DataFrame:
     """Staged batches: the words of a batch with their training counts (doc null), and its texts
     as numbers of these words."""
     bounded_batches(docs.sparkSession)
 
     def run(frames):
-        for frame in frames:
+        for frame in _chunks(frames, "text", 20_000_000):
             number: dict[bytes, int] = {}
             texts, counts = [], np.zeros(0, np.int64)
             for text, train in zip(frame["text"], frame["_train"]):
@@ -141,8 +153,8 @@ def log_likelihoods(texts: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def expected_counts(texts: list[np.ndarray], model: Model, average: np.ndarray, segment: int):
-    """(start, move, classes, emit) summed over texts: the expected uses of states at the start,
-    of moves, and of states with each of the classes that occur."""
+    """(start, move, emit) summed over texts: the expected uses of states at the start, of moves,
+    and of states with each class."""
     model, average = model.smoothed(), average.astype(np.float32)
     parts = [(t[i:i + segment], i == 0) for t in texts for i in range(0, len(t), segment)]
     parts.sort(key=lambda p: -len(p[0]))
@@ -174,21 +186,8 @@ def expected_counts(texts: list[np.ndarray], model: Model, average: np.ndarray,
             moves += forward[at[:m]].T @ onward
         gamma[at] = forward[at] * back
         after = back
-    classes, inverse = np.unique(flat, return_inverse=True)
-    used = np.stack([np.bincount(inverse, gamma[:, i], len(classes)) for i in range(k)], 1)
-    return gamma[first[begins]].sum(0, dtype=np.float64), moves * model.move, classes, used
-
-
-def _chunks(frames: Iterator[pd.DataFrame], tokens: int) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
-    for frame in frames:
-        held.append(frame)
-        size += sum(map(len, frame["classes"]))
-        if size >= tokens:
-            yield pd.concat(held)
-            held, size = [], 0
-    if held:
-        yield pd.concat(held)
+    used = np.stack([np.bincount(flat, gamma[:, i], len(model.emit)) for i in range(k)], 1)
+    return gamma[first[begins]].sum(0, dtype=np.float64), moves * model.move, used
 
 
 def baum_welch_round(texts: DataFrame, model: Model, average: np.ndarray, weights: np.ndarray, s: Settings) -> tuple[Model, np.ndarray]:
@@ -199,9 +198,9 @@ def baum_welch_round(texts: DataFrame, model: Model, average: np.ndarray, weight
     def run(frames):
         # One sum a task: rows for the classes, then the start, then one a state for its moves.
         total = np.zeros((classes + 1 + k, k))
-        for frame in _chunks(frames, 500_000):
-            start, moves, at, used = expected_counts(list(frame["classes"]), *shared.value, s.segment)
-            total[at] += used
+        for frame in _chunks(frames, "classes", 500_000):
+            start, moves, used = expected_counts(list(frame["classes"]), *shared.value, s.segment)
+            total[:classes] += used
             total[classes] += start
             total[classes + 1:] += moves
         at = np.flatnonzero(total.any(1))
@@ -255,7 +254,7 @@ def scored(docs: DataFrame, trained: Column, s: Settings = Settings(), watch: Ca
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(frames):
-        for frame in _chunks(frames, 4_000_000):
+        for frame in _chunks(frames, "classes", 4_000_000):
             lists = list(frame["classes"])
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].astype("Int64"), "trained": frame["train"], "n_tokens": [len(t) for t in lists],
