@@ -68,7 +68,7 @@ def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4()}")
-    write_table(df, path, partition_by)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return scan_table(spark, path)
 
 
