@@ -55,7 +55,7 @@ def _chunks(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[
         yield pd.concat(held, ignore_index=True)
 
 
-def _numbered(docs: DataFrame, trained: Column) -> DataFrame:
+def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
     """Staged batches: the words of a batch with their training counts (doc null), and its texts
     as numbers of these words."""
     bounded_batches(docs.sparkSession)
@@ -74,33 +74,31 @@ def _numbered(docs: DataFrame, trained: Column) -> DataFrame:
             batch = xxhash.xxh3_64_intdigest(repr((len(frame), list(frame["doc_id"]), [len(t) for t in texts])).encode())
             batch = batch >> 1
             yield pd.DataFrame({"kind": 0, "batch": batch, "doc_id": frame["doc_id"].astype("Int64"), "train": frame["_train"],
-                                "ids": texts, "word": None, "n": pd.array([None] * len(frame), "Int64")})
+                                "ids": texts, "word": None, **{c: pd.array([None] * len(frame), "Int64") for c in ("n", "number", "shared")}})
             yield pd.DataFrame({"kind": 1, "batch": batch, "doc_id": pd.array([None] * len(number), "Int64"), "train": None,
-                                "ids": [np.array([i], np.int32) for i in number.values()],
-                                "word": list(number), "n": pd.array(counts[:len(number)], "Int64")})
+                                "ids": None, "word": list(number), "n": pd.array(counts[:len(number)], "Int64"),
+                                "number": pd.array(list(number.values()), "Int64"),
+                                "shared": pd.array([shared_class(w, s) for w in number], "Int64")})
 
-    schema = "kind int, batch long, doc_id long, train boolean, ids array<int>, word binary, n long"
+    schema = "kind int, batch long, doc_id long, train boolean, ids array<int>, word binary, n long, number int, shared int"
     return stage(docs.select("doc_id", "text", trained.alias("_train")).mapInPandas(run, schema), "hmm-batches", ["kind"])
 
 
-def _encoded(batches: DataFrame, counts: DataFrame, own: dict[bytes, int], class_total: np.ndarray,
+def _encoded(batches: DataFrame, counts: DataFrame, own: DataFrame, class_total: np.ndarray,
              words: int, types: int, s: Settings) -> DataFrame:
     """Staged texts as lists of classes, with what depends on the counts alone."""
-    known = batches.where("kind = 1").select("batch", "word", F.col("ids")[0].alias("id"), F.col("n").alias("here"))
-    counted = known.join(counts, "word", "left").select(F.col("batch").alias("_batch"), "id", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    known = batches.where("kind = 1").select(F.col("batch").alias("_batch"), "word", "number", "shared")
+    counted = known.join(counts, "word", "left").join(F.broadcast(own), "word", "left").select(
+        "_batch", "number", F.coalesce("own", F.col("shared") + s.own).alias("class"), F.coalesce("n", F.lit(0)).alias("n"))
     texts = batches.where("kind = 0").select("batch", "doc_id", "train", "ids")
-    own_of = counts.sparkSession.sparkContext.broadcast((own, class_total))
+    totals = counts.sparkSession.sparkContext.broadcast(class_total)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        own, total = own_of.value
-        size = int(right["id"].max()) + 1 if len(right) else 0
-        kinds, inside, base, seen = (np.zeros(size, t) for t in (np.int32, np.float64, np.float64, np.int64))
-        at = right["id"].to_numpy()
-        n = right["n"].to_numpy("float64")
-        kinds[at] = [own[w] if w in own else s.own + shared_class(w, s) for w in map(bytes, right["word"])]
-        inside[at] = np.log10(n + 1) - np.log10(total[kinds[at]])
-        base[at] = np.log10(n + 1) - np.log10(float(words) + (types + 1))
-        seen[at] = n > 0
+        right = right.sort_values("number")  # 0, 1, ...
+        kinds, n = right["class"].to_numpy("int32"), right["n"].to_numpy("float64")
+        inside = np.log10(n + 1) - np.log10(totals.value[kinds])
+        base = np.log10(n + 1) - np.log10(float(words) + (types + 1))
+        seen = (n > 0).astype(np.int64)
         return pd.DataFrame({"doc_id": left["doc_id"].astype("Int64"), "train": left["train"], "classes": [kinds[i] for i in left["ids"]],
                              "inside": [inside[i].sum() for i in left["ids"]], "base_score": [base[i].sum() for i in left["ids"]],
                              "n_known": [seen[i].sum() for i in left["ids"]]})
@@ -227,15 +225,15 @@ def scored(docs: DataFrame, trained: Column, s: Settings = Settings(), watch: Ca
     have the end alone; rows with equal ids are scored one by one; without training rows all
     classes are equally likely. Other columns are ignored.
     """
-    batches = _numbered(docs, trained)
+    batches = _numbered(docs, trained, s)
     counts = stage(batches.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "hmm-counts")
     words, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("n"), "word").limit(s.own).collect()  # s.own rows at most
-    own = {bytes(r["word"]): i for i, r in enumerate(top)}
+    own = counts.sparkSession.createDataFrame([(r["word"], i) for i, r in enumerate(top)], "word binary, own int")
     # Of every class: what its words' n + 1 add up to, and one more for words never seen.
     total = np.ones(s.own + s.shared)
     total[:len(top)] = [r["n"] + 1 for r in top]
-    rest = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(w,) for w in own], "word binary")), "word", "left_anti")
+    rest = counts.join(F.broadcast(own), "word", "left_anti")
 
     @F.pandas_udf("int")
     def kind(words: pd.Series) -> pd.Series:
