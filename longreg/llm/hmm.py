@@ -34,6 +34,7 @@ class Settings:
     own: int = 1 << 15  # most frequent words that are classes of their own
     shared: int = 1 << 12  # classes of all other words
     rounds: int = 3
+    prior: float = 4.0  # uses of a class by the average state that are added to those counted
     segment: int = 256  # tokens; longer training texts are cut, and go on from the average state
     seed: int = 3
 
@@ -211,9 +212,11 @@ def baum_welch_round(texts: DataFrame, model: Model, average: np.ndarray, weight
     total[found["row"].to_numpy()] = found[[f"s{i}" for i in range(k)]].to_numpy()
     emit, start, moves = total[:classes], total[classes] + 1, total[classes + 1:] + 1
     use = emit.sum(0)
-    # A class that a state never used keeps a small part of its overall share.
-    emit = emit + weights[:, None] / weights.sum()
-    return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0)), (use + 1) / (use + 1).sum()
+    average = (use + 1) / (use + 1).sum()
+    # A class keeps its overall share; which states use it is drawn to the average, the more so
+    # the less often it occurs.
+    emit = weights[:, None] * (emit + s.prior * average) / (emit.sum(1, keepdims=True) + s.prior)
+    return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0)), average
 
 
 def scored(docs: DataFrame, trained: Column, s: Settings = Settings(), watch: Callable | None = None) -> DataFrame:
