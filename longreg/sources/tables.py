@@ -69,7 +69,7 @@ def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4()}")
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    return scan_table(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_backbone(spark: SparkSession, path: str) -> DataFrame:
