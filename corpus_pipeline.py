@@ -10,15 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from longreg.llm import mixing, ngram_join, packing, secret_scan
-from longreg.llm.common import table
+from longreg.llm.common import packed as as_rows, table
 from longreg.llm.queries import WORD_BPE, quality_scores
 from longreg.sources.tables import name_shared_folder, stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    scored = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality_scores(as_rows(docs, "doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 1").select("_row.*")
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,12 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def packed(docs: DataFrame, *keys: str) -> DataFrame:
+    """Rows as one column _row, beside the columns that an operator needs, so that no other
+    column's name can clash with the operator's own. `select("_row.*")` unpacks them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *keys)
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo; null counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

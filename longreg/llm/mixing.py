@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from longreg.sources.tables import stage
 
-from .common import WORD
+from .common import WORD, packed
 
 BINS = 4096
 #: Strata per doubling of the size.
@@ -145,10 +145,10 @@ def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     keys = ["doc_id", "source"]
     taken = mix.groupBy(*keys).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).select(
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_copies", "_rows").where("_copies > 0")
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
+    joined = packed(docs, "doc_id", "source").join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
     single = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
     rank = F.row_number().over(Window.partitionBy("_d", "_s").orderBy("_d")) - 1
     several = joined.where("_rows > 1").withColumn("_n", F.floor(F.col("_copies") / F.col("_rows")) + (
         rank < F.col("_copies") % F.col("_rows")).cast("int"))
     return (single.unionByName(several).where("_n > 0")
-            .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns))
+            .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("_row.*"))

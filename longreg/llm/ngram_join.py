@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from longreg.sources.tables import stage
 
-from .common import bounded_batches, words_of
+from .common import bounded_batches, packed, words_of
 from .components import connected_components
 
 #: Ratio of the largest to the smallest set that are cut into as many fragments.
@@ -294,6 +294,6 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     """
     rows = similar_groups(docs, n, num, den)
     first = rows.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = docs.join(first.withColumnRenamed("doc_id", "_d").hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).drop("_d")
+    kept = packed(docs, "doc_id").join(first.withColumnRenamed("doc_id", "_d").hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).drop("_d")
     several = kept.where("_rows > 1").dropDuplicates(["doc_id"])
-    return kept.where("_rows = 1").unionByName(several).drop("_rows").unionByName(docs.where("doc_id is null"))
+    return kept.where("_rows = 1").unionByName(several).select("_row.*").unionByName(docs.where("doc_id is null"))

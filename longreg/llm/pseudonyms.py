@@ -6,8 +6,8 @@ get equal pseudonyms in all documents, different ones different pseudonyms, and
 the key can turn them back. The domain of every form is a product of two ranges, one for each
 half of the network, so no step has to be repeated until it fits.
 
-* card: 13 to 19 digits, spaces or hyphens between, with a right Luhn digit; the digit is
-  formed anew for the other digits.
+* card: 13 to 19 digits, or 16 or 15 in groups with spaces or hyphens between, with a right
+  Luhn digit; the digit is formed anew for the other digits.
 * phone: +1 and ten digits, written (ddd) ddd-dddd or with spaces, dots or hyphens.
 * ip: four numbers up to 255. id: ddd-dd-dddd in the ranges that are given out.
 * date: year-month-day, or day and month before the year with / or . between. The calendar
@@ -29,7 +29,7 @@ FORMS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![./-]?[0-9])",
     "id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 ANY = "|".join(FORMS.values())
 ROUNDS = 8

@@ -22,7 +22,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Steps
+from .common import Steps, packed
 
 #: Kinds and forms, in the order in which they are listed.
 KINDS = {
@@ -30,7 +30,6 @@ KINDS = {
     "access": "AKIA[A-Z0-9]{16,}",
     "hex": "[0-9a-f]{24,}",
 }
-ASSIGNED = "[A-Za-z0-9+/_.=-]{6,}$"
 RANDOM = "random"
 #: Runs of at least 16 that hold a digit or a capital after a small letter.
 CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -76,7 +75,8 @@ def spans_of(text: Column, kind: str, pattern: str) -> Column:
 def base_spans(text: Column) -> Column:
     parts = [spans_of(text, kind, pattern) for kind, pattern in KINDS.items()]
     order = F.array(*map(F.lit, KINDS))
-    found = F.filter(F.concat(*parts), lambda s: (s["kind"] != "assign") | s["hit"].rlike(ASSIGNED))
+    found = F.filter(F.concat(*parts), lambda s: (s["kind"] != "assign") | (
+        F.length(F.regexp_extract(s["hit"], KINDS["assign"], 2)) >= 6))
     return F.transform(F.array_sort(F.transform(found, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(order, s["kind"]).alias("order"), s["end"].alias("end"), s["kind"].alias("kind")))),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
@@ -189,7 +189,7 @@ def listed(spans: Column) -> Column:
 def redacted(docs: DataFrame, alpha: float = 0.01) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; n_chars, if it is there,
     follows the text. Null texts stay null; documents without secrets stay as they are."""
-    found = with_spans(docs, cuts(docs, alpha))
+    found = with_spans(packed(docs, "text"), cuts(docs.select("text"), alpha))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state, s):
@@ -200,7 +200,8 @@ def redacted(docs: DataFrame, alpha: float = 0.01) -> DataFrame:
 
     parts = F.aggregate("spans", start, step)
     clean = F.concat(F.array_join(parts["out"], ""), F.substring("text", parts["at"] + 1, F.length("text")))
-    out = found.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
+    found = found.select("_row", F.when(F.size("spans") > 0, clean).alias("_clean"))
+    made = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[F.coalesce(made[c], f"_row.{c}").alias(c) if c in made else F.col(f"_row.`{c}`") for c in docs.columns])
