@@ -239,17 +239,19 @@ def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     they are taken per step of its size.
     """
     members = apart.groupBy("cls").agg(F.max("size").alias("size"), F.max("label").alias("label"))
-    grams = members.join(sets, "cls").where(F.col("level") == _level(F.col("size"))).select(
-        "cls", "size", "label", F.explode("grams").alias("gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy("cls").orderBy("n", "gram"))
+    grams = members.select("cls", "size").join(sets, "cls").where(F.col("level") == _level(F.col("size"))).select(
+        "cls", F.explode("grams").alias("gram"))
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Those that no other class has come before all of these.
+    own = Window.partitionBy("cls")
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("n", "gram"))
     log_step = float(np.log(STEP))
     step = lambda size: F.floor(F.log(size) / log_step)
     others = F.explode(F.sequence(step(F.floor(F.col("size") * num / den)) - 1, step(F.ceil(F.col("size") * den / num)) + 1))
     least = F.greatest(F.ceil(F.col("size") * num / den), F.floor(F.pow(F.lit(STEP), F.col("other"))))
     first = F.col("size") - F.ceil((F.col("size") + least) * num / (num + den)) + 1
-    placed = (grams.join(shared, "gram").withColumn("place", place)
-              .where((F.col("n") > 1) & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * num / den) + 1))
+    placed = (grams.join(shared, "gram").join(members, "cls").withColumn("place", place)
+              .where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * num / den) + 1))
               .withColumn("own", step(F.col("size"))).withColumn("other", others).where(F.col("place") <= first))
     key = ["gram", "small", "large"]
     posted = stage(placed.select("gram", F.least("own", "other").alias("small"), F.greatest("own", "other").alias("large"),
