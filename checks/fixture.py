@@ -14,7 +14,7 @@ from longreg.operators.link import MatchPass
 from longreg.operators.shape import LINEAGE
 from longreg.plans.standardise import standardise
 from longreg.session import tune
-from longreg.sources.tables import spread_input, stage
+from longreg.sources.tables import stage
 from longreg.specs.model import CodeMap, SourceSpec
 
 SECRET = "oracle-test-secret"
@@ -107,7 +107,7 @@ def register(spark: SparkSession, sf: str) -> DataFrame:
     sql = REGISTER_SQL.format(date_format="date_format(o.o_orderdate,'yyyyMMdd')",
                               **{n: "{" + n + "}" for n in names})
     tables = {n: table(spark, sf, n) for n in names}
-    tables["orders"] = spread_input(tables["orders"])
+    tables["orders"] = tables["orders"].repartition(spark.sparkContext.defaultParallelism)
     return spark.sql(sql, **tables)
 
 

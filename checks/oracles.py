@@ -198,11 +198,14 @@ def identified(passes, src="w2"):
 def _update():
     cols = ", ".join(BACKBONE)
     own = ", ".join(c if c != "superseded_on" else "CAST(NULL AS DATE) AS superseded_on" for c in BACKBONE)
+    same = " AND ".join([*[f"coalesce(bb.{c}, '') = coalesce(once.{c}, '')" for c in ("group_id", "site_id")],
+                         *[f"bb.{c} IS NOT DISTINCT FROM once.{c}" for c in DEDUPE]])
     valid = "newest_superseded IS NULL AND coalesce(regexp_matches(case_id, '^[0-9]+$'), false)"
     return q(f"""{CLEAN}{identified(PASSES_2)},
-rows_ AS (SELECT {own} FROM named UNION ALL SELECT {cols} FROM bb),
-dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(DEDUPE)}
-  ORDER BY wave_date NULLS LAST, loaded_on NULLS LAST, superseded_on NULLS FIRST, row_id) AS rn FROM rows_) WHERE rn = 1),
+once AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(DEDUPE)}
+  ORDER BY wave_date NULLS LAST, loaded_on NULLS LAST, row_id) AS rn FROM (SELECT {own} FROM named)) WHERE rn = 1),
+dd AS (SELECT * FROM once WHERE NOT EXISTS (SELECT 1 FROM bb WHERE bb.superseded_on IS NULL AND {same})
+  UNION ALL SELECT {cols} FROM bb),
 hist AS (SELECT *, row_number() OVER w AS rn, first_value(superseded_on) OVER w AS newest_superseded FROM dd
   WINDOW w AS (PARTITION BY coalesce(group_id, ''), coalesce(site_id, '')
    ORDER BY wave_date DESC NULLS LAST, latest_event_date DESC NULLS LAST, row_id))""",

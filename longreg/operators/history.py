@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import as_text, blank_to_null
 from ..functions.keys import key_text
+from ..sources.tables import stage
 from .dedup import drop_duplicates
 from .identity import generate_ids
 from .order import newest_first, oldest_first
@@ -78,17 +79,40 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
     return check_history(generate_ids(select_required(wave, columns), secret), as_of)
 
 
+def _entity_key(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))})
+
+
+def _changed(identified: DataFrame, backbone: DataFrame, dedupe: list[str]) -> DataFrame:
+    """Rows of a wave that tell something new: not in the backbone yet, once each, and with
+    other content than the active row of their (group, site)."""
+    fresh = identified.join(backbone.select("row_id"), "row_id", "left_anti")
+    # One struct, in which nulls are equal: a condition per column makes Spark infer without end.
+    keyed = lambda df: _entity_key(df).withColumn("_content", F.struct("_g", "_s", *dedupe))
+    known = keyed(backbone.where("superseded_on is null")).select("_content")
+    once = drop_duplicates(fresh, dedupe, survivor_order())
+    return keyed(once).join(known, "_content", "left_anti").select(*identified.columns)
+
+
 def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
                     dedupe: list[str], as_of) -> DataFrame:
-    """Add a wave that has ids (see `identify`): append, drop repeated content,
-    supersede and check. Rows that are in the backbone already stay out, with whatever
-    ids a second linkage gave them, so adding the same wave again changes nothing.
+    """Add a wave that has ids (see `identify`) to the valid rows of a backbone.
+
+    A row is compared with the active row of its (group, site) only. With equal content the
+    known row stays; otherwise it is appended and the older row is superseded, so an entity
+    that returns to an earlier state has that state as its active row. Rows that are in the
+    backbone already stay out, so adding the same wave again changes nothing. Only entities
+    that the wave touches are checked again; the others pass through as they are.
 
-    The wave is read more than once, so pass it as a staged table.
+    What is new and the entities it touches are staged, as the checks read them several times.
     """
-    fresh = identified.join(backbone.select("row_id"), "row_id", "left_anti")
-    rows = backbone_union(fresh, backbone, columns)
-    return check_history(drop_duplicates(rows, dedupe, survivor_order()), as_of)
+    changed = stage(select_required(_changed(identified, backbone, dedupe), columns), "changed")
+    touched = _entity_key(changed).select("_g", "_s").distinct()
+    known = _entity_key(select_required(backbone, columns))
+    again = known.join(touched, ["_g", "_s"], "left_semi").select(*columns)
+    rest = known.join(touched, ["_g", "_s"], "left_anti").select(*columns)
+    return check_history(stage(backbone_union(changed, again, columns), "touched"), as_of).unionByName(
+        rest.withColumn("is_valid", F.lit(True)))
 
 
 SITE_KEY = ["case_id", "establishment_id"]

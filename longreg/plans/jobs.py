@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.blank import not_blank
 from ..operators.history import create_backbone, update_backbone
@@ -19,15 +19,13 @@ from ..operators.profile import profile_columns
 from ..operators.release import release_projection, subset_by_backbone, subset_by_codes
 from ..operators.shape import as_date, forbid_columns
 from ..session import tune
-from ..sources.bronze import land_bronze
-from ..sources.delimited import scan_delimited
+from ..sources.bronze import land_bronze, landed_rows
+from ..sources.delimited import CORRUPT, scan_delimited
 from ..sources.dictionary import codebook, load_dictionary, write_codebook
-from ..sources.tables import read_backbone, scan_table, spread_input, stage, write_table
+from ..sources.tables import read_backbone, scan_table, stage, write_table
 from ..specs.model import SourceSpec
 from .standardise import standardise
 
-BRONZE_COLUMNS = ("source", "wave_date", "file_id")
-
 
 @dataclass(frozen=True)
 class Wave:
@@ -40,19 +38,21 @@ class Wave:
 
 
 def _land(spark: SparkSession, wave: Wave, spec: SourceSpec, root: str, processor: str) -> DataFrame:
-    """Land the text rows and read back those of this file (one partition)."""
-    raw = scan_delimited(spark, wave.path, spec.separator)
-    land_bronze(raw, f"{root}/bronze/{wave.source}", source=wave.source, wave_date=wave.wave_date,
-                file_id=wave.file_id, received_on=wave.loaded_on, processor=processor)
-    landed = scan_table(spark, f"{root}/bronze/{wave.source}/data").where(f"file_id = '{wave.file_id}'")
-    return spread_input(landed.drop(*BRONZE_COLUMNS))
+    """Land the lines of a file as text and read them back. Lines that do not fit the header
+    are landed as well, whole, in the column CORRUPT."""
+    header = scan_delimited(spark, wave.path, spec.separator).columns
+    raw = scan_delimited(spark, wave.path, spec.separator, header, keep_corrupt=True)
+    path, keys = f"{root}/bronze/{wave.source}", {"source": wave.source, "wave_date": wave.wave_date, "file_id": wave.file_id}
+    land_bronze(raw, path, **keys, received_on=wave.loaded_on, processor=processor)
+    return landed_rows(raw, path, **keys)
 
 
-def _typed(spark, wave: Wave, spec: SourceSpec, root: str, secret: str, code_tables, processor) -> DataFrame:
+def _typed(spark, wave: Wave, spec: SourceSpec, root: str, secret: str, code_tables, processor) -> tuple[DataFrame, int]:
+    """Typed rows of the lines that fit, staged, and the number of lines that do not."""
     landed = _land(spark, wave, spec, root, processor)
-    df = standardise(landed, spec, source=wave.source, wave_date=wave.wave_date, file_id=wave.file_id,
-                     loaded_on=wave.loaded_on, secret=secret, code_tables=code_tables)
-    return stage(df, f"{wave.source}-{wave.wave_date}")
+    df = standardise(landed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), spec, source=wave.source, wave_date=wave.wave_date,
+                     file_id=wave.file_id, loaded_on=wave.loaded_on, secret=secret, code_tables=code_tables)
+    return stage(df, f"{wave.source}-{wave.wave_date}"), landed.where(F.col(CORRUPT).isNotNull()).count()
 
 
 def _write_silver(linked: DataFrame, wave: Wave, root: str, reads=()) -> tuple[str, int]:
@@ -67,7 +67,7 @@ def import_register(spark: SparkSession, wave: Wave, spec: SourceSpec, root: str
     """Land and type a register wave, create the backbone from it or update the given
     version with it, and write the linked wave."""
     tune(spark)
-    src = _typed(spark, wave, spec, root, secret, code_tables, "register import")
+    src, rejected = _typed(spark, wave, spec, root, secret, code_tables, "register import")
     columns, as_of = list(spec.backbone), as_date(wave.loaded_on, "loaded_on")
     target = f"{root}/backbone/{wave.wave_date}"
     if backbone is None:
@@ -81,18 +81,18 @@ def import_register(spark: SparkSession, wave: Wave, spec: SourceSpec, root: str
         written = scan_table(spark, silver)
         rows = write_table(update_backbone(written, known, columns, list(spec.dedupe), as_of), target,
                            ["is_valid"], reads=[backbone])
-    return {"backbone": target, "backbone_rows": rows, "silver": silver, "silver_rows": linked_rows}
+    return {"backbone": target, "backbone_rows": rows, "silver": silver, "silver_rows": linked_rows, "rejected_lines": rejected}
 
 
 def link_survey(spark: SparkSession, wave: Wave, spec: SourceSpec, root: str, secret: str, backbone: str,
                 code_tables: dict | None = None) -> dict:
     """Land and type a survey wave and link it to the backbone."""
     tune(spark)
-    src = _typed(spark, wave, spec, root, secret, code_tables, "survey link")
+    src, rejected = _typed(spark, wave, spec, root, secret, code_tables, "survey link")
     linked = match_cascade(src, read_backbone(spark, backbone), list(spec.passes))
     forbid_columns(linked, spec.deny)
     silver, rows = _write_silver(linked, wave, root)
-    return {"silver": silver, "silver_rows": rows}
+    return {"silver": silver, "silver_rows": rows, "rejected_lines": rejected}
 
 
 def _matched(spark: SparkSession, silver: str) -> DataFrame:

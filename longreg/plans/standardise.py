@@ -20,8 +20,9 @@ def type_columns(raw: DataFrame, spec: SourceSpec, code_tables: dict | None = No
     df = clean.normalize_text(df, spec.normalize)
     df = clean.null_if(df, spec.null_if)
     for code in spec.codes:
-        table = (code_tables or {}).get(code.table, {})
-        df = clean.map_codes(df, code.source, code.target, table, code.default)
+        if code.table not in (code_tables or {}):
+            raise ValueError(f"no code table {code.table!r}; pass an empty one to give every code {code.default!r}")
+        df = clean.map_codes(df, code.source, code.target, code_tables[code.table], code.default)
     df = shape.ensure_columns(df, spec.ensure)
     df = clean.pad_ids(df, spec.pad)
     return clean.extract_digits(df, spec.digits)

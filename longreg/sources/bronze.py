@@ -20,15 +20,23 @@ def manifest(stamped: DataFrame) -> DataFrame:
 
 def land_bronze(df: DataFrame, path: str, *, source: str, wave_date, file_id: str,
                 received_on, processor: str) -> int:
-    """Append a wave to bronze and a line to the manifest. Rows are counted while
-    they are written, so the manifest costs no second scan."""
+    """Add a file to bronze and a line to the manifest; landing it again replaces both. Rows
+    are counted while they are written, so the manifest costs no second scan."""
     keys = {"source": source, "wave_date": wave_date, "file_id": file_id}
     rows = write_table(stamp(df, **keys), f"{path}/data",
-                       ["source", "wave_date", "file_id"], mode="append")
+                       ["source", "wave_date", "file_id"], mode="replace")
     log = (df.sparkSession.range(1)
            .select(F.lit(source).alias("source"), F.lit(as_date(wave_date, "wave_date")).alias("wave_date"),
                    F.lit(file_id).alias("file_id"), F.lit(rows).alias("rows"),
                    F.lit(as_date(received_on, "received_on")).alias("received_on"),
                    F.lit(processor).alias("processor")))
-    write_table(log, f"{path}/manifest", mode="append")
+    write_table(log, f"{path}/manifest", ["file_id"], mode="replace")
     return rows
+
+
+def landed_rows(df: DataFrame, path: str, *, source: str, wave_date, file_id: str) -> DataFrame:
+    """The rows that landing `df` has written, with the columns of this file rather than
+    those of whichever file of the source Spark looks at."""
+    stamped = stamp(df, source=source, wave_date=wave_date, file_id=file_id)
+    own = (F.col("source") == source) & (F.col("wave_date") == as_date(wave_date, "wave_date")) & (F.col("file_id") == file_id)
+    return df.sparkSession.read.schema(stamped.schema).parquet(f"{path}/data").where(own).select(*df.columns)

@@ -15,13 +15,6 @@ def scan_table(spark: SparkSession, path: str, flags=()) -> DataFrame:
     return df.withColumns({f: F.col(f).cast("boolean") for f in flags}) if flags else df
 
 
-def spread_input(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores, such as a few files that cannot be
-    split, before expensive per-row work. Larger inputs are returned as they are."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _same(a: str, b: str) -> bool:
     clean = lambda p: os.path.normpath(p.removeprefix("file://").removeprefix("file:"))
     return clean(a) == clean(b)
@@ -30,12 +23,16 @@ def _same(a: str, b: str) -> bool:
 def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists",
                 reads=()) -> int:
     """Write in parallel, partitioned by columns; returns the rows written, counted by
-    the writing job itself. A table is never written over one of its own inputs."""
+    the writing job itself. A table is never written over one of its own inputs. The
+    mode "replace" overwrites the partitions that `df` has rows of, and leaves the others."""
     for used in reads:
         if _same(used, path):
             raise ValueError(f"{path} is also read; write a new version instead")
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by)
+    if mode == "replace":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).parquet(path)
     return seen.get["rows"]
 
 

@@ -147,3 +147,39 @@ def test_waves_are_followed(spark, tmp_path):
     land_bronze(raw.where(F.col("id") == "2"), str(tmp_path / "b"), file_id=FILES[1], **keys)
     run()
     assert [s for s in seen if s] == [["1", "2"], ["2"]]
+
+
+def _import(spark, root, path, i, date, bb=None):
+    return jobs.import_register(spark, Wave(path, "register", date, FILES[i], date), register.REGISTER, str(root), SECRET, bb,
+                                {"countries": COUNTRIES})
+
+
+def test_an_earlier_state_that_returns_is_active(spark, tmp_path):
+    at = lambda number: [firm("00000001", "000000000001", "Alfa", Huisnrvestadrs=number), firm("00000002", "000000000002", "Beta")]
+    bb = None
+    for i, (date, number) in enumerate([("2023-12-21", "1"), ("2024-02-05", "2"), ("2024-03-05", "1"), ("2024-04-05", "1")]):
+        bb = _import(spark, tmp_path, write_csv(tmp_path / f"{i}.csv", HEADER, at(number), ";"), i, date, bb)["backbone"]
+    rows = read_backbone(spark, bb).where("case_id = '00000001'").orderBy("wave_date").collect()
+    assert [(r["uni_establishment_number"], str(r["superseded_on"])) for r in rows] == [
+        ("1", "2024-02-05"), ("2", "2024-03-05"), ("1", "None")]
+    assert len({r["site_id"] for r in rows}) == 1
+    assert read_backbone(spark, bb).where("case_id = '00000002'").count() == 1
+
+
+def test_lines_and_columns_of_a_file_are_kept(spark, tmp_path):
+    for i, lines in enumerate(["id;x\n1;a\n", "id;x;new\n2;b;c\n3;d;e;EXTRA\n4\n"] * 2):
+        (tmp_path / f"{i}.csv").write_text(lines)
+        wave = Wave(str(tmp_path / f"{i}.csv"), "s", "2024-01-01", FILES[i % 2], "2024-01-02")  # each landed twice
+        landed = jobs._land(spark, wave, register.REGISTER, str(tmp_path), "t")
+    rows = sorted(landed.collect(), key=lambda r: r["id"])
+    assert landed.columns == ["id", "x", "new", "_corrupt_record"]
+    assert [(r["id"], r["new"], r["_corrupt_record"]) for r in rows] == [
+        ("2", "c", None), ("3", "e", "3;d;e;EXTRA"), ("4", None, "4")]
+    log = scan_table(spark, f"{tmp_path}/bronze/s/manifest").collect()
+    assert sorted((r["file_id"], r["rows"]) for r in log) == [(FILES[0], 1), (FILES[1], 3)]
+
+
+def test_a_missing_code_table_is_an_error(spark, tmp_path):
+    path = write_csv(tmp_path / "w.csv", HEADER, WAVE_2, ";")
+    with pytest.raises(ValueError, match="countries"):
+        jobs.import_register(spark, Wave(path, "register", "2024-02-05", FILES[1], "2024-02-05"), register.REGISTER, str(tmp_path), SECRET)
