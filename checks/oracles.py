@@ -198,8 +198,7 @@ def identified(passes, src="w2"):
 def _update():
     cols = ", ".join(BACKBONE)
     own = ", ".join(c if c != "superseded_on" else "CAST(NULL AS DATE) AS superseded_on" for c in BACKBONE)
-    same = " AND ".join([*[f"coalesce(bb.{c}, '') = coalesce(once.{c}, '')" for c in ("group_id", "site_id")],
-                         *[f"bb.{c} IS NOT DISTINCT FROM once.{c}" for c in DEDUPE]])
+    same = " AND ".join(f"bb.{c} IS NOT DISTINCT FROM once.{c}" for c in DEDUPE)
     valid = "newest_superseded IS NULL AND coalesce(regexp_matches(case_id, '^[0-9]+$'), false)"
     return q(f"""{CLEAN}{identified(PASSES_2)},
 once AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(DEDUPE)}

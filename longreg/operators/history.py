@@ -83,15 +83,20 @@ def _entity_key(df: DataFrame) -> DataFrame:
     return df.withColumns({"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))})
 
 
-def _changed(identified: DataFrame, backbone: DataFrame, dedupe: list[str]) -> DataFrame:
+def _changed(identified: DataFrame, backbone: DataFrame, dedupe: list[str], as_of) -> DataFrame:
     """Rows of a wave that tell something new: not in the backbone yet, once each, and with
-    other content than the active row of their (group, site)."""
+    other content than every active row. `dedupe` holds the firm and site numbers, so equal
+    content is that of one entity, whatever ids a second linkage gives. When a file is added again,
+    rows that it superseded the first time count as active."""
     fresh = identified.join(backbone.select("row_id"), "row_id", "left_anti")
     # One struct, in which nulls are equal: a condition per column makes Spark infer without end.
-    keyed = lambda df: _entity_key(df).withColumn("_content", F.struct("_g", "_s", *dedupe))
+    keyed = lambda df: _entity_key(df).withColumn("_content", F.struct(*dedupe))
     known = keyed(backbone.where("superseded_on is null")).select("_content")
-    once = drop_duplicates(fresh, dedupe, survivor_order())
-    return keyed(once).join(known, "_content", "left_anti").select(*identified.columns)
+    files = _entity_key(backbone).select("_g", "_s", "file_id").distinct()
+    replaced = keyed(backbone.where(F.col("superseded_on") == F.lit(as_of))).select("_g", "_s", "_content").join(
+        files, ["_g", "_s"]).select("_content", "file_id")
+    once = keyed(drop_duplicates(fresh, dedupe, survivor_order()))
+    return once.join(known, "_content", "left_anti").join(replaced, ["_content", "file_id"], "left_anti").select(*identified.columns)
 
 
 def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
@@ -106,7 +111,7 @@ def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[st
 
     What is new and the entities it touches are staged, as the checks read them several times.
     """
-    changed = stage(select_required(_changed(identified, backbone, dedupe), columns), "changed")
+    changed = stage(select_required(_changed(identified, backbone, dedupe, as_of), columns), "changed")
     touched = _entity_key(changed).select("_g", "_s").distinct()
     known = _entity_key(select_required(backbone, columns))
     again = known.join(touched, ["_g", "_s"], "left_semi").select(*columns)
