@@ -7,6 +7,7 @@ partitioned by group) and codebook/. Typed waves are staged in the shared folder
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,13 +16,13 @@ from ..functions.blank import not_blank
 from ..operators.history import create_backbone, update_backbone
 from ..operators.identity import identify
 from ..operators.link import match_cascade
-from ..operators.profile import profile_columns
+from ..operators.profile import dataset_bytes, dataset_dims, dictionary_coverage, profile_columns
 from ..operators.release import release_projection, subset_by_backbone, subset_by_codes
 from ..operators.shape import as_date, forbid_columns
 from ..session import tune
 from ..sources.bronze import land_bronze, landed_rows
 from ..sources.delimited import CORRUPT, scan_delimited
-from ..sources.dictionary import codebook, load_dictionary, write_codebook
+from ..sources.dictionary import codebook, load_dictionary, write_codebook, write_records
 from ..sources.tables import read_backbone, scan_table, stage, write_table
 from ..specs.model import SourceSpec
 from .standardise import standardise
@@ -118,9 +119,20 @@ def release_survey(spark: SparkSession, silver: str, backbone: str, spec: Source
 
 def build_codebook(spark: SparkSession, table: str, dictionary: str, target: str, format: str = "xml",
                    approx: bool = False) -> DataFrame:
-    """Profile a released table, join its dictionary, and write the codebook."""
+    """Profile a released table, join its dictionary, and write the codebook.
+
+    Variables go to `target`; the study block, the file block (rows, columns, files, bytes) and the
+    coverage of the dictionary (undocumented and orphan columns) go to folders beside it, named
+    `target` with -study, -file and -coverage.
+    """
     tune(spark)
-    _, columns, labels = load_dictionary(spark, dictionary)
-    book = stage(codebook(profile_columns(scan_table(spark, table), approx), columns, labels), "codebook")
+    data = scan_table(spark, table)
+    study, columns, labels = load_dictionary(spark, dictionary)
+    book = stage(codebook(profile_columns(data, approx), columns, labels), "codebook")
     write_codebook(book, target, format)
+    name = F.lit(os.path.basename(table.rstrip("/"))).alias("dataset")
+    file = dataset_dims(data, os.path.basename(table.rstrip("/"))).join(dataset_bytes(data).select(name, "*"), "dataset")
+    write_records(study, f"{target}-study", "stdyDscr", format)
+    write_records(file, f"{target}-file", "fileDscr", format)
+    write_records(dictionary_coverage(data, columns), f"{target}-coverage", "coverage", format)
     return book

@@ -40,11 +40,14 @@ def codebook(profile: DataFrame, columns: DataFrame, labels: DataFrame) -> DataF
                     F.col("distinct_count").cast("long").alias("distinct_count"), "null_count"))
 
 
-def write_codebook(book: DataFrame, path: str, format: str = "xml") -> None:
-    """Write a codebook as xml (one <var> per variable), json or parquet."""
-    ordered = book.sortWithinPartitions("position")
+def write_records(records: DataFrame, path: str, tag: str, format: str = "xml") -> None:
+    """Write records as xml (one element `tag` per record), json or parquet."""
     if format == "xml":
-        (ordered.write.format("xml").option("rootTag", "codeBook").option("rowTag", "var")
-         .save(path))
+        records.write.format("xml").option("rootTag", "codeBook").option("rowTag", tag).save(path)
     else:
-        ordered.write.format(format).save(path)
+        records.write.format(format).save(path)
+
+
+def write_codebook(book: DataFrame, path: str, format: str = "xml") -> None:
+    """Write a codebook as xml (one <var> per variable), json or parquet."""
+    write_records(book.sortWithinPartitions("position"), path, "var", format)

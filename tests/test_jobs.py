@@ -130,6 +130,13 @@ def test_codebook(spark, world, tmp_path):
     assert rows["entity_id"]["distinct_count"] == 3 and rows["site_id"]["label"] == "No description provided"
     xml = spark.read.format("xml").option("rowTag", "var").load(str(tmp_path / "xml"))
     assert xml.count() == out.count()
+    block = lambda part, tag: spark.read.format("xml").option("rowTag", tag).load(str(tmp_path / f"xml-{part}"))
+    assert block("study", "stdyDscr").first()["title"] == "T"
+    file = block("file", "fileDscr").first()
+    silver = scan_table(spark, world["first"]["silver"])
+    assert file["rows"] == silver.count() and file["columns"] == len(silver.columns) and file["bytes"] > 0
+    coverage = {r["column"]: r["coverage"] for r in block("coverage", "coverage").collect()}
+    assert coverage["absent"] == "orphan" and coverage["site_id"] == "undocumented" and coverage["code_legal_form"] == "documented"
 
 
 def test_waves_are_followed(spark, tmp_path):
