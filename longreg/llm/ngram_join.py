@@ -266,15 +266,9 @@ def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         F.col("cls_a").alias("a"), "size_a", F.col("cls_b").alias("b"), "size_b")
 
 
-def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, size, component_id) of every row of docs (doc_id, text).
-
-    Documents link if den * common >= num * joint of their sets of distinct word n-grams, and
-    form the connected groups of all links; component_id is a group's smallest doc_id. Null
-    and empty texts link with nothing, not even each other. Rows with equal ids are rows of
-    their own; a row without an id counts in its group, and its component_id is null only if
-    no row of the group has an id. Columns other than these two are ignored.
-    """
+def _grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(doc_id, size, cls, component, component_id) of every row: cls is the set's own number,
+    component that of its group. Both are null for rows without words."""
     base = stage(sets_and_keys(docs, n, num, den), "ngram-sets")
     met = _met(base)
     reps = base.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
@@ -284,18 +278,44 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -
     groups = reps.join(connected_components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = groups.join(least, "component").select(F.col("cls").alias("_c"), "component_id")
+    of_class = groups.join(least, "component").select(F.col("cls").alias("_c"), "component", "component_id")
     return base.join(of_class, F.col("cls") == F.col("_c"), "left").select(
-        "doc_id", "size", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "size", "cls", "component",
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, size, component_id) of every row of docs (doc_id, text).
+
+    Documents link if den * common >= num * joint of their sets of distinct word n-grams, and
+    form the connected groups of all links; component_id is a group's smallest doc_id. Null
+    and empty texts link with nothing, not even each other. Rows with equal ids are rows of
+    their own; a row without an id counts in its group, and its component_id is null only if
+    no row of the group has an id. Columns other than these two are ignored.
+    """
+    return _grouped(docs, n, num, den).select("doc_id", "size", "component_id")
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One document of each similar group, the one with the smallest id, with the columns of docs.
 
-    Of rows with the same id in a group one stays. Rows without an id all stay.
+    Of rows with the same id in a group one stays; rows with the same id in different groups
+    are decided on apart. Rows without words are groups of their own and all stay, as do rows
+    without an id.
     """
-    rows = similar_groups(docs, n, num, den)
-    first = rows.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = packed(docs, "doc_id").join(first.withColumnRenamed("doc_id", "_d").hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).drop("_d")
-    several = kept.where("_rows > 1").dropDuplicates(["doc_id"])
-    return kept.where("_rows = 1").unionByName(several).select("_row.*").unionByName(docs.where("doc_id is null"))
+    @F.pandas_udf("long")
+    def class_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([_class_of(ngram_set(text, n)) for text in texts], dtype="Int64")
+
+    rows = stage(_grouped(docs, n, num, den).where("doc_id is not null"), "ngram-groups")
+    heads = rows.where("doc_id = component_id")
+    ids = rows.groupBy(F.col("doc_id").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_head")).where("_head")
+    kept = packed(docs, "doc_id", "text").join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).drop("_d")
+    # An id alone does not say which of its rows is meant; the set's number does.
+    several = kept.where("_rows > 1").select("_row", "doc_id", class_of("text").alias("cls"))
+    first = heads.where("cls is not null").groupBy("doc_id", "component").agg(F.min("cls").alias("cls")).select("doc_id", "cls")
+    chosen = several.join(first, ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"])
+    return (kept.where("_rows = 1").select("_row").unionByName(chosen.select("_row"))
+            .unionByName(several.where("cls is null").select("_row"))
+            .select("_row.*").unionByName(docs.where("doc_id is null")))

@@ -401,3 +401,11 @@ def test_join_odd(spark):
 
 def rows_size(rows, doc_id):
     return next(r["size"] for r in rows if r.doc_id == doc_id)
+def test_rows_with_one_id_are_decided_on_apart(spark):
+    a, b, c, d = ("one two three four five six seven", "other text that no row has but this one",
+                  "a third text of quite different words again", "and the last one has its own words too")
+    rows = [(1, a), (1, b), (1, a), (2, a), (2, c), (3, b), (3, d), (4, None), (4, "")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, a), (1, b), (2, c), (3, d), (4, None), (4, "")])
+
+
