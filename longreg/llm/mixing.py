@@ -1,12 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a target in words; its documents are each expected to be taken
-target / size of the source times. The whole part of that is certain. The rest is sampled:
-documents are put in strata of like size, every stratum gets a fixed number of further
-copies, and the documents with the smallest ratio of random odds to inclusion odds get one.
-Strata differ in their inclusion odds, because what one stratum is over or under by rounding
-is carried into the next smaller one. So the words taken come near the target although a
-few documents may hold much of a source.
+target / size of the source times. Documents are put in strata of like size. From the largest
+sizes down, a stratum gets its share of the copies that are still to be given, rounded at
+random: up as often as the fraction says. So every document can be taken and left, with the
+same expectation, and what one stratum is over or under by is spread over all smaller
+documents. The words taken come near the target although a few documents may hold much of a
+source. A stratum's copies are given evenly; those left over go to the documents with the
+smallest ratio of random odds to inclusion odds.
+
+The documents of a stratum have one chance, so the ratio orders them as the random number
+does: within a stratum this is simple random sampling, the equal-chance case of Pareto order
+sampling.
 
 The documents of a stratum are never ranked in one task: the rank's threshold is found in
 two histograms of the ratio, and only the documents of one fine bin are ranked.
@@ -57,24 +62,32 @@ def stratum(size: Column) -> Column:
     return F.when(size > 0, F.floor(F.log2(size) * STRATA)).otherwise(-1).cast("int")
 
 
-def _draws(strata: DataFrame) -> DataFrame:
-    """Adds draws, the copies beyond the certain ones that each (source, stratum) gets.
+def _draws(strata: DataFrame, cap: float) -> DataFrame:
+    """(source, stratum, n, sure, draws): each of the n documents gets sure copies, draws of them one more.
 
-    `strata` has n, words and rate, the wanted words per word of the source. From the
-    largest sizes down, a stratum gets the number of copies whose expected words are nearest
-    to its share and what is carried; at most one copy a document.
+    `strata` has n, words, least, the smallest of its documents' random numbers (53 bits), and
+    the source's source_size and target. Copies are rounded up if a number drawn from the
+    smallest random number says so: a document alone is taken if its own number is below its
+    chance. No document gets more than cap copies. The wanted copies of a document stay the
+    same on average from stratum to stratum, as rounding is even.
     """
-    rows = F.sort_array(F.collect_list(F.struct("stratum", "n", "words")), asc=False)
-    start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<struct<stratum:int,n:long,draws:long>>").alias("out"))
+    rows = F.sort_array(F.collect_list(F.struct("stratum", "n", "words", "least")), asc=False)
+    start = F.struct(F.coalesce("target", F.lit(0.0)).alias("target"), F.col("source_size").cast("double").alias("words"),
+                     F.array().cast("array<struct<stratum:int,n:long,sure:long,draws:long>>").alias("out"))
 
     def step(state, row):
-        wanted = F.col("extra") * row["words"] + state["carry"]
-        mean = row["words"] / row["n"]
-        draws = F.when(row["words"] > 0, F.least(F.greatest(F.round(wanted / mean), F.lit(0)), row["n"])).otherwise(0).cast("long")
-        return F.struct((wanted - draws * mean).alias("carry"), F.concat(state["out"], F.array(F.struct(
-            row["stratum"].alias("stratum"), row["n"].alias("n"), draws.alias("draws")))).alias("out"))
-
-    return (strata.groupBy("source", "extra").agg(rows.alias("rows"))
+        rate = F.least(F.greatest(state["target"] / state["words"], F.lit(0.0)), F.lit(float(cap)))
+        up = F.pow(1 - (row["least"] + 0.5) / float(1 << 53), row["n"])  # the least of n is evenly spread in this
+        copies = F.least(F.floor(rate * row["n"] + up), F.floor(float(cap) * row["n"])).cast("long")
+        # Copies of documents without words add nothing; none is drawn.
+        even = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+        copies = F.when(row["words"] > 0, copies).otherwise(even * row["n"])
+        sure = F.floor(copies / row["n"]).cast("long")
+        return F.struct((state["target"] - copies * (row["words"] / row["n"])).alias("target"), (state["words"] - row["words"]).alias("words"),
+                        F.concat(state["out"], F.array(F.struct(row["stratum"].alias("stratum"), row["n"].alias("n"), sure.alias("sure"),
+                                                                (copies - sure * row["n"]).alias("draws")))).alias("out"))
+
+    return (strata.groupBy("source", "source_size", "target").agg(rows.alias("rows"))
             .withColumn("rows", F.aggregate("rows", start, step)["out"])
             .select("source", F.explode("rows").alias("r")).select("source", "r.*"))
 
@@ -97,13 +110,11 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: fl
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11)  # 53 random bits
     base = stage(docs.select("doc_id", "source", size.alias("size"), u.alias("_u"))
                  .withColumn("stratum", stratum(F.col("size"))), "mix-sizes")
-    strata = base.groupBy("source", "stratum").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    strata = base.groupBy("source", "stratum").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.min("_u").alias("least"))
     sources = source_targets(strata.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
-    sources = sources.withColumn("_rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    sources = sources.withColumn("sure", F.floor("_rate")).withColumn("extra", F.col("_rate") - F.col("sure")).drop("_rate")
-    joined = strata.join(sources.select(F.col("source").alias("_s"), "extra"), F.col("source").eqNullSafe(F.col("_s")))
-    draws = stage(_draws(joined.drop("_s")).join(
-        sources.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "mix-draws")
+    sources = stage(sources.withColumnRenamed("source", "_s"), "mix-targets")
+    own = F.col("source").eqNullSafe(F.col("_s"))
+    draws = stage(_draws(strata.join(sources, own).drop("_s"), cap).join(sources, own).drop("_s"), "mix-draws")
 
     # One row per source and stratum, of which there are at most STRATA * 64 a source.
     plan = draws.select(F.col("source").alias("_s"), F.col("stratum").alias("_k"), "n", "draws", "sure", "source_size", "target")

@@ -331,6 +331,18 @@ def test_mix_is_near_its_targets_and_agrees_with_itself(spark):
     assert sorted(rows) == sorted(queries.op8_pareto_mixing(spark, sf).collect())
 
 
+@pytest.mark.parametrize("rate, sizes", [(0.3, [4000]), (0.7, [4000]), (1.2, [4000, 4000]), (1.3, [9000, 4000, 900, *[100] * 40])])
+def test_documents_are_taken_as_often_as_expected(spark, rate, sizes):
+    rng = np.random.default_rng(5)  # many sources stand for many seeds
+    of = lambda n: int(math.log2(n) * mixing.STRATA)
+    words = {k: sum(n for n in sizes if of(n) == k) for k in map(of, sizes)}
+    rows = [(f"s{i}", sum(sizes), rate * sum(sizes), k, n, words[k], int(min(rng.integers(0, 1 << 53, n))))
+            for i in range(2000) for k, n in Counter(map(of, sizes)).items()]
+    frame = spark.createDataFrame(rows, "source string, source_size long, target double, stratum int, n long, words long, least long")
+    got = mixing._draws(frame, 3.0).groupBy("stratum").agg(F.avg(F.col("sure") + F.col("draws") / F.col("n")).alias("copies")).collect()
+    assert len(got) == len(words) and all(abs(r.copies - rate) < 0.05 for r in got)
+
+
 def test_mixing_odd(spark):
     docs = odd_documents(spark)
     mix = mixing.mix_documents(docs)
@@ -399,8 +411,6 @@ def test_join_odd(spark):
     assert ngram_join.one_of_each(empty(spark)).count() == 0
 
 
-def rows_size(rows, doc_id):
-    return next(r["size"] for r in rows if r.doc_id == doc_id)
 def test_rows_with_one_id_are_decided_on_apart(spark):
     a, b, c, d = ("one two three four five six seven", "other text that no row has but this one",
                   "a third text of quite different words again", "and the last one has its own words too")
@@ -409,3 +419,5 @@ def test_rows_with_one_id_are_decided_on_apart(spark):
     assert Counter(map(tuple, kept)) == Counter([(1, a), (1, b), (2, c), (3, d), (4, None), (4, "")])
 
 
+def rows_size(rows, doc_id):
+    return next(r["size"] for r in rows if r.doc_id == doc_id)
