@@ -7,10 +7,12 @@ from the characters that occur, and every candidate gets
 * three tests of randomness over its alphabet: chi-squared uniformity, runs above and below
   the middle of the alphabet, and serial correlation. One that any of them rejects (with
   Bonferroni's correction) is not random;
-* an e-value against ordinary text: how much likelier its changes between letters of either
-  case, digits and signs are in a random string of its encoding than in any text that changes
-  at most every fifth character. Under the null its mean is at most one, and it grows with
-  the length.
+* an e-value against ordinary text: how much likelier its symbols are as a random string of
+  its encoding than as text whose letters are as frequent as in English, and which goes on
+  from small letters, capitals, digits or signs to another of them at most every fifth
+  character, to those classes to which the candidate goes. As the encoding is chosen by the candidate, the e-value is divided by the number
+  of encodings; then it is weighted by the smallest p-value of the three tests, where that
+  is below one after correction. Neither lifts its mean under the null over one.
 
 False discoveries are controlled by the e-value form of the Benjamini-Hochberg rule, apart for
 each encoding and each doubling of the length, as short candidates are many and prove little.
@@ -18,6 +20,7 @@ each encoding and each doubling of the length, as short candidates are many and
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -34,8 +37,7 @@ RANDOM = "random"
 #: Runs of at least 16 that hold a digit or a capital after a small letter.
 CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]{16,}={0,2}")
 LOWER, UPPER, DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
-#: Encodings by the first that has all characters: name, alphabet, chance that two characters
-#: in a row are of different classes (small, capital, digit, sign).
+#: Encodings by the first that has all characters: name, characters, alphabet.
 ENCODINGS = (
     ("digits", DIGITS, DIGITS),
     ("hex", "0-9a-f", DIGITS + LOWER[:6]),
@@ -52,9 +54,21 @@ ENCODINGS = (
 TEXT_CHANGES = 0.2
 
 
-def _class_change(alphabet: str) -> float:
-    sizes = [sum(map(group.__contains__, alphabet)) for group in (LOWER, UPPER, DIGITS, "+/-_")]
-    return 1 - sum((n / len(alphabet)) ** 2 for n in sizes)
+#: Letters of English in 10,000, and signs of names in 100.
+LETTERS = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (
+    1270, 906, 817, 751, 697, 675, 633, 609, 599, 425, 403, 278, 276, 241, 236, 223, 202, 197, 193, 149, 98, 77, 15, 15, 10, 7)))
+SIGNS = {"_": 0.4, "-": 0.3, "/": 0.25, "+": 0.05}
+#: Share of letters in names and abbreviations that are as frequent as any other.
+EVEN = 0.03
+
+
+def _text_log_chances() -> list[float]:
+    """By ASCII code, the log chance of a character in ordinary text, given its class."""
+    out = [0.0] * 128
+    for letter, n in LETTERS.items():
+        chance = math.log((1 - EVEN) * n / sum(LETTERS.values()) + EVEN / 26)
+        out[ord(letter)] = out[ord(letter.upper())] = chance
+    return [math.log(0.1) if chr(i) in DIGITS else math.log(SIGNS[chr(i)]) if chr(i) in SIGNS else x for i, x in enumerate(out)]
 
 
 def spans_of(text: Column, kind: str, pattern: str) -> Column:
@@ -114,9 +128,10 @@ def candidates(text: Column) -> Column:
     steps = steps.add(n=lambda c: F.length(c["body"]), name=lambda c: _encoding(c["body"]))
     steps = steps.add(
         alphabet=lambda c: _case(c["name"], {e: a for e, _, a in ENCODINGS}),
-        q1=lambda c: _case(c["name"], {e: max(_class_change(a), TEXT_CHANGES) for e, _, a in ENCODINGS}),
-        changes=lambda c: F.regexp_count(F.translate(
-            c["body"], LOWER + UPPER + DIGITS + "+/-_", "l" * 26 + "u" * 26 + "d" * 10 + "ssss"), F.lit(r"(.)(?!\1|$)")))
+        classes=lambda c: F.translate(c["body"], LOWER + UPPER + DIGITS + "+/-_", "l" * 26 + "u" * 26 + "d" * 10 + "ssss"))
+    steps = steps.add(
+        changes=lambda c: F.regexp_count(c["classes"], F.lit(r"(.)(?!\1|$)")),
+        turns=lambda c: F.array(*[F.array(*[F.regexp_count(c["classes"], F.lit(f"{a}(?={b})")) for b in "luds" if b != a]) for a in "luds"]))
     # Symbols as distances from the middle of the alphabet.
     steps = steps.add(k=lambda c: F.length(c["alphabet"]), at=lambda c: F.transform(
         F.slice(F.split(c["body"], ""), 1, c["n"]), lambda x: F.instr(c["alphabet"], x) - (F.length(c["alphabet"]) + 1) / 2))
@@ -132,13 +147,22 @@ def candidates(text: Column) -> Column:
         # The variance of a uniform symbol is known, so it is not estimated.
         serial=lambda c: _total(c["pairs"], lambda v: v) / ((c["k"] * c["k"] - 1) / 12) / F.sqrt(c["n"] - 1),
         q0=lambda c: F.greatest(F.least(c["changes"] / (c["n"] - 1), F.lit(TEXT_CHANGES)), F.lit(1e-6)))
-    steps = steps.add(p=lambda c: F.least(
+    chances = F.array(*[F.lit(x) for x in _text_log_chances()])
+    weighed = lambda n: F.when(n > 0, n * F.log(n)).otherwise(0.0)
+    steps = steps.add(
+        # The share of each other class after a class is the candidate's own, which makes text
+        # likelier than it is under any fixed shares.
+        text=lambda c: (_total(c["turns"], lambda t: _total(t, weighed) - weighed(F.aggregate(
+            t, F.lit(0), lambda s, v: s + v))) + c["changes"] * F.log(c["q0"]) + (c["n"] - 1 - c["changes"]) * F.log(1 - c["q0"]) + _total(
+            F.slice(F.split(c["body"], ""), 1, c["n"]), lambda x: F.element_at(chances, F.ascii(x) + 1))),
+        p=lambda c: F.least(
         _two_sided(F.greatest(c["uniform"], F.lit(0.0))), _two_sided(c["serial"]),
         _two_sided((c["runs"] - c["expected"]) / F.sqrt(F.greatest((c["expected"] - 1) * (c["expected"] - 2) / (c["n"] - 1), F.lit(1e-9))))))
     return F.transform(steps.array, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"),
         F.concat_ws(":", c["name"], F.floor(F.log2(c["n"])).cast("string")).alias("stratum"),
-        (c["changes"] * F.log(c["q1"] / c["q0"]) + (c["n"] - 1 - c["changes"]) * F.log((1 - c["q1"]) / (1 - c["q0"]))).alias("log_e"),
+        (-c["n"] * F.log(c["k"]) - c["text"] - math.log(len(ENCODINGS)) + F.log(F.least(
+            F.greatest(3 * c["p"], F.lit(1e-300)), F.lit(1.0)))).alias("log_e"),
         ((3 * c["p"] >= 0.01) & (c["name"] != "digits")).alias("random")))
 
 

@@ -189,6 +189,26 @@ def test_random_strings_are_added_and_names_are_not(spark):
     assert got == {1: "random:4:29", 2: "", 3: "", 4: "assign:0:32"}
 
 
+@pytest.mark.parametrize("length, least", [(20, 0.5), (24, 0.7), (32, 0.85), (64, 0.95)])
+def test_secrets_of_each_encoding_are_found_among_names(spark, length, least):
+    rng = np.random.default_rng(length)
+    words = "get user name file report index value page cache list item config time server path token count left data model total open".split()
+    glue = ["_", "-", "/", ""]
+    names = []
+    for i in range(6000):
+        sign, parts = glue[i % 4], [words[j] for j in rng.integers(0, len(words), 5)]
+        parts = [p.upper() if i % 12 == 0 else p.capitalize() if sign == "" else p for p in parts]
+        names.append(sign.join([*parts, str(rng.integers(1, 2030))]))
+    secrets = [(name, "".join(rng.choice(list(alphabet), length))) for name, _, alphabet in secret_scan.ENCODINGS
+               if name != "digits" for _ in range(60)]
+    rows = [(i, name, f"see {text} there") for i, (name, text) in enumerate([("name", n) for n in names] + secrets)]
+    t = spark.createDataFrame(rows, "doc_id long, kind string, text string").repartition(8)
+    got = secret_scan.with_spans(t, secret_scan.cuts(t)).select("kind", F.size("spans").alias("n")).groupBy("kind").agg(F.avg((F.col("n") > 0).cast("int"))).collect()
+    found = dict(map(tuple, got))
+    assert found.pop("name") <= 0.002
+    assert len(found) == 9 and all(share >= least for share in found.values()), found
+
+
 def test_redaction(spark, docs):
     digest = {r.doc_id: r.base_sha256 for r in queries.op4_secret_scan(spark, SF).collect()}
     nothing = hashlib.sha256(b"").hexdigest()
