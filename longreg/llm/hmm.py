@@ -33,9 +33,9 @@ class Settings:
     states: int = 8
     own: int = 1 << 15  # most frequent words that are classes of their own
     shared: int = 1 << 12  # classes of all other words
-    rounds: int = 3
+    rounds: int = 4
     prior: float = 4.0  # uses of a class by the average state that are added to those counted
-    segment: int = 256  # tokens; longer training texts are cut, and go on from the average state
+    segment: int = 0  # tokens; longer training texts are cut, and go on from the average state; 0: none is cut
     seed: int = 3
 
 
@@ -155,6 +155,7 @@ def expected_counts(texts: list[np.ndarray], model: Model, average: np.ndarray,
     """(start, move, emit) summed over texts: the expected uses of states at the start, of moves,
     and of states with each class."""
     model, average = model.smoothed(), average.astype(np.float32)
+    segment = segment or max(map(len, texts))
     parts = [(t[i:i + segment], i == 0) for t in texts for i in range(0, len(t), segment)]
     parts.sort(key=lambda p: -len(p[0]))
     lengths = np.array([len(p[0]) for p in parts])

@@ -69,6 +69,23 @@ def test_expected_counts_are_those_of_all_paths():
         assert np.allclose(have, want / total, rtol=1e-4, atol=1e-6)
 
 
+def test_expected_counts_follow_long_texts():
+    model, text = tiny_model(3), np.random.default_rng(4).integers(0, 5, 700)
+    model.move = 0.02 * model.move + 0.98 * np.eye(3)
+    ahead, back = [model.start * model.emit[text[0]]], [np.ones(3)]
+    for c in text[1:]:
+        now = (ahead[-1] @ model.move) * model.emit[c]
+        ahead.append(now / now.sum())
+    for c in text[:0:-1]:
+        now = model.move @ (model.emit[c] * back[-1])
+        back.append(now / now.sum())
+    gamma = np.array(ahead) * np.array(back[::-1])
+    gamma /= gamma.sum(1, keepdims=True)
+    want = np.stack([gamma[text == c].sum(0) for c in range(5)])
+    _, moves, emit = hmm.expected_counts([text], model, np.full(3, 1 / 3), hmm.Settings().segment)
+    assert hmm.Settings().rounds == 4 and np.allclose(emit, want, rtol=1e-3) and moves.sum() == pytest.approx(699, rel=1e-4)
+
+
 def test_hidden_markov_scores(spark, docs):
     rows = queries.op1_hidden_markov_scores(spark, SF).collect()
     tokens = {r.doc_id: [*words_of(r.text), hmm.END] for r in docs.collect()}
