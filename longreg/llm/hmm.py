@@ -62,7 +62,7 @@ def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(frames):
-        for frame in _chunks(frames, "text", 20_000_000):
+        for place, frame in enumerate(_chunks(frames, "text", 20_000_000)):
             number: dict[bytes, int] = {}
             texts, counts = [], np.zeros(0, np.int64)
             for text, train in zip(frame["text"], frame["_train"]):
@@ -72,8 +72,8 @@ def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
                 if train:
                     counts += np.bincount(at, minlength=len(counts))
                 texts.append(at)
-            batch = xxhash.xxh3_64_intdigest(repr((len(frame), list(frame["doc_id"]), [len(t) for t in texts])).encode())
-            batch = batch >> 1
+            # The partition and the place in it tell batches apart; a partition has under 2^31 of them.
+            batch = (int(frame["_part"].iloc[0]) << 31) + place
             yield pd.DataFrame({"kind": 0, "batch": batch, "doc_id": frame["doc_id"].astype("Int64"), "train": frame["_train"],
                                 "ids": texts, "word": None, **{c: pd.array([None] * len(frame), "Int64") for c in ("n", "number", "shared")}})
             yield pd.DataFrame({"kind": 1, "batch": batch, "doc_id": pd.array([None] * len(number), "Int64"), "train": None,
@@ -82,7 +82,7 @@ def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
                                 "shared": pd.array([shared_class(w, s) for w in number], "Int64")})
 
     schema = "kind int, batch long, doc_id long, train boolean, ids array<int>, word binary, n long, number int, shared int"
-    return stage(docs.select("doc_id", "text", trained.alias("_train")).mapInPandas(run, schema), "hmm-batches", ["kind"])
+    return stage(docs.select("doc_id", "text", trained.alias("_train"), F.spark_partition_id().alias("_part")).mapInPandas(run, schema), "hmm-batches", ["kind"])
 
 
 def _encoded(batches: DataFrame, counts: DataFrame, own: DataFrame, class_total: np.ndarray,

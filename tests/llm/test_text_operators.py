@@ -111,6 +111,15 @@ def test_hidden_markov_odd(spark):
     assert hmm.scored(empty(spark), F.lit(True), small).count() == 0
 
 
+def test_batches_alike_in_ids_and_lengths_are_kept_apart(spark):
+    texts = ["a a a", "b c d"]
+    frame = spark.createDataFrame([(1, t) for t in texts], "doc_id long, text string").coalesce(2).repartitionByRange(2, "text")
+    got = sorted(r.base_score for r in hmm.scored(frame, F.lit(True), hmm.Settings(states=2, own=64, shared=16, rounds=1)).collect())
+    counts = Counter(" ".join(texts).split()) + Counter({"end": 2})
+    want = sorted(sum(math.log10((counts[w] + 1) / (8 + 5 + 1)) for w in (*t.split(), "end")) for t in texts)
+    assert got == pytest.approx(want)
+
+
 # --- op2
 
 
