@@ -269,17 +269,23 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
 
     Texts are shuffled once, into ranges of that order, which may split the rows of one id. A task
     goes through its range with two texts in memory. Only the last document of a range meets the first
-    of the next range in a second step, one row a range.
+    of the next range in a second step, one row a range. In between, both fingerprints lie in one
+    column, which compresses better, as they have most segments in common.
     """
     bounded_batches(docs.sparkSession)
     order = ["doc_id", "_digest", "_n"]
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns(
         {"_digest": F.unhex(F.sha2("text", 256)), "_n": F.monotonically_increasing_id()})
     ranges = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("_range"))
-    made = ", ".join(f"{n} {t}" for n, t in zip(RESULT, TYPES))
+    prints = ["fingerprint", "edited_fingerprint"]
+    made = ", ".join([f"{n} {t}" for n, t in zip(RESULT, TYPES) if n not in prints] + ["_prints string"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", *RESULT]
 
+    def joined(rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=columns)
+        return frame.assign(_prints=[None if r[3] is None else f"{r[3]} {r[4]}" for r in rows]).drop(columns=prints)
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = before = where = None
         for batch in batches:
@@ -291,9 +297,9 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
                 else:
                     rows.append(compared(before, here))
                 before = here
-            yield pd.DataFrame(rows, columns=columns).assign(_range=None, _first=None, _last=None)
+            yield joined(rows).assign(_range=None, _first=None, _last=None)
         if before is not None:
-            yield pd.DataFrame([(before.doc_id, *[None] * len(RESULT), where, first, before.text)], columns=[*columns, "_range", "_first", "_last"])
+            yield joined([(before.doc_id, *[None] * len(RESULT))]).assign(_range=where, _first=first, _last=before.text)
 
     walked = stage(ranges.mapInPandas(walk, f"doc_id {id_type}, {made}, _range int, _first string, _last string"), "fingerprints")
     ends = walked.where("_range is not null")
@@ -305,7 +311,8 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = zip(batch["doc_id"].astype(object), batch["_last"], batch["_after"])
-            yield pd.DataFrame([compared(Read(None if pd.isna(d) else d, a), Read(None, b)) for d, a, b in rows], columns=columns)
+            yield joined([compared(Read(None if pd.isna(d) else d, a), Read(None, b)) for d, a, b in rows])
 
     closed = meet.select("doc_id", "_last", "_after").mapInPandas(close, f"doc_id {id_type}, {made}")
-    return walked.where("_range is null").select(*columns).unionByName(closed)
+    whole = walked.where("_range is null").select(*closed.columns).unionByName(closed)
+    return whole.withColumns({n: F.split_part("_prints", F.lit(" "), F.lit(i)) for i, n in enumerate(prints, 1)}).select(*columns)
