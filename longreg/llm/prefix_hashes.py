@@ -276,32 +276,34 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     order = ["doc_id", "_digest", "_n"]
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns(
         {"_digest": F.unhex(F.sha2("text", 256)), "_n": F.monotonically_increasing_id()})
-    ranges = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("_range"))
+    ranges = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", F.spark_partition_id().alias("_range"))  # text: pandas turns integers beside nulls into doubles
     prints = ["fingerprint", "edited_fingerprint"]
     made = ", ".join([f"{n} {t}" for n, t in zip(RESULT, TYPES) if n not in prints] + ["_prints string"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", *RESULT]
 
-    def joined(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=columns)
-        return frame.assign(_prints=[None if r[3] is None else f"{r[3]} {r[4]}" for r in rows]).drop(columns=prints)
+    def joined(rows: list[tuple], place=None, first=None, last=None) -> pd.DataFrame:
+        shorter = [(*r[:3], None if r[3] is None else f"{r[3]} {r[4]}", *r[5:], place, first, last) for r in rows]
+        names = [*columns[:3], "_prints", *columns[5:], "_range", "_first", "_last"]
+        return pd.DataFrame(shorter, columns=names, dtype=object)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = before = where = None
         for batch in batches:
             rows = []
-            for doc_id, text, place in zip(batch["doc_id"].astype(object), batch["text"], batch["_range"]):
+            for doc_id, text, place in zip(batch["doc_id"], batch["text"], batch["_range"]):
                 here = Read(None if pd.isna(doc_id) else doc_id, text)
                 if before is None:
                     first, where = here.text, place
                 else:
                     rows.append(compared(before, here))
                 before = here
-            yield joined(rows).assign(_range=None, _first=None, _last=None)
+            yield joined(rows)
         if before is not None:
-            yield joined([(before.doc_id, *[None] * len(RESULT))]).assign(_range=where, _first=first, _last=before.text)
+            yield joined([(before.doc_id, *[None] * len(RESULT))], where, first, before.text)
 
-    walked = stage(ranges.mapInPandas(walk, f"doc_id {id_type}, {made}, _range int, _first string, _last string"), "fingerprints")
+    walked = stage(ranges.mapInPandas(walk, f"doc_id string, {made}, _range int, _first string, _last string"), "fingerprints")
     ends = walked.where("_range is not null")
     every = Window.orderBy("_range")  # one number a range
     follow = ends.select("_range").withColumn("_next", F.coalesce(F.lead("_range").over(every), F.first("_range").over(every)))
@@ -310,9 +312,10 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = zip(batch["doc_id"].astype(object), batch["_last"], batch["_after"])
-            yield joined([compared(Read(None if pd.isna(d) else d, a), Read(None, b)) for d, a, b in rows])
+            rows = zip(batch["doc_id"], batch["_last"], batch["_after"])
+            found = joined([compared(Read(None if pd.isna(d) else d, a), Read(None, b)) for d, a, b in rows])
+            yield found.drop(columns=["_range", "_first", "_last"])
 
-    closed = meet.select("doc_id", "_last", "_after").mapInPandas(close, f"doc_id {id_type}, {made}")
-    whole = walked.where("_range is null").select(*closed.columns).unionByName(closed)
+    closed = meet.select("doc_id", "_last", "_after").mapInPandas(close, f"doc_id string, {made}")
+    whole = walked.where("_range is null").select(*closed.columns).unionByName(closed).withColumn("doc_id", F.col("doc_id").cast(id_type))
     return whole.withColumns({n: F.split_part("_prints", F.lit(" "), F.lit(i)) for i, n in enumerate(prints, 1)}).select(*columns)

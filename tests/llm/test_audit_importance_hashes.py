@@ -208,7 +208,8 @@ def test_compared_with_next(spark, ranges):
     spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        for frame in (docs, docs.where("doc_id = 5"), empty(spark), spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")):
+        large = docs.withColumn("doc_id", F.col("doc_id") + (1 << 60))
+        for frame in (docs, large, docs.where("doc_id = 5"), empty(spark), spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")):
             got = prefix_hashes.compared_with_next(frame)
             assert sorted(str(tuple(r)) for r in got.collect()) == plain_compared([(r["doc_id"], r["text"]) for r in frame.collect()])
     finally:
