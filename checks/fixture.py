@@ -140,6 +140,9 @@ def checked_first_wave(spark: SparkSession, sf: str) -> DataFrame:
     return create_backbone(wave(spark, sf, WAVE_1), BACKBONE, SECRET, LOADED[WAVE_1])
 
 
+def checked_backbone(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged(spark, sf, "backbone", lambda: checked_first_wave(spark, sf))
+
+
 def backbone(spark: SparkSession, sf: str) -> DataFrame:
-    checked = _staged(spark, sf, "backbone", lambda: checked_first_wave(spark, sf))
-    return checked.where("is_valid").drop("is_valid")
+    return checked_backbone(spark, sf).where("is_valid").drop("is_valid")

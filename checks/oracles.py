@@ -195,21 +195,23 @@ def identified(passes, src="w2"):
  FROM {src} s LEFT JOIN best b ON s.row_id = b.row_id{joins})"""
 
 
-def _update():
+def _update(state="bb"):
+    """CTEs ending in `hist`, and the new validity and superseding date: the second wave on top of
+    `state`, by one window over everything."""
     cols = ", ".join(BACKBONE)
     own = ", ".join(c if c != "superseded_on" else "CAST(NULL AS DATE) AS superseded_on" for c in BACKBONE)
-    same = " AND ".join(f"bb.{c} IS NOT DISTINCT FROM once.{c}" for c in DEDUPE)
+    same = " AND ".join(f"k.{c} IS NOT DISTINCT FROM once.{c}" for c in DEDUPE)
     valid = "newest_superseded IS NULL AND coalesce(regexp_matches(case_id, '^[0-9]+$'), false)"
-    return q(f"""{CLEAN}{identified(PASSES_2)},
+    marked = f"CASE WHEN rn > 1 AND superseded_on IS NULL THEN DATE '{LOADED[WAVE_2]}' ELSE superseded_on END"
+    return f"""{CLEAN}{identified(PASSES_2)},
 once AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(DEDUPE)}
   ORDER BY wave_date NULLS LAST, loaded_on NULLS LAST, row_id) AS rn FROM (SELECT {own} FROM named)) WHERE rn = 1),
-dd AS (SELECT * FROM once WHERE NOT EXISTS (SELECT 1 FROM bb WHERE bb.superseded_on IS NULL AND {same})
-  UNION ALL SELECT {cols} FROM bb),
+dd AS (SELECT * FROM once WHERE NOT EXISTS (SELECT 1 FROM {state} k WHERE k.superseded_on IS NULL AND {same})
+  UNION ALL SELECT {cols} FROM {state}),
 hist AS (SELECT *, row_number() OVER w AS rn, first_value(superseded_on) OVER w AS newest_superseded FROM dd
   WINDOW w AS (PARTITION BY coalesce(group_id, ''), coalesce(site_id, '')
-   ORDER BY wave_date DESC NULLS LAST, latest_event_date DESC NULLS LAST, row_id))""",
-             f"""SELECT * EXCLUDE (rn, newest_superseded, superseded_on), ({valid}) AS is_valid,
- CASE WHEN rn > 1 AND superseded_on IS NULL THEN DATE '{LOADED[WAVE_2]}' ELSE superseded_on END AS superseded_on FROM hist""")
+   ORDER BY wave_date DESC NULLS LAST, latest_event_date DESC NULLS LAST, row_id)),
+after AS (SELECT * EXCLUDE (rn, newest_superseded, superseded_on), ({valid}) AS is_valid, {marked} AS superseded_on FROM hist)"""
 
 
 HISTORY = f"""{CLEAN},
@@ -325,6 +327,9 @@ def oracle_sql() -> dict[str, str]:
                 "correspondence_code_country", "date_founded", "date_registration", "indication_import",
                 "employees_total", "wave_date")) + " FROM f"),
         "bronze_manifest": q(CLEAN, "SELECT source, wave_date, file_id, count(*) AS rows FROM c GROUP BY ALL"),
+        "bronze_roundtrip": q(raw, f"""SELECT CAST(row_key AS VARCHAR) AS row_key, case_id, hq_indicator, code_sbi_1,
+ CASE wave_date WHEN DATE '{WAVE_1}' THEN 'row_key,case_id,source,code_sbi_1' ELSE 'row_key,case_id,file_id,wave_date' END AS header,
+ count(*) OVER (PARTITION BY wave_date) AS rows FROM f"""),
         "split_matched_counts": f"SELECT matched, count(*) AS rows FROM (SELECT entity_id IS NOT NULL AS matched FROM ("
                                 + exact(_by(NAME, CITY, unique=True)) + ")) GROUP BY matched",
         "dictionary_labels": "SELECT 'part_' || p_partkey AS \"column\", p_brand AS description, CAST(p_size AS VARCHAR) AS value, p_type AS label FROM part",
@@ -442,7 +447,11 @@ FROM own WHERE {filled(*LOCATION)} GROUP BY {', '.join(text(c) for c in LOCATION
         "generate_ids": q(CLEAN, f"SELECT {IDS} FROM g"),
         "append_ids": q(CLEAN + identified([]), f"SELECT {IDS} FROM named"),
         "backbone_create": q(CLEAN, f"SELECT {', '.join(BACKBONE)}, is_valid FROM checked"),
-        "backbone_update": _update(),
+        "backbone_update": q(_update(), "SELECT * FROM after"),
+        "backbone_update_quarantine": q(_update("checked"), "SELECT * FROM after"),
+        "backbone_changes": q(_update("checked"), """SELECT a.row_id, a.case_id, a.superseded_on, a.is_valid, k.row_id IS NULL AS is_new
+ FROM after a LEFT JOIN checked k ON a.row_id = k.row_id WHERE k.row_id IS NULL OR a.superseded_on IS DISTINCT FROM k.superseded_on
+  OR a.is_valid <> k.is_valid"""),
         "identified_wave": q(CLEAN + identified(PASSES_2), f"""SELECT {IDS}, CAST(pass AS INTEGER) AS match_pass,
  CASE WHEN pass IS NULL THEN 'unmatched' ELSE 'linked' END AS match_status FROM named"""),
         "history_clean": q(HISTORY, f"SELECT row_id, {SUPERSEDED} FROM hist WHERE {NUMERIC}"),

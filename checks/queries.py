@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longreg.functions.blank import blank_to_null
 from longreg.operators import clean, dedup, history, identity, link, profile, quality, release, shape
-from longreg.sources import bronze, delimited, dictionary
+from longreg.sources import bronze, delimited, dictionary, versions
 from longreg.sources.tables import shared_folder, stage
 
 from . import fixture as fx
@@ -70,6 +70,21 @@ def bronze_manifest(spark, sf):
     return bronze.manifest(stamped[0].unionByName(stamped[1]))
 
 
+def bronze_roundtrip(spark, sf):
+    """Land both waves, whose delivered columns are named like what the manifest knows, and read them back by it."""
+    path = os.path.join(shared_folder(spark), f"bronze-{uuid.uuid4()}")
+    raw = fx.register(spark, sf)
+    parts = []
+    for day, more in ((WAVE_1, {"hq_indicator": "source"}), (WAVE_2, {"hq_indicator": "file_id", "code_sbi_1": "wave_date"})):
+        delivered = raw.where(F.col("wave_date") == F.lit(day)).drop("wave_date").select(
+            F.col("row_key").cast("string"), "case_id", "hq_indicator", "code_sbi_1").withColumnsRenamed(more)
+        bronze.land_bronze(delivered, path, source=fx.SOURCE, wave_date=day, file_id=fx.FILES[day], received_on=LOADED[day], processor="check")
+        file = bronze.landed_file(spark, path, fx.FILES[day])
+        back = bronze.landed_rows(spark, path, file).withColumnsRenamed({v: k for k, v in more.items()})
+        parts.append(back.select("*", F.lit(",".join(file.header)).alias("header"), F.lit(file.rows).cast("long").alias("rows")))
+    return parts[0].unionByName(parts[1])
+
+
 def split_matched_counts(spark, sf):
     linked = link.exact_match(_w2(spark, sf), fx.backbone(spark, sf), [NAME, CITY], unique=True)
     return linked.groupBy(clean.is_matched(linked).alias("matched")).agg(F.count(F.lit(1)).alias("rows"))
@@ -432,6 +447,24 @@ def backbone_update(spark, sf):
                                    fx.BACKBONE, fx.DEDUPE, LOADED[WAVE_2])
 
 
+def backbone_update_quarantine(spark, sf):
+    """The same through stored versions: the quarantined rows of the first wave stay in the chain."""
+    root = os.path.join(shared_folder(spark), f"backbone-{uuid.uuid4()}")
+    first = versions.commit_base(fx.checked_first_wave(spark, sf), root, "first")
+    known = versions.read_backbone(spark, first)
+    identified = stage(identity.identify(_w2(spark, sf), known, SECRET, fx.PASSES_2), "identified")
+    changes = history.backbone_changes(identified, versions.read_rows(spark, first), fx.BACKBONE, fx.DEDUPE, LOADED[WAVE_2])
+    return versions.read_rows(spark, versions.commit_changes(changes, first, "second"))
+
+
+def backbone_changes(spark, sf):
+    """Only what the second wave adds and changes."""
+    identified = stage(_identified(spark, sf), "identified")
+    checked = fx.checked_backbone(spark, sf)
+    return history.backbone_changes(identified, checked, fx.BACKBONE, fx.DEDUPE, LOADED[WAVE_2]).select(
+        "row_id", "case_id", "superseded_on", "is_valid", "is_new")
+
+
 def identified_wave(spark, sf):
     return _linked(_identified(spark, sf))
 
@@ -473,7 +506,7 @@ QUERIES = {
     "row_earliest_date": partial(row_date, how="earliest"),
     "assign_ids_known_blank": partial(assign_ids_known, allow_blank=True),
 }
-for _f in (scan_csv_roundtrip, bronze_manifest, split_matched_counts, dictionary_labels, dictionary_study,
+for _f in (scan_csv_roundtrip, bronze_manifest, bronze_roundtrip, split_matched_counts, dictionary_labels, dictionary_study,
            rename_map, drop_by_pattern, ensure_columns, order_columns, select_required, add_lineage, standardise_wave,
            release_projection, filter_not_blank, history_active, release_subsets, release_subset_rows,
            fill_nulls, null_if, exact_match_override, exact_match_mapped, threshold_match, release_restrict,
@@ -484,6 +517,6 @@ for _f in (scan_csv_roundtrip, bronze_manifest, split_matched_counts, dictionary
            drop_duplicates_register, duplicate_groups, renumber_duplicates, normalize_text,
            normalize_documents, trim_columns, parse_dates, decode_boolean, cast_int, extract_digits,
            address_key, pad_ids, quality_checks, assign_ids_new, assign_ids_known, generate_ids, append_ids,
-           backbone_create, backbone_update, identified_wave, history_clean, history_quarantine,
+           backbone_create, backbone_update, backbone_update_quarantine, backbone_changes, identified_wave, history_clean, history_quarantine,
            invariant_single_active, active_per_entity):
     QUERIES[_f.__name__] = _f

@@ -79,45 +79,84 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
     return check_history(generate_ids(select_required(wave, columns), secret), as_of)
 
 
-def _entity_key(df: DataFrame) -> DataFrame:
-    return df.withColumns({"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))})
+#: Keys of a wave that are sent to all executors, 8 bytes each; more are shuffled.
+FEW = 2_000_000
 
 
-def _changed(identified: DataFrame, backbone: DataFrame, dedupe: list[str], as_of) -> DataFrame:
+def _keyed(df: DataFrame, dedupe: list[str]) -> DataFrame:
+    """Add the entity (_g, _s) and short hashes of entity (_e), row id (_r) and content (_c, _d).
+    Which parts are NULL goes into the hash, as hashes skip NULLs."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in dedupe])
+    entity = {"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))}
+    return df.withColumns(entity).withColumns({
+        "_e": F.xxhash64("_g", "_s"), "_r": F.xxhash64("row_id"), "_c": F.xxhash64(nulls, *dedupe), "_d": F.xxhash64(F.lit(1), nulls, *dedupe)})
+
+
+def _among(rows: DataFrame, keys: DataFrame, names: list[str], few: bool) -> DataFrame:
+    """Rows that have one of the keys under one of the names. A few keys go to the rows; else narrow
+    rows are shuffled by key."""
+    for name in names:
+        wanted = keys.select(name).distinct().withColumn(f"_has{name}", F.lit(True))
+        rows = rows.join(F.broadcast(wanted) if few else wanted, name, "left")
+    marks = [f"_has{name}" for name in names]
+    return rows.where(F.coalesce(*marks)).drop(*marks)
+
+
+def _news(wave: DataFrame, known: DataFrame, dedupe: list[str], as_of, few: bool) -> DataFrame:
     """Rows of a wave that tell something new: not in the backbone yet, once each, and with
     other content than every active row. `dedupe` holds the firm and site numbers, so equal
     content is that of one entity, whatever ids a second linkage gives. When a file is added again,
     rows that it superseded the first time count as active."""
-    fresh = identified.join(backbone.select("row_id"), "row_id", "left_anti")
-    # One struct, in which nulls are equal: a condition per column makes Spark infer without end.
-    keyed = lambda df: _entity_key(df).withColumn("_content", F.struct(*dedupe))
-    known = keyed(backbone.where("superseded_on is null")).select("_content")
-    files = _entity_key(backbone).select("_g", "_s", "file_id").distinct()
-    replaced = keyed(backbone.where(F.col("superseded_on") == F.lit(as_of))).select("_g", "_s", "_content").join(
-        files, ["_g", "_s"]).select("_content", "file_id")
-    once = keyed(drop_duplicates(fresh, dedupe, survivor_order()))
-    return once.join(known, "_content", "left_anti").join(replaced, ["_content", "file_id"], "left_anti").select(*identified.columns)
+    slim = known.select("row_id", "superseded_on", "_g", "_s", "_c", "_d", "_r")
+    told = stage(_among(slim, wave, ["_c", "_r"], few), "told")
+    files = known.join(wave.select("file_id").distinct(), "file_id", "left_semi").select("_g", "_s", "file_id").distinct()
+    replaced = told.where(F.col("superseded_on") == F.lit(as_of)).join(files, ["_g", "_s"]).select("_c", "_d", "file_id")
+    fresh = drop_duplicates(wave.join(told.select("row_id"), "row_id", "left_anti"), dedupe, survivor_order())
+    active = told.where("superseded_on is null").select("_c", "_d")
+    return fresh.join(active, ["_c", "_d"], "left_anti").join(replaced, ["_c", "_d", "file_id"], "left_anti")
 
 
-def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
-                    dedupe: list[str], as_of) -> DataFrame:
-    """Add a wave that has ids (see `identify`) to the valid rows of a backbone.
+def backbone_changes(identified: DataFrame, backbone: DataFrame, columns: list[str], dedupe: list[str], as_of) -> DataFrame:
+    """What a wave that has ids (see `identify`) adds to a backbone and changes in it: new rows,
+    and known rows whose superseding date or validity is another one, with `is_valid` and `is_new`.
 
     A row is compared with the active row of its (group, site) only. With equal content the
     known row stays; otherwise it is appended and the older row is superseded, so an entity
     that returns to an earlier state has that state as its active row. Rows that are in the
-    backbone already stay out, so adding the same wave again changes nothing. Only entities
-    that the wave touches are checked again; the others pass through as they are.
+    backbone already stay out, so adding the same wave again changes nothing. Only entities that get
+    a new row are checked again, with all their rows: quarantined ones too, if `backbone` has them
+    (and says so in `is_valid`), so they come back as soon as their entity is in order.
 
-    What is new and the entities it touches are staged, as the checks read them several times.
+    The backbone is scanned for the wave's keys and never shuffled, unless the wave has more than
+    FEW rows. What is written and shuffled grows with the wave and the entities it touches.
     """
-    changed = stage(select_required(_changed(identified, backbone, dedupe, as_of), columns), "changed")
-    touched = _entity_key(changed).select("_g", "_s").distinct()
-    known = _entity_key(select_required(backbone, columns))
-    again = known.join(touched, ["_g", "_s"], "left_semi").select(*columns)
-    rest = known.join(touched, ["_g", "_s"], "left_anti").select(*columns)
-    return check_history(stage(backbone_union(changed, again, columns), "touched"), as_of).unionByName(
-        rest.withColumn("is_valid", F.lit(True)))
+    known = _keyed(backbone if "is_valid" in backbone.columns else backbone.withColumn("is_valid", F.lit(True)), dedupe)
+    keys = ["_g", "_s", "_e", "_r", "_c", "_d"]
+    wave = stage(_keyed(identified, dedupe), "wave")
+    few = wave.count() <= FEW
+    news = stage(_news(wave, known, dedupe, as_of, few).select(*columns, *keys), "news")
+    again = _among(known, news, ["_e"], few).join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_semi")
+    old = {"_was": F.col("superseded_on"), "_valid": F.col("is_valid")}
+    added = news.select(*columns).withColumns({"_was": F.lit(None).cast("date"), "_valid": F.lit(None).cast("boolean")})
+    rows = stage(added.unionByName(select_required(again.withColumns(old), [*columns, "_was", "_valid"])), "touched")
+    is_new = F.col("_valid").isNull()
+    other = ~F.col("superseded_on").eqNullSafe(F.col("_was")) | (F.col("is_valid") != F.col("_valid"))
+    return (check_history(rows, as_of).where(is_new | other).withColumn("is_new", is_new).select(*columns, "is_valid", "is_new"))
+
+
+def with_changes(backbone: DataFrame, changes: DataFrame) -> DataFrame:
+    """A backbone with rows replaced by, or extended with, the rows of `changes`, by row id."""
+    rest = backbone.join(changes.select("row_id"), "row_id", "left_anti")
+    return rest.unionByName(changes.select(*backbone.columns))
+
+
+def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
+                    dedupe: list[str], as_of) -> DataFrame:
+    """The whole backbone, with `is_valid`, after a wave (see `backbone_changes`). `backbone` holds
+    valid rows, or all rows with `is_valid`."""
+    known = backbone if "is_valid" in backbone.columns else backbone.withColumn("is_valid", F.lit(True))
+    changes = stage(backbone_changes(identified, known, columns, dedupe, as_of), "changes")
+    return with_changes(select_required(known, [*columns, "is_valid"]), changes)
 
 
 SITE_KEY = ["case_id", "establishment_id"]

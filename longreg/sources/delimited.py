@@ -21,6 +21,8 @@ def scan_delimited(spark: SparkSession, path, sep: str = ";", columns=None, file
     """
     reader = spark.read.options(sep=sep, header=True, quote='"', escape='"', inferSchema=False,
                                 enforceSchema=False, mode="PERMISSIVE")
+    if keep_corrupt:  # a line has to be read as a whole to see that it does not fit
+        reader = reader.option("columnPruning", False)
     if columns:
         names = [*columns, CORRUPT] if keep_corrupt else list(columns)
         reader = reader.schema(text_schema(names)).option("columnNameOfCorruptRecord", CORRUPT)

@@ -67,12 +67,3 @@ def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4()}")
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def read_backbone(spark: SparkSession, path: str) -> DataFrame:
-    """The valid rows of a backbone version (a partition, so the rest is not read)."""
-    return scan_table(spark, path, ["is_valid"]).where("is_valid").drop("is_valid")
-
-
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path, ["is_valid"]).where("not is_valid").drop("is_valid")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from longreg.plans import jobs
 from longreg.plans.jobs import Wave
-from longreg.sources.bronze import land_bronze
+from longreg.sources.bronze import land_bronze, landed_file, landed_rows
 from longreg.sources.dictionary import load_dictionary
-from longreg.sources.tables import read_backbone, read_quarantine, scan_table
+from longreg.sources.tables import scan_table
+from longreg.sources.versions import read_backbone, read_quarantine
 from longreg.specs import register, survey
 from longreg.streaming.waves import follow_waves
 
@@ -177,7 +178,8 @@ def test_lines_and_columns_of_a_file_are_kept(spark, tmp_path):
     for i, lines in enumerate(["id;x\n1;a\n", "id;x;new\n2;b;c\n3;d;e;EXTRA\n4\n"] * 2):
         (tmp_path / f"{i}.csv").write_text(lines)
         wave = Wave(str(tmp_path / f"{i}.csv"), "s", "2024-01-01", FILES[i % 2], "2024-01-02")  # each landed twice
-        landed = jobs._land(spark, wave, register.REGISTER, str(tmp_path), "t")
+        jobs._land(spark, wave, ";", str(tmp_path), "t")
+        landed = landed_rows(spark, f"{tmp_path}/bronze/s", landed_file(spark, f"{tmp_path}/bronze/s", wave.file_id))
     rows = sorted(landed.collect(), key=lambda r: r["id"])
     assert landed.columns == ["id", "x", "new", "_corrupt_record"]
     assert [(r["id"], r["new"], r["_corrupt_record"]) for r in rows] == [
