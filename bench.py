@@ -12,14 +12,16 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from longreg.session import configured, tune
+
 HEADLINE = ("standardise_wave", "match_cascade_8", "match_cascade_2", "exact_match_basic", "threshold_match",
-            "backbone_create", "backbone_update", "history_clean", "inherit_id_k_of_n", "drop_duplicates",
+            "backbone_create", "backbone_update", "history_clean", "backbone_changes", "inherit_id_k_of_n", "drop_duplicates",
             "release_subsets", "release_by_backbone", "profile_numeric", "profile_string", "histogram")
 
 
 def session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
+    spark = (configured(SparkSession.builder).master(f"local[{cpus}]").appName("bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
@@ -37,7 +39,6 @@ def seconds(run) -> float:
 def main() -> None:
     from checks import fixture, naive
     from checks.queries import QUERIES
-    from longreg.session import tune
 
     spark = tune(session())
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.blank import as_text, blank_to_null
 from ..functions.keys import key_text
 from ..sources.tables import stage
-from .dedup import drop_duplicates
+from .dedup import top_per_key
 from .identity import generate_ids
 from .order import newest_first, oldest_first
 from .shape import select_required
-from .skew import attach_group_values
+from .skew import attach_group_values, lookup_join
 
 ENTITY_IDS = ["group_id", "site_id"]
 
@@ -79,6 +79,7 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
     return check_history(generate_ids(select_required(wave, columns), secret), as_of)
 
 
+KEYS = ["_g", "_s", "_e", "_r", "_c", "_d"]
 #: Keys of a wave that are sent to all executors, 8 bytes each; more are shuffled.
 FEW = 2_000_000
 
@@ -102,18 +103,33 @@ def _among(rows: DataFrame, keys: DataFrame, names: list[str], few: bool) -> Dat
     return rows.where(F.coalesce(*marks)).drop(*marks)
 
 
-def _news(wave: DataFrame, known: DataFrame, dedupe: list[str], as_of, few: bool) -> DataFrame:
+def _news(wave: DataFrame, known: DataFrame, as_of, few: bool) -> DataFrame:
     """Rows of a wave that tell something new: not in the backbone yet, once each, and with
-    other content than every active row. `dedupe` holds the firm and site numbers, so equal
+    other content than every active row. The content holds the firm and site numbers, so equal
     content is that of one entity, whatever ids a second linkage gives. When a file is added again,
     rows that it superseded the first time count as active."""
     slim = known.select("row_id", "superseded_on", "_g", "_s", "_c", "_d", "_r")
-    told = stage(_among(slim, wave, ["_c", "_r"], few), "told")
+    told = _among(slim, wave, ["_c"], few)
     files = known.join(wave.select("file_id").distinct(), "file_id", "left_semi").select("_g", "_s", "file_id").distinct()
     replaced = told.where(F.col("superseded_on") == F.lit(as_of)).join(files, ["_g", "_s"]).select("_c", "_d", "file_id")
-    fresh = drop_duplicates(wave.join(told.select("row_id"), "row_id", "left_anti"), dedupe, survivor_order())
     active = told.where("superseded_on is null").select("_c", "_d")
-    return fresh.join(active, ["_c", "_d"], "left_anti").join(replaced, ["_c", "_d", "file_id"], "left_anti")
+    fresh = wave.join(_among(slim, wave, ["_r"], few).select("row_id"), "row_id", "left_anti")
+    return (top_per_key(fresh, ["_c", "_d"], survivor_order())
+            .join(active, ["_c", "_d"], "left_anti").join(replaced, ["_c", "_d", "file_id"], "left_anti"))
+
+
+def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of) -> tuple[DataFrame, DataFrame]:
+    """(news, rows): the new rows of a wave, and all rows of the entities that they touch, with
+    their earlier mark `_was` and validity `_valid`, which is NULL for new rows. Both are staged."""
+    few = identified.count() <= FEW
+    news = stage(_news(identified, known, as_of, few).select(*columns, *KEYS), "news")
+    again = _among(known, news, ["_e"], few).join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_semi")
+    added = news.select(*columns, F.lit(None).cast("date").alias("_was"), F.lit(None).cast("boolean").alias("_valid"))
+    return news, stage(added.unionByName(again.select(*columns, F.col("superseded_on").alias("_was"), F.col("is_valid").alias("_valid"))), "touched")
+
+
+def _with_validity(backbone: DataFrame) -> DataFrame:
+    return backbone if "is_valid" in backbone.columns else backbone.withColumn("is_valid", F.lit(True))
 
 
 def backbone_changes(identified: DataFrame, backbone: DataFrame, columns: list[str], dedupe: list[str], as_of) -> DataFrame:
@@ -127,18 +143,12 @@ def backbone_changes(identified: DataFrame, backbone: DataFrame, columns: list[s
     a new row are checked again, with all their rows: quarantined ones too, if `backbone` has them
     (and says so in `is_valid`), so they come back as soon as their entity is in order.
 
-    The backbone is scanned for the wave's keys and never shuffled, unless the wave has more than
-    FEW rows. What is written and shuffled grows with the wave and the entities it touches.
+    The wave is read several times, so it should be a table. The backbone is scanned for the wave's
+    keys and never shuffled, unless the wave has more than FEW rows. What is written and
+    shuffled grows with the wave and the entities it touches.
     """
-    known = _keyed(backbone if "is_valid" in backbone.columns else backbone.withColumn("is_valid", F.lit(True)), dedupe)
-    keys = ["_g", "_s", "_e", "_r", "_c", "_d"]
-    wave = stage(_keyed(identified, dedupe), "wave")
-    few = wave.count() <= FEW
-    news = stage(_news(wave, known, dedupe, as_of, few).select(*columns, *keys), "news")
-    again = _among(known, news, ["_e"], few).join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_semi")
-    old = {"_was": F.col("superseded_on"), "_valid": F.col("is_valid")}
-    added = news.select(*columns).withColumns({"_was": F.lit(None).cast("date"), "_valid": F.lit(None).cast("boolean")})
-    rows = stage(added.unionByName(select_required(again.withColumns(old), [*columns, "_was", "_valid"])), "touched")
+    known = _keyed(_with_validity(backbone), dedupe)
+    _, rows = _touched(_keyed(select_required(identified, columns), dedupe), known, columns, as_of)
     is_new = F.col("_valid").isNull()
     other = ~F.col("superseded_on").eqNullSafe(F.col("_was")) | (F.col("is_valid") != F.col("_valid"))
     return (check_history(rows, as_of).where(is_new | other).withColumn("is_new", is_new).select(*columns, "is_valid", "is_new"))
@@ -153,10 +163,11 @@ def with_changes(backbone: DataFrame, changes: DataFrame) -> DataFrame:
 def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[str],
                     dedupe: list[str], as_of) -> DataFrame:
     """The whole backbone, with `is_valid`, after a wave (see `backbone_changes`). `backbone` holds
-    valid rows, or all rows with `is_valid`."""
-    known = backbone if "is_valid" in backbone.columns else backbone.withColumn("is_valid", F.lit(True))
-    changes = stage(backbone_changes(identified, known, columns, dedupe, as_of), "changes")
-    return with_changes(select_required(known, [*columns, "is_valid"]), changes)
+    valid rows, or all rows with `is_valid`. Entities that the wave does not touch pass as they are."""
+    known = _keyed(select_required(_with_validity(backbone), [*columns, "is_valid"]), dedupe)
+    news, rows = _touched(_keyed(select_required(identified, columns), dedupe), known, columns, as_of)
+    rest = known.join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_anti")
+    return rest.select(*columns, "is_valid").unionByName(check_history(rows, as_of).select(*columns, "is_valid"))
 
 
 SITE_KEY = ["case_id", "establishment_id"]
@@ -203,6 +214,34 @@ def inherit_id_from_older_file(df: DataFrame, file_id: str, as_of) -> DataFrame:
     return adopted.withColumn("superseded_on", _supersede_older(rows, file_id, as_of)).select(*df.columns)
 
 
+def _agreeing(texts: list[str]) -> Column:
+    """How many of the evidence columns equal the group's first values."""
+    return sum((F.coalesce(F.col(t) == F.col(f"_f{t}"), F.lit(False)).cast("int") for t in texts), F.lit(0))
+
+
+def _donors(rows: DataFrame, texts: list[str], at_least: int, older: Column) -> DataFrame:
+    """One row per key: first value of each evidence column, the ids of the first row that agrees
+    with them, rows and rows of the current file.
+
+    Rows of a key with the same evidence are one signature, aggregated before the shuffle. First
+    values and donor are then found among signatures, so rows are not touched a second time.
+    """
+    ids = {i: blank_to_null(F.col(i)) for i in ("entity_id", "site_id")}
+    when = {i: F.when(c.isNotNull() & older, oldest_first()) for i, c in ids.items()}
+    signatures = stage(rows.where(F.col("_key").isNotNull()).groupBy("_key", *texts).agg(
+        F.min(F.when(older, oldest_first())).alias("_order"),
+        *[F.min_by(c, when[i]).alias(f"_own_{i}") for i, c in ids.items()],
+        *[F.min(when[i]).alias(f"_order_{i}") for i in ids],
+        F.count(F.lit(1)).alias("_rows"), F.count_if(~older).alias("_current")), "signatures")
+    firsts = [F.min_by(t, F.when(F.col(t).isNotNull(), F.col("_order"))).alias(f"_f{t}") for t in texts]
+    scored = attach_group_values(signatures, ["_key"], firsts, spread=texts)
+    agrees = _agreeing(texts) >= at_least
+    return stage(scored.groupBy("_key").agg(
+        *[F.min(f"_f{t}").alias(f"_f{t}") for t in texts],
+        *[F.min_by(f"_own_{i}", F.when(agrees, F.col(f"_order_{i}"))).alias(f"_old_{i}") for i in ids],
+        F.sum("_rows").alias("_rows"), F.sum("_current").alias("_current")), "donors")
+
+
 def inherit_id_k_of_n(df: DataFrame, evidence: list[str], at_least: int,
                       file_id: str | None = None, as_of=None) -> DataFrame:
     """Inherit ids only on evidence: a row takes the ids of the first row of its firm
@@ -212,21 +251,12 @@ def inherit_id_k_of_n(df: DataFrame, evidence: list[str], at_least: int,
     With `file_id`, first values and ids come from earlier files, only rows of that file
     inherit, and the earlier rows of groups that it renews are marked superseded.
     """
-    older = F.col("file_id") != file_id if file_id else None
-    firsts = [_first(blank_to_null(F.col(c).cast("string")), older).alias(f"_f{i}")
-              for i, c in enumerate(evidence)]
-    extra = [F.count_if(~older).alias("_current")] if file_id else []
-    rows = attach_group_values(df.withColumn("_key", key_text(SITE_KEY)), ["_key"],
-                               [*firsts, *extra], spread=["row_id"])
-    score = sum((F.coalesce(F.trim(F.col(c).cast("string")) == F.col(f"_f{i}"), F.lit(False))
-                 .cast("int") for i, c in enumerate(evidence)), F.lit(0))
-    scored = rows.withColumn("_agrees", F.col("_key").isNotNull() & (score >= at_least))
-    donor = F.col("_agrees") if older is None else F.col("_agrees") & older
-    found = attach_group_values(
-        scored, ["_key"],
-        [_first(blank_to_null(F.col(i)), donor).alias(f"_old_{i}") for i in ("entity_id", "site_id")],
-        spread=["row_id"])
+    older = F.col("file_id") != file_id if file_id else F.lit(True)
+    texts = {f"_e{i}": blank_to_null(F.col(c).cast("string")) for i, c in enumerate(evidence)}
+    rows = df.withColumn("_key", key_text(SITE_KEY)).withColumns(texts)
+    found = lookup_join(rows, _donors(rows, list(texts), at_least, older), ["_key"], spread=["row_id"], weight="_rows")
+    agrees = F.col("_key").isNotNull() & (_agreeing(list(texts)) >= at_least)
     if file_id is None:
-        return _adopt(found, F.col("_agrees")).select(*df.columns)
-    adopted = _adopt(found, F.col("_agrees") & (F.col("file_id") == file_id))
+        return _adopt(found, agrees).select(*df.columns)
+    adopted = _adopt(found, agrees & (F.col("file_id") == file_id))
     return adopted.withColumn("superseded_on", _supersede_older(found, file_id, as_of)).select(*df.columns)

@@ -14,6 +14,16 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Settings of a session that can only be made before it starts. A job's plans have some hundred generated
+#: classes; Spark keeps 100 by default, and a class that is made again is compiled and warmed up again.
+STATIC_SETTINGS = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
+
+def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
+    for name, value in STATIC_SETTINGS.items():
+        builder = builder.config(name, value)
+    return builder
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():

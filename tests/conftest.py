@@ -1,14 +1,14 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from longreg.session import tune
+from longreg.session import configured, tune
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (SparkSession.builder.master("local[8]").appName("tests")
+    session = (configured(SparkSession.builder).master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -203,3 +203,10 @@ def test_standardise_needs_no_shuffle_without_deduplication(spark):
     out = standardise(raw, spec, source="x", wave_date="2024-01-01", file_id=fx.FILES[fx.WAVE_1],
                       loaded_on="2024-01-02", secret="s")
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inheritance_is_a_flat_plan(spark):
+    rows = stage(fx.both_waves(spark, SF), "both")
+    plans = [history.inherit_id_k_of_n(rows, ["address_key", "code_sbi_1", "uni_establishment_name"][:n], n)._jdf.queryExecution()
+             .executedPlan().toString() for n in (1, 3)]
+    assert all(p.count("FileScan") <= 12 and p.count("Join") <= 4 for p in plans)
