@@ -1,6 +1,7 @@
 """The intended result for each known trap of the data semantics, on tiny frames."""
 
 import datetime as dt
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,11 +264,44 @@ def test_profile_covers_decimals_empty_and_even_counts(spark):
     assert got["b"]["median"] is None and got["b"]["null_count"] == 4
 
 
-def test_median_falls_back_when_the_bracket_misses(spark):
-    values = spark.range(101).select(F.lit("c").alias("column"), F.col("id").cast("double").alias("value"))
-    bounds = spark.createDataFrame([("c", 101, 0.0, 100.0, 90.0, 95.0)],
-                                   "column string, n long, min double, max double, lo double, hi double")
-    assert profile.exact_median(values, bounds).first()["median"] == 50.0
+@pytest.mark.parametrize("bracket", [(90.0, 95.0), (2.0, 3.0), (50.0, 50.0), (0.0, 100.0)])
+def test_median_is_exact_whatever_the_bracket(spark, bracket):
+    df = spark.range(101).select(F.col("id").cast("double").alias("c"))
+    counted = profile._counted(df, {"c": bracket})
+    assert profile._medians(df, counted, {"c": bracket}, {"c": 101}, {"c": (0.0, 100.0)}) == {"c": 50.0}
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_medians_are_selected_by_ranges(spark, monkeypatch, few):
+    monkeypatch.setattr(profile, "RANGE", few)
+    values = {"a": [3.0, 1.0, 2.0] * 50, "b": [5.0] * 7, "c": [float(i * i % 97) for i in range(100)], "d": [1.0, 9.0]}
+    rows = [(c, v, values[c].count(v)) for c in values for v in set(values[c])]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = profile.median_of_counts(spark.createDataFrame(rows, "column string, number double, times long"),
+                                         {c: len(v) for c, v in values.items()}).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r["column"]: r["median"] for r in found} == {c: statistics.median(v) for c, v in values.items()}
+
+
+def test_a_profile_scans_its_table_twice(spark, tmp_path):
+    spark.range(50).select("id", F.col("id").cast("string").alias("it's"), F.current_date().alias("d"), F.lit(None).cast("double").alias("none"),
+                           F.lit(None).cast("string").alias("blank")).write.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    table = spark.read.parquet(str(tmp_path / "t"))
+    rows = {r["column"]: r for r in profile.profile_columns(table.mapInPandas(count, table.schema)).collect()}
+    assert seen.value == 100
+    assert (rows["id"]["median"], rows["it's"]["distinct_count"], rows["d"]["null_count"], rows["none"]["null_count"], rows["blank"]["null_count"],
+            rows["blank"]["distinct_count"]) == (24.5, 50, 0, 50, 50, 0)
+    none = {r["column"]: r for r in profile.profile_columns(table.where("false")).collect()}
+    assert none["it's"]["distinct_count"] == none["it's"]["null_count"] == 0 and none["id"]["median"] is None
 
 
 def test_history_takes_its_date_as_argument(spark):
