@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import functools
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .blank import all_filled, as_text
 
@@ -38,16 +41,35 @@ def sized(part: Column) -> Column:
     return F.concat(F.length(part).cast("string"), F.lit(":"), part)
 
 
+#: Block length of SHA-256 in bytes, and the two fixed bytes of HMAC.
+BLOCK, INNER, OUTER = 64, 0x36, 0x5C
+
+
+def hmac_pads(secret: str) -> tuple[bytes, bytes]:
+    """The secret as the two blocks that HMAC-SHA256 puts before what it hashes."""
+    key = secret.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > BLOCK else key).ljust(BLOCK, b"\0")
+    return bytes(b ^ INNER for b in key), bytes(b ^ OUTER for b in key)
+
+
+@functools.lru_cache(maxsize=64)
+def _pads(application: str, secret: str) -> DataFrame:
+    """One row, the same for all plans of an application, so that a plan reads it once."""
+    return SparkSession.active().createDataFrame([hmac_pads(secret)], "inner binary, outer binary")
+
+
 def keyed_id(secret: str, namespace: str, parts: list[Column]) -> Column:
-    """Identifier derived from the parts under a secret, in UUID layout.
+    """Identifier derived from the parts under a secret by HMAC-SHA256, in UUID layout.
 
     The same input gives the same id on every run, retry and cluster; the secret
     keeps enumerable register numbers from being recovered by brute force. The
-    namespace keeps ids of different kinds apart.
+    namespace keeps ids of different kinds apart. The secret is data of a one-row table that
+    the query reads, so it is in no plan, and neither in logs nor in the history server.
     """
-    digest = F.sha2(
-        F.concat_ws("|", F.lit(secret), F.lit(namespace), *[sized(p) for p in parts]), 256
-    )
+    pads = _pads(SparkSession.active().sparkContext.applicationId, secret).select(F.struct("inner", "outer")).scalar()
+    message = F.concat_ws("|", F.lit(namespace), *[sized(p) for p in parts]).cast("binary")
+    inner = F.unhex(F.sha2(F.concat(pads["inner"], message), 256))
+    digest = F.sha2(F.concat(pads["outer"], inner), 256)
     # One expression over one digest: slicing it five times would hash five times.
     return F.regexp_replace(F.substring(digest, 1, 32), UUID_DIGITS, "$1-$2-$3-$4-$5")
 

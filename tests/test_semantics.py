@@ -1,6 +1,7 @@
 """The intended result for each known trap of the data semantics, on tiny frames."""
 
 import datetime as dt
+import hmac
 import statistics
 
 import pytest
@@ -391,3 +392,18 @@ def test_dates_parse_by_pattern(spark):
     assert [(r["date_a"], r["year_a"], r["month_a"], r["day_a"]) for r in got] == [
         (dt.date(2024, 2, 29), 2024, 2, 29), (None, None, None, None), (None, None, None, None)]
     assert [r["date_b"] for r in got] == [dt.date(2020, 12, 31), None, None]
+
+
+def test_ids_are_hmacs_and_the_secret_is_in_no_plan(spark, capsys):
+    secrets = ["a secret of the register", "x" * 100]
+    for secret in secrets:
+        df = identity.generate_ids(frame(spark, {"case_id": " 12 ", "establishment_id": "3"}), secret)
+        row = df.first()
+        for id_col, text in (("group_id", "group|2:12"), ("entity_id", "entity|2:12|1:3")):
+            digest = hmac.new(secret.encode(), text.encode(), "sha256").hexdigest()
+            assert row[id_col] == "-".join((digest[:8], digest[8:12], digest[12:16], digest[16:20], digest[20:32]))
+        df.write.format("noop").mode("overwrite").save()
+        df.explain("extended")
+        df.explain("formatted")
+        shown = capsys.readouterr().out + df._jdf.queryExecution().toString()
+        assert "sha2" in shown and not any(t in shown for t in (secret, secret.encode().hex(), secret.encode().hex().upper()))
