@@ -3,20 +3,20 @@ windows and one join per pass instead of the reduced, stacked plans."""
 
 from __future__ import annotations
 
-from longreg.functions.text import ACCENTED, FOLDED
-
 from .fixture import COUNTRIES, DUCK_REGISTER, FILES, LOADED, RELEASE, SECRET, WAVE_1, WAVE_2
 from .fixture import BACKBONE, DEDUPE, PASSES_2, PASSES_8
 from .queries import CODE_GROUPS
 
-SUFFIX = r"(^|[^a-z0-9_])(?:b\.?v\.?|n\.?v\.?|v\.?o\.?f\.?)(?:\s+(?:b\.?v\.?|n\.?v\.?|v\.?o\.?f\.?))*(\s|$)"
+SUFFIX = r"(^|[^\p{L}\p{N}_])(?:b\.?v\.?|n\.?v\.?|v\.?o\.?f\.?)(?:\s+(?:b\.?v\.?|n\.?v\.?|v\.?o\.?f\.?))*(\s|$)"
 NAME, CITY, ADDRESS = "uni_establishment_name", "uni_establishment_city", "address_key"
 
 
 def uni(c):
-    folded = f"translate(lower({c}), '{ACCENTED}', '{FOLDED}')"
+    folded = f"strip_accents(translate(lower({c}), 'øłđħŧıς', 'oldhtiσ'))"
+    for letter, plain in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th")):
+        folded = f"replace({folded}, '{letter}', '{plain}')"
     return (f"coalesce(regexp_replace(regexp_replace({folded}, '{SUFFIX}', ' ', 'g'), "
-            f"'[^a-z0-9_]', '', 'g'), '')")
+            f"'[^\\p{{L}}\\p{{N}}_]', '', 'g'), '')")
 
 
 def text(c):

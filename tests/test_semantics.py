@@ -407,3 +407,10 @@ def test_ids_are_hmacs_and_the_secret_is_in_no_plan(spark, capsys):
         df.explain("formatted")
         shown = capsys.readouterr().out + df._jdf.queryExecution().toString()
         assert "sha2" in shown and not any(t in shown for t in (secret, secret.encode().hex(), secret.encode().hex().upper()))
+
+
+def test_every_script_keeps_a_key(spark):
+    names = ["Łódź", "Αθήνα", "Київ", "Ştefan Łódź ß", "Café B.V.", "CAFÉ bv", "ΑΘΗΝΑΣ", "Αθηνας", "東京 nv", "Ærø & Co", "бbv", "bv", "Ÿ_9"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", match_text(F.col("n")).alias("k"))
+    keys = {r["n"]: r["k"] for r in df.collect()}
+    assert list(keys.values()) == ["lodz", "αθηνα", "киів", "stefanlodzss", "cafe", "cafe", "αθηνασ", "αθηνασ", "東京", "aeroco", "бbv", "", "y_9"]
