@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.blank import all_blank, all_filled, as_text, blank_to_null, not_blank
 from ..functions.text import LEGAL_SUFFIXES, match_text
 from .shape import require
+from .skew import lookup_join
+
+#: Codes that are sent to all rows.
+CODES = 100_000
 
 
 def _present(df: DataFrame, names) -> list[str]:
@@ -115,21 +119,29 @@ def map_codes(df: DataFrame, src: str, dst: str, mapping: dict[str, str] | DataF
               default: str | None = "UDF") -> DataFrame:
     """Look codes up in a user table. NULL stays NULL, unknown codes give `default`.
 
-    A dict becomes one map literal; a DataFrame (code, label) is joined, and Spark
-    broadcasts it when its measured size allows.
+    A dict becomes one map literal. A DataFrame (code, label) is joined: up to CODES codes go to
+    the rows, counted first; more are looked up with hot codes spread. A code with two labels is
+    an error; repeated lines are not.
     """
     require(df, [src])
     code = F.trim(F.col(src).cast("string"))
     if isinstance(mapping, DataFrame):
-        table = mapping.toDF("_code", "_label").groupBy("_code").agg(F.min("_label").alias("_label"))
-        joined = df.withColumn("_src", code).join(table, F.col("_src") == F.col("_code"), "left")
+        several = F.raise_error(F.concat(F.lit(f"two labels for a code of {src}: "), F.col("_src")))
+        one = F.when(F.min("_label").eqNullSafe(F.max("_label")), F.min("_label")).otherwise(several)
+        table = (mapping.toDF("_src", "_label").withColumn("_src", F.trim(F.col("_src").cast("string"))).where("_src is not null")
+                 .groupBy("_src").agg(one.alias("_label")))
+        coded = df.withColumn("_src", code)
+        if mapping.count() <= CODES:
+            joined = coded.join(F.broadcast(table), "_src", "left")
+        else:
+            joined = lookup_join(coded, table, ["_src"], spread=df.columns)
         found = F.col("_label")
     else:
         joined = df
         pairs = [F.lit(x) for item in sorted(mapping.items()) for x in item]
         found = F.try_element_at(F.create_map(*pairs), code) if pairs else F.lit(None).cast("string")
     value = F.when(code.isNotNull(), F.coalesce(found, F.lit(default)))
-    return joined.withColumn(dst, value).drop("_src", "_code", "_label")
+    return joined.withColumn(dst, value).drop("_src", "_label").select(*df.columns, *([] if dst in df.columns else [dst]))
 
 
 def filter_not_blank(df: DataFrame, cols) -> DataFrame:

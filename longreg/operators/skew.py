@@ -1,9 +1,10 @@
 """Lookup joins that hold when one key owns a large share of the rows.
 
-A key is "hot" when it holds more than 1/HOT_SHARE of the rows it is looked up for.
-At most HOT_SHARE keys can be hot, whatever the data, so the list of hot keys is
-broadcast under a proven bound. Rows of a hot key are salted over SPREAD partitions and
-its single lookup row is repeated once per salt; all other keys fit in one partition.
+Rows are thought of as PIECES pieces of equal size, at least four per shuffle partition. A key that
+holds more than one piece is "hot": its rows are salted over as many partitions as it has
+pieces, and its single lookup row is repeated once per salt. So no task gets much more than one piece of a
+hot key, whatever its share. There are at most as many hot keys as pieces, and their list is broadcast
+under that bound; lookup rows are repeated twice as often at most. All other keys fit in one partition.
 
 Keys travel behind a 64-bit hash of themselves. The hash leads every sort, where it
 decides almost all comparisons, and stands for the key in the hot list; the key columns
@@ -16,8 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import any_null
 
-HOT_SHARE = 1000
-SPREAD = 256
+PIECES = 1000
 HASH = "_hash"
 
 
@@ -26,8 +26,8 @@ def hash_of(keys: list[str]) -> Column:
     return F.when(~any_null(keys), F.xxhash64(*keys))
 
 
-def _salts(is_hot: Column) -> Column:
-    return F.sequence(F.lit(0), F.when(is_hot, SPREAD - 1).otherwise(F.lit(0)))
+def pieces(df: DataFrame) -> int:
+    return max(PIECES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str],
@@ -44,18 +44,21 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     hashed = lambda df: df if HASH in df.columns else df.withColumn(HASH, hash_of(keys))
     left, right = hashed(left), hashed(right)
 
-    rows = weight or "_rows"
+    rows, whole = weight or "_rows", pieces(left)
     counts = right if weight else (left.where(F.col(HASH).isNotNull()).groupBy(HASH)
                                    .agg(F.count(F.lit(1)).alias("_rows")))
-    is_hot = F.col(rows) * HOT_SHARE > counts.agg(F.sum(rows).alias("n")).scalar()
-    hot = F.broadcast(counts.where(is_hot).select(F.col(HASH).alias("_hot")).distinct())
+    share = F.ceil(F.col(rows) * whole / counts.agg(F.sum(rows).alias("n")).scalar()).cast("int")
+    hot = F.broadcast(counts.select(F.col(HASH).alias("_hot"), share.alias("_pieces")).where("_pieces > 1")
+                      .groupBy("_hot").agg(F.max("_pieces").alias("_pieces")))
 
-    salt = F.when(F.col("_hot").isNotNull() | F.col(HASH).isNull(),
-                  F.pmod(F.xxhash64(*spread), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
+    spot = F.xxhash64(*spread)
+    salt = (F.when(F.col("_hot").isNotNull(), F.pmod(spot, F.col("_pieces")))
+            .when(F.col(HASH).isNull(), F.pmod(spot, F.lit(whole))).otherwise(F.lit(0)).cast("int"))
     salted = left.join(hot, F.col(HASH) == F.col("_hot"), "left").withColumn("_salt", salt)
     marked = right.join(hot, F.col(HASH) == F.col("_hot"), "left")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
     lookup = marked.select(F.col(HASH).alias("_r_hash"), *[F.col(k).alias(f"_r_{k}") for k in keys], *values,
-                           F.explode(_salts(F.col("_hot").isNotNull())).alias("_r_salt"))
+                           F.explode(salts).alias("_r_salt"))
     on = [F.col(HASH) == F.col("_r_hash"), F.col("_salt") == F.col("_r_salt"),
           *[F.col(k) == F.col(f"_r_{k}") for k in keys]]
     return salted.join(lookup, on, "left").select(*left_columns, *values)

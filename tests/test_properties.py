@@ -52,8 +52,7 @@ def test_cascade_does_not_depend_on_partitioning(spark, sides, linked):
 
 
 def test_cascade_with_every_repeated_key_hot(sides, linked, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_SHARE", 100_000)
-    monkeypatch.setattr(skew, "SPREAD", 7)
+    monkeypatch.setattr(skew, "PIECES", 100_000)
     assert content(link.match_cascade(*sides, fx.PASSES_8), *OUT) == linked
 
 
@@ -69,7 +68,7 @@ def test_plan_does_not_grow_with_the_passes(sides):
 @pytest.mark.parametrize("share", [1000, 3])
 def test_lookup_with_a_key_that_owns_a_third(spark, monkeypatch, share):
     """A third of the rows share a key, another part has none."""
-    monkeypatch.setattr(skew, "HOT_SHARE", share)
+    monkeypatch.setattr(skew, "PIECES", share)
     rows = spark.range(3000).select(F.col("id").cast("string").alias("row_id"), F.when(
         F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("1", 2), ("4", 3)], "k string, v int")
@@ -98,10 +97,11 @@ def test_hot_rows_are_spread_over_partitions(spark, monkeypatch):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
 
 
-def test_at_most_hot_share_keys_are_broadcast():
+def test_hot_keys_and_their_copies_are_bounded():
     counts = [1] * 5000 + [10] * 3000 + [100_000]
-    total = sum(counts)
-    assert sum(c * skew.HOT_SHARE > total for c in counts) <= skew.HOT_SHARE
+    total, whole = sum(counts), skew.PIECES
+    parts = [-(-c * whole // total) for c in counts]
+    assert sum(p > 1 for p in parts) <= whole and sum(p for p in parts if p > 1) <= 2 * whole
 
 
 def test_top_per_key_limits_before_the_shuffle(spark):
@@ -210,3 +210,25 @@ def test_inheritance_is_a_flat_plan(spark):
     plans = [history.inherit_id_k_of_n(rows, ["address_key", "code_sbi_1", "uni_establishment_name"][:n], n)._jdf.queryExecution()
              .executedPlan().toString() for n in (1, 3)]
     assert all(p.count("FileScan") <= 12 and p.count("Join") <= 4 for p in plans)
+
+
+def test_a_hot_key_is_spread_by_its_share(spark):
+    # Half of the rows have one key, a third none.
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 == 0, None)
+                                      .otherwise(F.col("id").cast("string")).alias("k"))
+    table = rows.where("k is not null").select("k").distinct().withColumn("v", F.length("k"))
+    got = skew.lookup_join(rows, table, ["k"], spread=["id"])
+    assert got.count() == 60_000 and got.where("v is distinct from length(k)").count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pieces" in plan
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        assert skew.pieces(rows) == 1600
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [r["count"] for r in skew.lookup_join(rows, table, ["k"], spread=["id"]).groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 5 * 60_000 / 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -234,6 +234,19 @@ def test_normalised_text(spark, text, want):
     assert df.select(match_text(F.col("t"))).first()[0] == want
 
 
+@pytest.mark.parametrize("few", [0, clean.CODES])
+def test_code_tables(spark, monkeypatch, few):
+    monkeypatch.setattr(clean, "CODES", few)
+    df = spark.createDataFrame([(" 1",), ("2",), ("9",), (None,)] + [("3",)] * 50, "c string")
+    table = spark.createDataFrame([("1", "a"), ("1 ", "a"), ("2", None), ("3", "c"), (None, "n")], "code string, label string")
+    got = clean.map_codes(df, "c", "o", table)
+    assert got.columns == ["c", "o"]
+    assert sorted(map(str, {(r["c"], r["o"]) for r in got.collect()})) == sorted(map(str, {(" 1", "a"), ("2", "UDF"), ("9", "UDF"), (None, None), ("3", "c")}))
+    assert got.count() == 54
+    with pytest.raises(Exception, match="two labels for a code of c: 3"):
+        clean.map_codes(df, "c", "o", table.union(spark.createDataFrame([("3", "d")], table.schema))).collect()
+
+
 def test_address_parts_stay_apart(spark):
     df = spark.createDataFrame([("a1", "23"), ("a12", "3"), ("", None)], "s string, n string")
     keys = [r["k"] for r in clean.concat_key(df, ["s", "n"], "k").collect()]
