@@ -116,16 +116,16 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, width: int = 64
     for vectors that take no part.
     """
 
-    def index(ids: np.ndarray, matrix: np.ndarray):
-        groups = shards.Groups(ids, matrix, k)
+    def index(places: np.ndarray, matrix: np.ndarray):
+        groups = shards.Groups(places, matrix, k)
         norms = np.sqrt((groups.rows * groups.rows).sum(1))
         graph = Graph(groups.rows / norms[:, None])
 
-        def find(query: np.ndarray, query_id: int) -> shards.Found:
+        def find(query: np.ndarray, own: int) -> shards.Found:
             norm = np.sqrt((query * query).sum())
             rows = graph.nearest(query / norm, width)
             scores = (groups.rows[rows] * query).sum(1) / (norms[rows] * norm)
-            return shards.best_of(*groups.expand(rows, scores), query_id, k)
+            return shards.best_of(*groups.expand(rows, scores), own, k)
 
         return find
 

@@ -158,7 +158,8 @@ def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_copies", "_rows").where("_copies > 0")
     joined = packed(docs, "doc_id", "source").join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
     single = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
-    rank = F.row_number().over(Window.partitionBy("_d", "_s").orderBy("_d")) - 1
+    # By content, so that reruns agree; rows of equal content are interchangeable.
+    rank = F.row_number().over(Window.partitionBy("_d", "_s").orderBy(F.sha2(F.to_json("_row"), 256))) - 1
     several = joined.where("_rows > 1").withColumn("_n", F.floor(F.col("_copies") / F.col("_rows")) + (
         rank < F.col("_copies") % F.col("_rows")).cast("int"))
     return (single.unionByName(several).where("_n > 0")

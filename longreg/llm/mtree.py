@@ -106,14 +106,14 @@ def highest_products(vectors: DataFrame, is_query, k: int = 20, scale: float = 6
     2^53. See shards.usable for vectors that take no part; zero vectors do.
     """
 
-    def index(ids: np.ndarray, matrix: np.ndarray):
-        groups = shards.Groups(ids, matrix, k)
+    def index(places: np.ndarray, matrix: np.ndarray):
+        groups = shards.Groups(places, matrix, k)
         tree = MTree(groups.rows)
 
-        def find(query: np.ndarray, query_id: int) -> shards.Found:
+        def find(query: np.ndarray, own: int) -> shards.Found:
             # One more, as the query's own may be among them.
             rows, scores = tree.highest(query, k + 1)
-            return shards.best_of(*groups.expand(rows, scores.astype(np.int64)), query_id, k)
+            return shards.best_of(*groups.expand(rows, scores.astype(np.int64)), own, k)
 
         return find
 

@@ -16,57 +16,57 @@ Found = tuple[np.ndarray, np.ndarray]  # ids and scores
 
 
 def usable(vectors: DataFrame, nonzero: bool) -> DataFrame:
-    """Staged (vec_id, embedding as doubles) that can take part.
+    """Staged (_key, vec_id, embedding as doubles) of the rows that take part, each with a key of its own.
 
-    Vectors that are null, empty or zero, or hold null or non-finite components, have no id, or
-    have another than the most common length are left out; so is, of several vectors of one
-    id, all but the smallest.
+    Vectors that are null, empty or zero (if `nonzero`), or hold null or non-finite components, are
+    left out, and rows without an id, which could not be named. Rows with equal ids are vectors of
+    their own. Vectors of other lengths are searched apart.
     """
     x = F.col("embedding").cast("array<double>")
     good = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     if nonzero:
         good &= F.exists("embedding", lambda v: v != 0)
-    kept = vectors.where("vec_id is not null").select("vec_id", x.alias("embedding")).where(
-        F.coalesce(good, F.lit(False)) & (F.size("embedding") > 0))
-    one = stage(kept.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
-    length = one.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return one.where(F.size("embedding") == (length["n"] if length else 0))
+    kept = vectors.where("vec_id is not null").select(F.monotonically_increasing_id().alias("_key"), "vec_id", x.alias("embedding"))
+    return stage(kept.where(F.coalesce(good, F.lit(False)) & (F.size("embedding") > 0)), "vectors")
 
 
 def search(vectors: DataFrame, is_query, k: int, score_type: str, index: Callable[[np.ndarray, np.ndarray], Callable[[np.ndarray, int], Found]],
            per_shard: int, per_block: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best of every query, ties to smaller vec_id.
+    """(query_id, rank, vec_id, score): the k best of every query row, ties to smaller vec_id.
 
-    `index(ids, matrix)` indexes a shard of about per_shard vectors and returns what finds the
-    best of a query there. A task holds one shard and one block of about per_block queries. A
-    shard is indexed anew for each block, so a lost task is repeated from its inputs alone.
+    `index(places, matrix)` indexes a shard of about per_shard vectors, in the order of their ids, and
+    returns what finds the best of a query there, but for its own place. A task holds one shard and
+    one block of about per_block queries. A shard is indexed anew for each block, so a lost task is
+    repeated from its inputs alone.
     """
     count, queries = vectors.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     shards, blocks = max(1, -(-count // per_shard)), max(1, -(-queries // per_block))
-    part = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+    part = lambda n, seed: F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = vectors.select("vec_id", "embedding", part(shards, 1).alias("shard"), each(blocks).alias("block"))
-    asked = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"),
-                                           part(blocks, 2).alias("_block"), each(shards).alias("_shard"))
+    length = F.size("embedding")
+    held = vectors.select("_key", "vec_id", "embedding", length.alias("length"), part(shards, 1).alias("shard"), each(blocks).alias("block"))
+    asked = vectors.where(is_query).select(F.col("_key").alias("_query"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"),
+                                           length.alias("_length"), part(blocks, 2).alias("_block"), each(shards).alias("_shard"))
     bounded_batches(vectors.sparkSession)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(left) and len(right):
-            left = left.sort_values("vec_id")
-            find = index(left["vec_id"].to_numpy("int64"), np.stack(left["embedding"]))
-            for query_id, query in zip(right["query_id"], right["query"]):
-                rows += [(query_id, i, s) for i, s in zip(*find(np.asarray(query), query_id))]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
-
-    found = held.groupBy("shard", "block").cogroup(asked.groupBy("_shard", "_block")).applyInPandas(
-        run, f"query_id long, vec_id long, score {score_type}")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            left = left.sort_values(["vec_id", "_key"])
+            ids, places = left["vec_id"].to_numpy("int64"), {key: i for i, key in enumerate(left["_key"])}
+            find = index(np.arange(len(ids)), np.stack(left["embedding"]))
+            for key, query_id, query in zip(right["_query"], right["query_id"], right["query"]):
+                rows += [(key, query_id, ids[i], s) for i, s in zip(*find(np.asarray(query), places.get(key, -1)))]
+        return pd.DataFrame(rows, columns=["_query", "query_id", "vec_id", "score"])
+
+    found = held.groupBy("shard", "block", "length").cogroup(asked.groupBy("_shard", "_block", "_length")).applyInPandas(
+        run, f"_query long, query_id long, vec_id long, score {score_type}")
+    best = Window.partitionBy("_query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, query_id: int, k: int) -> Found:
-    """The k highest scores but for the query's own, ties to smaller ids."""
+    """The k highest scores but for the query's own place, ties to smaller places."""
     other = ids != query_id
     ids, scores = ids[other], scores[other]
     order = np.lexsort((ids, -scores))[:k]

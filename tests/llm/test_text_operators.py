@@ -396,6 +396,12 @@ def test_mixing_odd(spark):
     out = mixing.apply_mix(docs, mix)
     assert out.columns == docs.columns and out.count() == mix.agg(F.sum("copies")).first()[0]
     assert mixing.mix_documents(empty(spark)).count() == 0
+    of_id_1 = docs.where("doc_id = 1").withColumn("source", F.lit("a"))
+    for copies in (1, 2, 4):
+        uneven = mix.limit(1).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit(copies).alias("copies")).union(
+            mix.limit(2).select(F.lit(1).cast("long"), F.lit("a"), F.lit(0)))
+        drawn = {str(sorted(map(str, mixing.apply_mix(of_id_1.repartition(n, "_d"), uneven).collect()))) for n in (1, 2, 5)}
+        assert len(drawn) == 1  # reruns agree, however the rows are dealt
 
 
 # --- op10

@@ -67,12 +67,23 @@ def test_odd_vectors(spark):
             (5, [float("inf"), 1.0]), (6, [1.0]), (None, [1.0, 1.0]), (7, []), (50, [2.0, 0.0]), (9, [2.0, 0.0]), (8, [2.0, 0.0])]
     frame = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, score string")
     asked = F.col("vec_id") % 50 == 0
-    assert results(hnsw.nearest_neighbours(frame, asked)) == {0: [(8, 1.0), (9, 1.0), (50, 1.0)], 50: [(0, 1.0), (8, 1.0), (9, 1.0)]}
-    assert results(mtree.highest_products(frame, asked, 3))[0] == [(8, 8192), (9, 8192), (50, 8192)]
+    near = hnsw.nearest_neighbours(frame, asked).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in near) == Counter(  # the two rows of id 0 find each other
+        [(0, n, i, 1.0) for n, i in enumerate((0, 8, 9, 50), 1)] * 2 + [(50, n, i, 1.0) for n, i in enumerate((0, 0, 8, 9), 1)])
+    top = mtree.highest_products(frame, asked, 3).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in top if r.query_id == 0) == Counter([(0, 1, 8, 8192), (0, 2, 9, 8192), (0, 3, 50, 8192)] * 2)
     for search in (hnsw.nearest_neighbours, mtree.highest_products):
         assert search(frame.where("false"), asked).count() == 0
 
 
+def test_repeated_ids_and_other_lengths_lose_nothing(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (1, [9.0, 9.0]), (3, [5.0, 5.0]), (20, [2.0]), (5, [3.0]), (7, [1.0, 1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for per_shard in (1, 8192):
+        got = results(mtree.highest_products(frame, F.col("vec_id") % 20 == 0, 20, per_shard=per_shard, per_block=1))
+        assert got == {0: [(1, 110592), (3, 61440), (1, 12288)], 20: [(5, 24576)]}
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(300, 420)] + [(500, 500)]
