@@ -10,17 +10,20 @@ half of the network, so no step has to be repeated until it fits.
   Luhn digit; the digit is formed anew for the other digits.
 * phone: +1 and ten digits, written (ddd) ddd-dddd or with spaces, dots or hyphens.
 * ip: four numbers up to 255. id: ddd-dd-dddd in the ranges that are given out.
-* date: year-month-day, or day and month before the year with / or . between. The calendar
-  repeats every 400 years, 189 * 773 days; dates are permuted within 1800 to 2199, or
-  within the like span around them.
+* date: year-month-day, or day and month before the year with / or . between, years 1 to 9999. The
+  calendar repeats every 400 years, 189 * 773 days; dates are permuted within 1800 to 2199, or within
+  the like span around them. The first and the last span are cut to the years 1 to 199, 13 * 5591
+  days, and 9800 to 9999, 184 * 397 days, so that the year keeps its four digits.
 * email: letters and digits of the name; its signs and the domain stay.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Steps
+from .common import Steps, packed
 
 #: Forms in the order in which they are tried.
 FORMS = {
@@ -92,9 +95,10 @@ def _parts(hit: Column, signs: str) -> Column:
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:
-    """Days from DAY_ZERO, null if there is no such day."""
+    """Days from DAY_ZERO, null if there is no such day. There is no year 0."""
     written = F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.datediff(F.try_to_timestamp(written, F.lit("yyyy-MM-dd")).cast("date"), F.lit(DAY_ZERO).cast("date"))
+    there = F.try_to_timestamp(F.when(F.lpad(year, 4, "0") != "0000", written), F.lit("yyyy-MM-dd")).cast("date")
+    return F.datediff(there, F.lit(DAY_ZERO).cast("date"))
 
 
 def _date(hit: Column, key: str) -> Column:
@@ -108,9 +112,14 @@ def _date(hit: Column, key: str) -> Column:
         mdy=lambda c: F.when(~first, _day(at(3), at(1), at(2))))
     days = 189 * 773
     tries = tries.add(day=lambda c: F.coalesce(c["ymd"], c["dmy"], c["mdy"]).cast("long"))
-    tries = tries.add(span=lambda c: F.floor(c["day"] / days), place=lambda c: F.pmod(c["day"], F.lit(days)))
-    tries = tries.add(new=lambda c: feistel(F.floor(c["place"] / 773), c["place"] % 773, F.lit(189), F.lit(773), key, F.lit("date")))
-    tries = tries.add(date=lambda c: F.date_add(F.lit(DAY_ZERO).cast("date"), (c["span"] * days + c["new"]["a"] * 773 + c["new"]["b"]).cast("int")))
+    since = lambda day: (dt.date.fromisoformat(day) - dt.date.fromisoformat(DAY_ZERO)).days
+    by_span = lambda c, early, late, other: F.when(c["day"] < since("0200-01-01"), early).when(
+        c["day"] >= since("9800-01-01"), late).otherwise(other)
+    tries = tries.add(start=lambda c: by_span(c, since("0001-01-01"), since("9800-01-01"), F.floor(c["day"] / days) * days),
+                      size_a=lambda c: by_span(c, 13, 184, 189), size_b=lambda c: by_span(c, 5591, 397, 773))
+    tries = tries.add(place=lambda c: c["day"] - c["start"])
+    tries = tries.add(new=lambda c: feistel(F.floor(c["place"] / c["size_b"]), c["place"] % c["size_b"], c["size_a"], c["size_b"], key, F.lit("date")))
+    tries = tries.add(date=lambda c: F.date_add(F.lit(DAY_ZERO).cast("date"), (c["start"] + c["new"]["a"] * c["size_b"] + c["new"]["b"]).cast("int")))
     sign = F.substring(hit, 3, 1)
     written = lambda c: F.when(c["ymd"].isNotNull(), F.date_format(c["date"], "yyyy-MM-dd")).otherwise(F.concat(
         F.when(c["dmy"].isNotNull(), F.date_format(c["date"], "dd")).otherwise(F.date_format(c["date"], "MM")), sign,
@@ -192,11 +201,10 @@ def pseudonymised(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
         return out
 
     pairs = pairs.add(form=lambda c: F.when(c["hit"].isNotNull(), form(c))).add(new=new)
-    found = docs.withColumn("_pairs", F.when(F.col("text").rlike(ANY), pairs.array))
+    found = packed(docs, "text").withColumn("_pairs", F.when(F.col("text").rlike(ANY), pairs.array))
     text = F.array_join(F.transform("_pairs", lambda c: F.concat(c["gap"], F.coalesce(c["new"], c["hit"], F.lit("")))), "")
-    out = found.withColumn("text", F.coalesce(text, "text"))
-    if counts:
-        exchanged = F.transform(F.filter("_pairs", lambda c: c["new"].isNotNull()), lambda c: c["form"])
-        out = out.withColumns({f"n_{name}": F.coalesce(
-            F.size(exchanged) - F.size(F.array_remove(exchanged, name)), F.lit(0)).cast("long") for name in FORMS})
-    return out.drop("_pairs")
+    exchanged = F.transform(F.filter("_pairs", lambda c: c["new"].isNotNull()), lambda c: c["form"])
+    number = {f"n_{name}": F.coalesce(F.size(exchanged) - F.size(F.array_remove(exchanged, name)), F.lit(0)).cast("long")
+              for name in (FORMS if counts else ())}
+    kept = [F.coalesce(text, "text").alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns if c not in number]
+    return found.select(*kept, *[n.alias(name) for name, n in number.items()])

@@ -1,5 +1,6 @@
 """Text operators against plain versions, and on odd documents."""
 
+import datetime as dt
 import hashlib
 import json
 import math
@@ -145,6 +146,25 @@ def test_feistel_permutes(spark):
     assert len(got) == 77 and max(got) == (6, 10)
 
 
+def test_dates_keep_their_form_in_all_years(spark):
+    days = F.date_add(F.lit("0001-01-01").cast("date"), (F.col("id") * 71).cast("int"))
+    docs = spark.range(51_438).select(F.date_format(days, "yyyy-MM-dd").alias("text")).union(
+        spark.createDataFrame([("9999-12-31",), ("0001-01-01",), ("31.12.9999",), ("0000-05-05",)], "text string"))
+    rows = docs.select("text", F.col("text").alias("old")).transform(lambda d: pseudonyms.pseudonymised(d, "k")).collect()
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}", r.text) for r in rows)
+    span = lambda t: max(min((int(t[:4]) - 200) // 400, 24), -1)
+    dates = {r.old: r.text for r in rows if "-" in r.old}
+    assert dates.pop("0000-05-05") == "0000-05-05" and len(set(dates.values())) == len(dates)
+    assert all(span(a) == span(b) and dt.date.fromisoformat(b) for a, b in dates.items())
+
+
+def test_all_columns_survive_pseudonyms(spark):
+    docs = spark.createDataFrame([("2020-01-02", "p", "q", "r")], "text string, _pairs string, _row string, n_date string")
+    out = pseudonyms.pseudonymised(docs, "k", counts=True)
+    assert out.columns[:3] == ["text", "_pairs", "_row"] and out.columns.count("n_date") == 1
+    assert tuple(out.select("_pairs", "_row", "n_date").first()) == ("p", "q", 1)
+
+
 def test_pseudonyms_odd(spark):
     before = [tuple(r) for r in odd_documents(spark).collect()]
     assert [tuple(r) for r in pseudonyms.pseudonymised(odd_documents(spark), "k").collect()] == before
