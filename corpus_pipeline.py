@@ -44,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality classifier", good_quality), ("n-gram Jaccard join", one_of_similar), ("secret scans", without_secrets),
           ("mixing sources to target weights", mixed), ("best-fit packing", packed)]
 
-#: Learning, sampling and packing can't be expressed in SQL; tests hold each stage against brute force.
+#: Learning, sampling and packing can't be expressed in SQL; tests hold the operators against brute force, and run() against its stages.
 ORACLE_SQL = None
 
 
