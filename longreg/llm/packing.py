@@ -56,7 +56,8 @@ class WordIds:
         # What may spell a special token counts only as it is spelt.
         low = [word if b"<|" in word else word.lower() for word in unknown]
         stems = [word if b"<|" in word else word.rstrip(TAIL) for word in low]
-        stems = [stem if stem.decode("utf-8", "replace")[-1:].isalpha() else word for stem, word in zip(stems, low)]
+        # A letter may end in a mark once it is in lower case.
+        stems = [stem if stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha() else word for stem, word in zip(stems, low)]
         tails = [word[len(stem):] for stem, word in zip(stems, low)]
         parts = {*stems, *tails}
         new = list(parts - self.stems.keys())
