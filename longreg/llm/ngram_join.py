@@ -5,12 +5,14 @@ every document's set is cut with it. For sets of like size, a similarity of at l
 at most D n-grams that only one of two documents has. With more than D fragments in which
 either has n-grams, one fragment is the same in both. So documents meet under the hashes of
 their fragments, not of single n-grams: a phrase that many documents share does not make
-them meet. Pairs that met are counted exactly: partial overlaps fragment by fragment, then
-their sum per pair.
-
-Links are asked for as connected groups, so documents that met need not all be paired. They
-are paired with one of them first. Only what that leaves unconnected is searched for pairs
-in full, in the order that lets the fewest meet.
+them meet. Pairs that met are compared by their profiles first, the number of n-grams in each
+of many narrow fragments: profiles differ by no more than the sets do, so no link is lost.
+The rest are counted exactly: partial overlaps fragment by fragment, then their sum per pair.
+
+Links are asked for as connected groups, so documents that met need not all be paired. Those
+that met under a key of a few are; under a key of many, one is paired with each first. Only
+what that leaves unconnected is searched for pairs in full, in the order that lets the fewest
+meet.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ COUNTED = 256
 #: size is fixed; when it is full it keeps nothing out, and results are the same.
 FILTER_BITS = 1 << 26
 LARGEST = 1 << 40
+#: Documents that meet under one key are all paired if they are no more than this.
+FEW = 32
 #: Ratio of neighbouring steps of set sizes.
 STEP = 1.02
 
@@ -112,52 +116,82 @@ def _class_of(grams: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def sets_and_keys(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, size, cls, keys) of every document."""
+def profile(grams: np.ndarray) -> np.ndarray:
+    """How many n-grams lie in each of 2^level equal parts of their order, two to four on average; at most 255."""
+    level = max(0, len(grams).bit_length() - 2)
+    at = grams >> np.uint64(64 - level) if level else np.zeros(len(grams), np.uint64)
+    return np.minimum(np.bincount(at.astype(np.int64), minlength=1 << level), 255).astype(np.uint8)
+
+
+def apart_at_least(a: np.ndarray, b: np.ndarray) -> int:
+    """N-grams that only one of two sets has, by their profiles: never more than there are."""
+    parts = min(len(a), len(b))
+    # Counts of joined parts are held to 255 as well, so both are what the coarser profile holds.
+    a, b = (np.minimum(x.reshape(parts, -1).sum(1, dtype=np.int64), 255) for x in (a, b))
+    return int(np.abs(a - b).sum())
+
+
+def sets_of(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, size, cls, profile) of every document."""
     bounded_batches(docs.sparkSession)
 
     def run(frames):
-        cut = cut_for(num, den)
         for frame in frames:
             sets = [ngram_set(text, n) for text in frame["text"]]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].astype("Int64"), "size": [len(s) for s in sets],
                 "cls": pd.array([_class_of(s) for s in sets], "Int64"),
-                "keys": [cut.keys(s).view(np.int64) for s in sets]})
+                "profile": [profile(s).tobytes() if len(s) else None for s in sets]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, size long, cls long, keys array<long>")
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, size long, cls long, profile binary")
 
 
-def _filter_bits(keys: DataFrame) -> np.ndarray:
-    """A bitmap of the hashed keys, FILTER_BITS long whatever the number of keys."""
-    at = F.pmod(F.col("key"), F.lit(FILTER_BITS))
-    words = keys.groupBy(F.floor(at / 64).alias("w")).agg(F.bit_or(F.expr(
-        f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) % 64 as int))")).alias("bits")).toPandas()
+def _bits(values: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes of values (h), FILTER_BITS long whatever their number."""
+    words = values.groupBy(F.floor(F.pmod("h", F.lit(FILTER_BITS)) / 64).alias("w")).agg(F.bit_or(F.expr(
+        f"shiftleft(1L, cast(pmod(h, {FILTER_BITS}) % 64 as int))")).alias("bits")).toPandas()
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[words["w"].to_numpy("int64")] = words["bits"].to_numpy("int64")
     return out
 
 
-def _met(base: DataFrame) -> DataFrame:
-    """(key, cls, size) of the classes that share a key with another class."""
-    spark = base.sparkSession
-    keyed = base.where("cls is not null").select("cls", F.explode("keys").alias("key"))
-    shared = stage(keyed.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-                   .where("low < high").select("key"), "shared-keys")
-    bits = spark.sparkContext.broadcast(_filter_bits(shared))
+def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = np.asarray(hashes, np.int64) % FILTER_BITS
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _keys(docs: DataFrame, n: int, num: int, den: int, among: np.ndarray | None = None) -> DataFrame:
+    """(cls, size, key) of every document's keys, or of those that the bitmap has.
+
+    Keys are as many bytes as the texts, so they are made anew where they are wanted and not stored.
+    """
+    spark = docs.sparkSession
+    bits = None if among is None else spark.sparkContext.broadcast(among)
+    bounded_batches(spark)
 
     def run(frames):
+        cut = cut_for(num, den)
         for frame in frames:
-            kept = []
-            for keys in frame["keys"]:
-                at = np.asarray(keys, np.int64) % FILTER_BITS
-                kept.append(keys[(bits.value[at >> 6] >> (at & 63)) & 1 == 1])
-            yield frame.assign(keys=kept)
+            rows = {}
+            for text in frame["text"]:
+                grams = ngram_set(text, n)
+                cls = _class_of(grams)
+                if cls is not None and cls not in rows:  # equal sets have equal keys
+                    keys = np.unique(cut.keys(grams)).view(np.int64)
+                    rows[cls] = (cls, len(grams), keys if bits is None else keys[_has(bits.value, keys)])
+            yield pd.DataFrame(list(rows.values()), columns=["cls", "size", "keys"])
+
+    made = docs.select("text").mapInPandas(run, "cls long, size long, keys array<long>")
+    return made.select("cls", "size", F.explode("keys").alias("key"))
 
-    bounded_batches(spark)
-    likely = base.where("cls is not null").select("cls", "size", "keys").mapInPandas(run, "cls long, size long, keys array<long>")
-    return stage(likely.select("cls", "size", F.explode("keys").alias("key")).join(shared, "key")
-                 .groupBy("key", "cls").agg(F.max("size").alias("size")), "met")
+
+def _met(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(key, cls, size, classes) of the classes that share a key with another class, of so many."""
+    shared = stage(_keys(docs, n, num, den).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
+    likely = _keys(docs, n, num, den, _bits(shared.select(F.col("key").alias("h"))))
+    held = stage(likely.groupBy("key", "cls").agg(F.max("size").alias("size")), "held-keys")
+    several = held.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    return stage(held.join(several, "key"), "met")
 
 
 def _level(size: Column) -> Column:
@@ -168,9 +202,17 @@ def _level(size: Column) -> Column:
 def _counted_sets(docs: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(cls, level, fragment, grams): the sets of the classes in members (doc_id, cls), cut for
     counting at the levels at which they may be paired."""
-    wanted = members.select(F.col("doc_id").alias("_d"), F.col("cls").alias("_c")).hint("shuffle_hash")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_d"))).select("_c", "text")
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    wanted = stage(members.select(F.col("doc_id").alias("_d"), F.col("cls").alias("_c")), "counted-ids")
+    bits = spark.sparkContext.broadcast(_bits(wanted.select(F.xxhash64("_d").alias("h"))))
+
+    @F.pandas_udf("boolean")
+    def likely(hashes: pd.Series) -> pd.Series:
+        return pd.Series(_has(bits.value, hashes.to_numpy()))
+
+    texts = docs.where(likely(F.xxhash64("doc_id"))).select("doc_id", "text").join(
+        wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_d"))).select("_c", "text")
+    bounded_batches(spark)
 
     def run(frames):
         for frame in frames:
@@ -192,13 +234,27 @@ def _counted_sets(docs: DataFrame, members: DataFrame, n: int, num: int, den: in
     return stage(cut.dropDuplicates(["cls", "level", "fragment"]), "counted-sets")
 
 
+def _likely(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of pairs (a, size_a, b, size_b) that sizes and profiles (cls, profile) leave possible, once each."""
+    close = (F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num)
+
+    @F.pandas_udf("long")
+    def apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([apart_at_least(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) for x, y in zip(a, b)], dtype="int64")
+
+    of = lambda side: profiles.select(F.col("cls").alias(side), F.col("profile").alias(f"profile_{side}"))
+    known = pairs.where(close).distinct().join(of("a"), "a").join(of("b"), "b")
+    both = F.col("size_a") + F.col("size_b")
+    possible = (both - apart("profile_a", "profile_b")) * (num + den) >= 2 * both * num
+    return known.where(possible).select("a", "size_a", "b", "size_b")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those of pairs (a, size_a, b, size_b) that are similar enough.
 
     Every fragment's overlap is counted on its own; a pair's are added up.
     """
-    close = (F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num)
-    pairs = pairs.where(close).distinct().withColumn("level", _level(F.least("size_a", "size_b")))
+    pairs = pairs.withColumn("level", _level(F.least("size_a", "size_b")))
     left = sets.select(F.col("cls").alias("a"), "level", "fragment", F.col("grams").alias("grams_a"))
     right = sets.select(F.col("cls").alias("b"), "level", "fragment", F.col("grams").alias("grams_b"))
     partial = pairs.join(left, ["a", "level"]).join(right, ["b", "level", "fragment"]).select(
@@ -216,17 +272,25 @@ def _still_apart(met: DataFrame, links: DataFrame) -> DataFrame:
     return stage(labelled.join(apart, "key"), "apart")
 
 
+def _within_few(met: DataFrame) -> DataFrame:
+    """All pairs of classes that share a key which few have."""
+    few = met.where(F.col("classes") <= FEW)
+    a, b = (few.select("key", F.col("cls").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    return a.join(b, "key").where("a < b").select("a", "size_a", "b", "size_b")
+
+
 def _to_central(met: DataFrame) -> DataFrame:
     """Pairs of every class with the class of each of its keys that meets most others.
 
     Copies that differ from their original in several places each may not be similar to one
     another, but the original is to all of them, and it shares most keys.
     """
-    meets = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    central = met.join(meets, "key").groupBy("cls").agg(F.sum("n").alias("meets"))
+    central = met.groupBy("cls").agg(F.sum("classes").alias("meets"))
     one = met.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls", "size")).alias("o"))
-    return met.join(one, "key").where(F.col("cls") != F.col("o.cls")).select(
-        F.col("cls").alias("a"), F.col("size").alias("size_a"), F.col("o.cls").alias("b"), F.col("o.size").alias("size_b"))
+    a, b = F.struct("cls", "size"), F.struct("o.cls", "o.size")
+    pair = F.struct(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
+    return met.join(one, "key").where(F.col("cls") != F.col("o.cls")).select(pair.alias("p")).select(
+        F.col("p.x.cls").alias("a"), F.col("p.x.size").alias("size_a"), F.col("p.y.cls").alias("b"), F.col("p.y.size").alias("size_b"))
 
 
 def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -269,12 +333,18 @@ def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 def _grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(doc_id, size, cls, component, component_id) of every row: cls is the set's own number,
     component that of its group. Both are null for rows without words."""
-    base = stage(sets_and_keys(docs, n, num, den), "ngram-sets")
-    met = _met(base)
-    reps = base.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    sets = _counted_sets(docs, met.select("cls").distinct().join(reps, "cls"), n, num, den)
-    links = stage(_links(_to_central(met), sets, num, den), "ngram-links")
-    links = links.unionByName(_links(_across(_still_apart(met, links), sets, num, den), sets, num, den))
+    base = stage(sets_of(docs, n), "ngram-sets")
+    met = _met(docs, n, num, den)
+    of_set = base.where("cls is not null").groupBy("cls")
+    reps = of_set.agg(F.min("doc_id").alias("doc_id"))
+    profiles = stage(of_set.agg(F.min("profile").alias("profile")).join(met.select("cls").distinct(), "cls"), "profiles")
+    many = met.where(F.col("classes") > FEW)
+    pairs = stage(_likely(_within_few(met).unionByName(_to_central(many)), profiles, num, den), "pairs")
+    counted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(many.select("cls")).distinct()
+    sets = _counted_sets(docs, counted.join(reps, "cls"), n, num, den)
+    links = stage(_links(pairs, sets, num, den), "ngram-links")
+    across = _likely(_across(_still_apart(many, links), sets, num, den), profiles, num, den)
+    links = links.unionByName(_links(across, sets, num, den))
     groups = reps.join(connected_components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))

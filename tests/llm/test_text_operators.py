@@ -472,6 +472,34 @@ def test_similar_sets_share_a_key(a, change, share):
         assert set(cut.keys(grams[0]).tolist()) & set(cut.keys(grams[1]).tolist())
 
 
+@given(st.sets(st.integers(0, 4000), min_size=1), st.sets(st.integers(0, 4000), max_size=200), st.booleans())
+@settings(max_examples=200, deadline=None)
+def test_profiles_differ_by_no_more_than_their_sets(a, change, crowded):
+    b = a ^ change
+    if crowded:  # thousands of n-grams in one narrow part, where counts end
+        a, b = a | set(range(5000, 9000)), b | set(range(5000, 9000, 2))
+    if b:
+        grams = [np.array(sorted(x), np.uint64) << np.uint64(1 if crowded else 52) for x in (a, b)]
+        profiles = [ngram_join.profile(x) for x in grams]
+        assert ngram_join.apart_at_least(*profiles) == ngram_join.apart_at_least(*profiles[::-1]) <= len(a ^ b)
+
+
+def test_families_larger_than_few_are_linked_in_full(spark):
+    """A passage in all texts, and families beyond the number that is paired directly."""
+    rng = np.random.default_rng(3)
+    passage, texts = [f"p{i}" for i in range(60)], []
+    for family in range(3):
+        own = [f"f{family}w{i}" for i in range(240)]
+        for copy in range(ngram_join.FEW + 20):
+            words = own + passage
+            for at in rng.integers(0, 240, int(rng.integers(0, 7))):
+                words[at] = f"x{rng.integers(9)}"
+            texts.append((len(texts), " ".join(words)))
+    texts += [(1000 + i, " ".join([f"s{i}w{j}" for j in range(200)] + passage)) for i in range(60)]
+    got = ngram_join.similar_groups(spark.createDataFrame(texts, "doc_id long, text string"), 5, 80, 100)
+    assert {r.doc_id: (r["size"], r.component_id) for r in got.collect()} == groups(texts, 5, 80, 100)
+
+
 def test_join_odd(spark):
     docs = odd_documents(spark)
     rows = ngram_join.similar_groups(docs).collect()
