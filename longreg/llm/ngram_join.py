@@ -38,6 +38,8 @@ COUNTED = 256
 #: Bits of the filter that keeps fragments which only one document has out of a shuffle. Its
 #: size is fixed; when it is full it keeps nothing out, and results are the same.
 FILTER_BITS = 1 << 26
+#: 64-bit words of the filter in one row.
+BLOCK = 1 << 12
 LARGEST = 1 << 40
 #: Documents that meet under one key are all paired if they are no more than this.
 FEW = 32
@@ -147,12 +149,21 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _bits(values: DataFrame) -> np.ndarray:
-    """A bitmap of the hashes of values (h), FILTER_BITS long whatever their number."""
+    """A bitmap of the hashes of values (h), FILTER_BITS long whatever their number. It is put
+    together in BLOCK words at a time, so the driver gets few rows and no more bytes than the bitmap has."""
     words = values.groupBy(F.floor(F.pmod("h", F.lit(FILTER_BITS)) / 64).alias("w")).agg(F.bit_or(F.expr(
-        f"shiftleft(1L, cast(pmod(h, {FILTER_BITS}) % 64 as int))")).alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[words["w"].to_numpy("int64")] = words["bits"].to_numpy("int64")
-    return out
+        f"shiftleft(1L, cast(pmod(h, {FILTER_BITS}) % 64 as int))")).alias("bits"))
+
+    def joined(frame: pd.DataFrame) -> pd.DataFrame:
+        block = np.zeros(BLOCK, np.int64)
+        at = frame["w"].to_numpy("int64")
+        block[at % BLOCK] = frame["bits"].to_numpy("int64")
+        return pd.DataFrame({"block": [int(at[0]) // BLOCK], "words": [block.tobytes()]})
+
+    out = np.zeros((FILTER_BITS // 64 // BLOCK, BLOCK), np.int64)
+    for row in words.groupBy(F.floor(F.col("w") / BLOCK)).applyInPandas(joined, "block long, words binary").collect():
+        out[row.block] = np.frombuffer(row.words, np.int64)
+    return out.ravel()
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
