@@ -64,4 +64,26 @@ r AS (SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_fea
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 5 // 100 FROM c WHERE n_words >= 20) THEN rank END AS rank
 FROM c LEFT JOIN r ON c.n = r.n"""
 
-STATEMENTS: dict[str, str] = {"op11_filter_audit": AUDIT, "op12_importance_resampling": IMPORTANCE}
+# Products of whole numbers, exact in double precision below 2^53.
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+SIMILAR = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 3 THEN [ws] ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2]) END)
+  AS gram FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, other) AS (SELECT doc_id, doc_id FROM w UNION SELECT node, b FROM r JOIN e ON other = a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM w LEFT JOIN n USING (doc_id)
+ JOIN (SELECT node AS doc_id, min(other) AS component_id FROM r GROUP BY node) USING (doc_id)"""
+
+STATEMENTS: dict[str, str] = {"op6_mtree_top_k": TOP_K, "op10_ngram_jaccard_join": SIMILAR, "op11_filter_audit": AUDIT,
+                              "op12_importance_resampling": IMPORTANCE}
