@@ -1,10 +1,10 @@
 """Lookup joins that hold when one key owns a large share of the rows.
 
 Rows are thought of as PIECES pieces of equal size, at least four per shuffle partition. A key that
-holds more than one piece is "hot": its rows are salted over as many partitions as it has
-pieces, and its single lookup row is repeated once per salt. So no task gets much more than one piece of a
-hot key, whatever its share. There are at most as many hot keys as pieces, and their list is broadcast
-under that bound; lookup rows are repeated twice as often at most. All other keys fit in one partition.
+holds more than one piece is "hot". There are fewer hot keys than pieces, so their lookup rows are
+broadcast under that bound. All other keys fit in one partition and are joined by key; rows that have
+a hot key or none go along in that join, dealt by what varies within the key, so that it spreads them.
+Lookup rows that are grouped by hash and key already are not shuffled again.
 
 Keys travel behind a 64-bit hash of themselves. The hash leads every sort, where it
 decides almost all comparisons, and stands for the key in the hot list; the key columns
@@ -31,12 +31,12 @@ def pieces(df: DataFrame) -> int:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str],
-                weight: str | None = None) -> DataFrame:
+                weight: str | None = None, total: Column | None = None) -> DataFrame:
     """Left join to `right`, which holds one row per key; adds its other columns.
 
     `spread` names columns that vary within a key (a row id). `weight` names a column
-    of `right` with the number of left rows of the key, when the caller knows it.
-    Rows without a key are salted too, since they would all meet in one partition.
+    of `right` with the number of left rows of the key, when the caller knows it, and
+    `total` is their sum, if that is cheaper to get elsewhere.
     Both sides may bring the key hash along in `_hash`.
     """
     left_columns = [c for c in left.columns if c != HASH]
@@ -47,27 +47,33 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     rows, whole = weight or "_rows", pieces(left)
     counts = right if weight else (left.where(F.col(HASH).isNotNull()).groupBy(HASH)
                                    .agg(F.count(F.lit(1)).alias("_rows")))
-    share = F.ceil(F.col(rows) * whole / counts.agg(F.sum(rows).alias("n")).scalar()).cast("int")
-    hot = F.broadcast(counts.select(F.col(HASH).alias("_hot"), share.alias("_pieces")).where("_pieces > 1")
-                      .groupBy("_hot").agg(F.max("_pieces").alias("_pieces")))
-
-    spot = F.xxhash64(*spread)
-    salt = (F.when(F.col("_hot").isNotNull(), F.pmod(spot, F.col("_pieces")))
-            .when(F.col(HASH).isNull(), F.pmod(spot, F.lit(whole))).otherwise(F.lit(0)).cast("int"))
-    salted = left.join(hot, F.col(HASH) == F.col("_hot"), "left").withColumn("_salt", salt)
-    marked = right.join(hot, F.col(HASH) == F.col("_hot"), "left")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
-    lookup = marked.select(F.col(HASH).alias("_r_hash"), *[F.col(k).alias(f"_r_{k}") for k in keys], *values,
-                           F.explode(salts).alias("_r_salt"))
-    on = [F.col(HASH) == F.col("_r_hash"), F.col("_salt") == F.col("_r_salt"),
-          *[F.col(k) == F.col(f"_r_{k}") for k in keys]]
-    return salted.join(lookup, on, "left").select(*left_columns, *values)
+    total = counts.agg(F.sum(rows).alias("n")).scalar() if total is None else total
+    hot = counts.withColumn("_pieces", F.ceil(F.col(rows) * whole / total)).where("_pieces > 1")
+    marked = left
+    if not weight:
+        names = F.broadcast(hot.select(F.col(HASH).alias("_hot"), "_pieces"))
+        hot = right.join(names, F.col(HASH) == F.col("_hot"), "left_semi")
+        marked = left.join(names, F.col(HASH) == F.col("_hot"), "left")
+    on = lambda prefix, at: [F.col(at) == F.col(f"{prefix}_hash"), *[F.col(k) == F.col(f"{prefix}_{k}") for k in keys]]
+    named = lambda df, prefix: [F.col(HASH).alias(f"{prefix}_hash"), *[F.col(k).alias(f"{prefix}_{k}") for k in keys]]
+    few = F.broadcast(hot.select(*named(hot, "_h"), F.struct(F.lit(True), *values).alias("_few")))
+    known = marked.join(few, on("_h", HASH), "left")
+    apart = F.col("_few").isNotNull() | F.col(HASH).isNull()
+    if not weight:
+        apart = apart | F.col("_pieces").isNotNull()
+    dealt = known.select(*left_columns, "_few", F.when(apart, F.xxhash64(*spread)).otherwise(F.col(HASH)).alias("_at"))
+    # Naming the weight here makes Spark read the grouped rows above again instead of grouping twice.
+    told = F.col(weight or HASH).alias("_r_told")
+    joined = dealt.join(right.select(*named(right, "_r"), *values, told), on("_r", "_at"), "left").where(
+        F.col("_r_told").isNull() | (F.col("_r_told") >= -2**63))
+    return joined.select(*left_columns, *[F.when(F.col("_few").isNotNull(), F.col(f"_few.{v}")).otherwise(F.col(v)).alias(v) for v in values])
 
 
 def attach_group_values(df: DataFrame, keys: list[str], aggregates: list, spread: list[str]) -> DataFrame:
     """Add per-group aggregates to every row, like a window over the whole group but
     pre-aggregated before the shuffle, so no group is ever gathered in one task."""
     hashed = df.withColumn(HASH, hash_of(keys))
-    grouped = (hashed.where(F.col(HASH).isNotNull()).groupBy(HASH, *keys)
-               .agg(F.count(F.lit(1)).alias("_rows"), *aggregates))
-    return lookup_join(hashed, grouped, keys, spread, weight="_rows")
+    some = hashed.where(F.col(HASH).isNotNull())
+    grouped = some.groupBy(HASH, *keys).agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+    total = some.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return lookup_join(hashed, grouped, keys, spread, weight="_rows", total=total)

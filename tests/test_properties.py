@@ -232,3 +232,17 @@ def test_a_hot_key_is_spread_by_its_share(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_grouped_lookup_rows_are_not_shuffled_again(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("row_id"), (F.col("id") % 70).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = skew.attach_group_values(rows, ["k"], [F.max("row_id").alias("last")], ["row_id"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_at" in plan and "hashpartitioning(_r_hash" not in plan
+        assert out.where("last is null or last % 70 <> k").count() == 0 and out.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
