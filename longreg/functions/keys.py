@@ -37,6 +37,33 @@ def key_text(names: list[str], allow_blank: bool = False) -> Column:
     return key_of([filled_text(n) for n in names], allow_blank)
 
 
+#: 128 bits decide whether two keys are equal, as many as an id has.
+KEY_DIGITS = 32
+
+
+def key_digest(key: Column) -> Column:
+    """A key for joins as 16 bytes of its SHA-256, whatever its length. NULL stays NULL."""
+    return F.unhex(F.substring(F.sha2(key.cast("binary"), 256), 1, KEY_DIGITS))
+
+
+UUID_TEXT = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+#: Put before other texts, so that none is packed to the 16 bytes of a UUID.
+PLAIN = "-" * 17
+
+
+def packed(text: Column) -> Column:
+    """An id as bytes: 16 for a UUID in its usual form, any other text as it is behind a mark."""
+    return F.when(text.rlike(UUID_TEXT), F.unhex(F.replace(text, F.lit("-"), F.lit("")))).otherwise(
+        F.concat(F.lit(PLAIN), text).cast("binary"))
+
+
+def unpacked(value: Column) -> Column:
+    """The text that was packed."""
+    uuid = F.regexp_replace(F.lower(F.hex(value)), UUID_DIGITS, "$1-$2-$3-$4-$5")
+    return F.when(F.octet_length(value) == KEY_DIGITS // 2, uuid).otherwise(
+        F.substr(value.cast("string"), F.lit(len(PLAIN) + 1)))
+
+
 def sized(part: Column) -> Column:
     return F.concat(F.length(part).cast("string"), F.lit(":"), part)
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.blank import blank_to_null
-from ..functions.keys import key_text, surrogate_id
-from .link import IDS, MatchPass, candidates, match_status, set_ids, stacked_hits
+from ..functions.keys import key_digest, key_text, surrogate_id, unpacked
+from .link import IDS, MatchPass, candidates, match_status, set_ids, stacked_hits, with_row
 from .shape import require
-from .skew import lookup_join
+from .skew import HASH, lookup_join
 
 FIRM = ["case_id"]
 SITE = ["establishment_id"]
@@ -17,13 +17,13 @@ LOCATION = ["case_id", "address_key", "code_sbi_1"]
 
 # Known ids by the oldest backbone row with the key: (id column, namespace, pass).
 CROSSWALK = [
-    ("group_id", "group", MatchPass.on(*FIRM, oldest=True, override=True, needs="group_id")),
-    ("site_id", "site", MatchPass.on(*SITE, oldest=True, override=True, needs="site_id")),
-    ("entity_id", "entity", MatchPass.on(*ENTITY, oldest=True, override=True)),
+    ("group_id", "group", MatchPass.on(*FIRM, oldest=True, override=True, needs="group_id", takes=("group_id",))),
+    ("site_id", "site", MatchPass.on(*SITE, oldest=True, override=True, needs="site_id", takes=("site_id",))),
+    ("entity_id", "entity", MatchPass.on(*ENTITY, oldest=True, override=True, takes=("entity_id",))),
     ("entity_id", "entity-location",
-     MatchPass.on(*LOCATION, oldest=True, override=True, allow_blank=True)),
+     MatchPass.on(*LOCATION, oldest=True, override=True, allow_blank=True, takes=("entity_id",))),
     ("site_id", "site-location",
-     MatchPass.on(*LOCATION, oldest=True, override=True, allow_blank=True, needs="site_id")),
+     MatchPass.on(*LOCATION, oldest=True, override=True, allow_blank=True, needs="site_id", takes=("site_id",))),
 ]
 
 
@@ -39,9 +39,9 @@ def assign_ids(df: DataFrame, keys: list[str], id_col: str, secret: str, *, name
         found = [new]
         joined = df
     else:
-        p = MatchPass.on(*keys, allow_blank=allow_blank, oldest=True, needs=id_col)
-        known = candidates(backbone, [p]).select("key", F.col(f"ids.{id_col}").alias("_known"))
-        keyed = df.withColumn("key", key_text(keys, allow_blank))
+        p = MatchPass.on(*keys, allow_blank=allow_blank, oldest=True, needs=id_col, takes=(id_col,))
+        known = candidates(backbone, [p]).select(HASH, "key", unpacked(F.col(f"ids.{id_col}")).alias("_known"))
+        keyed = df.withColumn("key", key_digest(key_text(keys, allow_blank)))
         joined = lookup_join(keyed, known, ["key"], spread=["row_id"])
         found = [F.col("_known"), new]
     order = [*found, own] if force else [own, *found]
@@ -81,12 +81,12 @@ def identify(df: DataFrame, backbone: DataFrame, secret: str, passes: list[Match
     usable = F.when((F.col("slot") < n) & ~F.col("ambiguous"), F.col("slot"))
     known = [F.max(F.when(F.col("slot") == n + i, F.col(f"ids.{id_col}"))).alias(f"_k{i}")
              for i, (id_col, _, _) in enumerate(CROSSWALK)]
-    best = hits.groupBy("row_id").agg(
+    best = hits.groupBy("_row").agg(
         F.min_by("ids", usable).alias("_link"), F.min(usable).alias("_slot"),
         F.max((F.col("slot") < n) & F.col("ambiguous")).alias("_ambiguous"), *known)
-    joined = df.join(best, "row_id", "left")
+    joined = with_row(df).join(best, "_row", "left")
     linked = {i: blank_to_null(c) for i, c in set_ids(joined, F.col("_link")).items()}
-    ids = _fill(joined, secret, lambda i: F.col(f"_k{i}"), linked)
+    ids = _fill(joined, secret, lambda i: unpacked(F.col(f"_k{i}")), linked)
     return joined.select(
         *[ids[c].alias(c) if c in IDS else F.col(c) for c in df.columns],
         (F.col("_slot") + 1).alias("match_pass"),

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import blank, not_blank
-from ..functions.keys import filled_text, key_of, key_text
+from ..functions.keys import filled_text, key_digest, key_of, key_text, packed, unpacked
 from .order import LAST, newest_date, newest_first
 from .dedup import top_per_key
 from .shape import require
@@ -34,6 +34,7 @@ class MatchPass:
     active       only rows that are not superseded are candidates
     oldest       rank by oldest wave instead of active and newest
     needs        id that a candidate must carry
+    takes        ids that are used of a candidate; others of the three come as NULL
     """
 
     keys: tuple[tuple[str, str], ...]
@@ -44,6 +45,7 @@ class MatchPass:
     active: bool = False
     oldest: bool = False
     needs: str = "entity_id"
+    takes: tuple[str, ...] = tuple(IDS)
 
     @classmethod
     def on(cls, *names, **options) -> "MatchPass":
@@ -71,11 +73,16 @@ def _stack(df: DataFrame, passes: list[MatchPass], columns: list[list[str]], usa
                         *[c.alias(f"_u{i}") for i, c in enumerate(usable)])
     entries = []
     for i, (p, cols) in enumerate(zip(passes, columns)):
-        key = key_of([texts[c] for c in cols], p.allow_blank)
+        key = key_digest(key_of([texts[c] for c in cols], p.allow_blank))
         entries.append(F.struct(F.lit(i).alias("slot"), F.when(F.col(f"_u{i}"), key).alias("key")))
     return (cleaned.select(*carry, F.explode(F.array(*entries)).alias("_e"))
             .select(*carry, "_e.*").where(F.col("key").isNotNull())
-            .withColumn(HASH, F.xxhash64("slot", "key")))
+            .withColumn(HASH, F.xxhash64(*_by(passes))))
+
+
+def _by(passes: list[MatchPass]) -> list[str]:
+    """What tells the keys apart: a single pass needs no slot."""
+    return ["slot", "key"] if len(passes) > 1 else ["key"]
 
 
 def _among(slots: list[int]) -> Column:
@@ -83,8 +90,9 @@ def _among(slots: list[int]) -> Column:
 
 
 def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
-    """Best candidate per (slot, key): `ids`, its rank `best`, and whether the key is
-    `ambiguous`. One scan and one pre-aggregated shuffle for all passes."""
+    """Best candidate per (slot, key), or per key of a single pass: `ids`, packed, its rank `best`, and whether
+    the key is `ambiguous`. One scan and one pre-aggregated shuffle for all passes, which carries
+    a row id and the ids that are used once each."""
     prefer = sorted({c for p in passes for c in p.prefer})
     require(backbone, [*BACKBONE_COLUMNS, *prefer, *[b for p in passes for b in p.backbone_columns]])
 
@@ -101,21 +109,29 @@ def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
         .otherwise(newest_date("wave_date")).alias("w"),
         F.col("row_id"))
     unique = _among(slots(lambda p: p.unique))
-    stacked = _stack(backbone, passes, [p.backbone_columns for p in passes], usable,
-                     [*BACKBONE_COLUMNS, *prefer])
-    return (stacked.groupBy(HASH, "slot", "key")
-            .agg(F.min_by(F.struct(*IDS), rank).alias("ids"), F.min(rank).alias("best"),
-                 (F.min("entity_id") != F.max("entity_id")).alias("_several"))
-            .select(HASH, "slot", "key", "ids", "best",
-                    (unique & F.coalesce("_several", F.lit(False))).alias("ambiguous")))
+    # Packed before the passes are stacked, so once per row.
+    rows = backbone.withColumns({f"_p_{c}": packed(F.col(c)) for c in IDS})
+    stacked = _stack(rows, passes, [p.backbone_columns for p in passes], usable,
+                     [*BACKBONE_COLUMNS, *prefer, *[f"_p_{c}" for c in IDS]])
+    taken = F.struct(*[F.when(_among(slots(lambda p, c=c: c in p.takes)), F.col(f"_p_{c}")).alias(c) for c in IDS])
+    told = F.when(unique, F.col("entity_id"))
+    return (stacked.groupBy(HASH, *_by(passes))
+            .agg(F.min(F.struct(rank.alias("rank"), taken.alias("ids"))).alias("_first"), (F.min(told) != F.max(told)).alias("_several"))
+            .select(HASH, *_by(passes), F.col("_first.ids").alias("ids"), F.col("_first.rank").alias("best"),
+                    F.coalesce("_several", F.lit(False)).alias("ambiguous")))
+
+
+def with_row(src: DataFrame) -> DataFrame:
+    """Add the packed row id, by which hits are collected."""
+    return src.withColumn("_row", packed(F.col("row_id")))
 
 
 def stacked_hits(src: DataFrame, backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
-    """(row_id, slot, ids, best, ambiguous) for every pass that finds a candidate."""
+    """(_row, slot, ids, best, ambiguous) for every pass that finds a candidate; row id and ids are packed."""
     require(src, ["row_id", "entity_id", *[s for p in passes for s in p.source_columns]])
     usable = [F.lit(True) if p.override else blank(src, p.needs) for p in passes]
-    stacked = _stack(src, passes, [p.source_columns for p in passes], usable, ["row_id"])
-    return (lookup_join(stacked, candidates(backbone, passes), ["slot", "key"], spread=["row_id"])
+    stacked = _stack(with_row(src), passes, [p.source_columns for p in passes], usable, ["_row"])
+    return (lookup_join(stacked, candidates(backbone, passes), _by(passes), spread=["_row"])
             .where(F.col("ids").isNotNull()).drop("key"))
 
 
@@ -125,8 +141,8 @@ def match_status(df: DataFrame, linked: Column, ambiguous: Column) -> Column:
 
 
 def set_ids(df: DataFrame, link: Column) -> dict[str, Column]:
-    """The three ids of one candidate, taken together; own ids where there is none."""
-    return {i: F.when(link.isNotNull(), link[i]).otherwise(F.col(i)) for i in IDS}
+    """The three ids of one candidate, packed, taken together; own ids where there is none."""
+    return {i: F.when(link.isNotNull(), unpacked(link[i])).otherwise(F.col(i)) for i in IDS}
 
 
 def match_cascade(src: DataFrame, backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
@@ -138,10 +154,10 @@ def match_cascade(src: DataFrame, backbone: DataFrame, passes: list[MatchPass])
     """
     hits = stacked_hits(src, backbone, passes)
     usable = F.when(~F.col("ambiguous"), F.col("slot"))
-    best = hits.groupBy("row_id").agg(F.min_by("ids", usable).alias("_link"),
+    best = hits.groupBy("_row").agg(F.min_by("ids", usable).alias("_link"),
                                       F.min(usable).alias("_slot"),
                                       F.max("ambiguous").alias("_ambiguous"))
-    joined = src.join(best, "row_id", "left")
+    joined = with_row(src).join(best, "_row", "left")
     return joined.select(
         *[set_ids(joined, F.col("_link"))[c].alias(c) if c in IDS else F.col(c) for c in src.columns],
         (F.col("_slot") + 1).alias("match_pass"),
@@ -151,10 +167,10 @@ def match_cascade(src: DataFrame, backbone: DataFrame, passes: list[MatchPass])
 def exact_match(src: DataFrame, backbone: DataFrame, keys, **options) -> DataFrame:
     """A single pass: one join of the source with the reduced backbone."""
     p = MatchPass.on(*keys.items() if isinstance(keys, dict) else keys, **options)
-    key = key_text(p.source_columns, p.allow_blank)
+    key = key_digest(key_text(p.source_columns, p.allow_blank))
     keyed = src.withColumn("key", key if p.override else F.when(blank(src, p.needs), key))
     right = candidates(backbone, [p]).select(
-        "key", F.col("ids").alias("_ids"), F.col("ambiguous").alias("_ambiguous"))
+        HASH, "key", F.col("ids").alias("_ids"), F.col("ambiguous").alias("_ambiguous"))
     joined = lookup_join(keyed, right, ["key"], spread=["row_id"])
     link = F.when(~F.col("_ambiguous"), F.col("_ids"))
     return joined.select(
@@ -177,10 +193,10 @@ def threshold_match(src: DataFrame, backbone: DataFrame, keys, at_least: int) ->
     subsets = [s for size in range(n, at_least - 1, -1) for s in combinations(pairs, size)]
     hits = stacked_hits(src, backbone, [MatchPass(tuple(s)) for s in subsets])
     sizes = F.element_at(F.array(*[F.lit(len(s)) for s in subsets]), F.col("slot") + 1)
-    best = (hits.withColumn("_size", sizes).groupBy("row_id")
+    best = (hits.withColumn("_size", sizes).groupBy("_row")
             .agg(F.min_by("ids", F.struct(-F.col("_size"), "best")).alias("_link"),
                  F.max("_size").alias("_size")))
-    joined = src.join(best, "row_id", "left")
+    joined = with_row(src).join(best, "_row", "left")
     return joined.select(
         *[set_ids(joined, F.col("_link"))[c].alias(c) if c in IDS else F.col(c) for c in src.columns],
         F.col("_size").alias("agreeing"),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture as fx, naive
+from longreg.functions import keys
 from longreg.operators import clean, dedup, history, identity, link, profile, skew
 from longreg.plans.standardise import standardise
 from longreg.sources.tables import stage
@@ -246,3 +247,16 @@ def test_grouped_lookup_rows_are_not_shuffled_again(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ids_and_keys_are_packed_on_the_way(spark):
+    texts = ["0f8f4c1e-1a55-4f5e-9d0a-3f6f0f3c0001", "0F8F4C1E-1a55-4f5e-9d0a-3f6f0f3c0001", "e1", "", " ", "sixteen letters!",
+             "0f8f4c1e1a554f5e9d0a3f6f0f3c0001", "Łódź", "-" * 17, None]
+    made = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("b", keys.packed(F.col("t")))
+    assert [r["t"] for r in made.select(keys.unpacked(F.col("b")).alias("t")).collect()] == texts
+    assert made.select("b").distinct().count() == len(texts)
+    assert made.where(F.octet_length("b") == 16).select("t").collect() == [(texts[0],)]
+    bb = fx.backbone(spark, SF)
+    found = link.candidates(bb, fx.PASSES_8)
+    assert found.where(F.octet_length("key") != 16).count() == 0
+    assert found.agg(F.max(F.octet_length("ids.entity_id"))).first()[0] == 16
