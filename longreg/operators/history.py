@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import as_text, blank_to_null
@@ -11,7 +13,7 @@ from .dedup import top_per_key
 from .identity import generate_ids
 from .order import newest_first, oldest_first
 from .shape import select_required
-from .skew import attach_group_values, lookup_join
+from .skew import HASH, attach_group_values, lookup_join
 
 ENTITY_IDS = ["group_id", "site_id"]
 
@@ -19,8 +21,9 @@ ENTITY_IDS = ["group_id", "site_id"]
 def _with_newest(df: DataFrame) -> DataFrame:
     """Add the newest row of each (group, site) and whether that row is still active."""
     keyed = df.withColumns({"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))})
-    newest = F.min_by(F.struct("row_id", "superseded_on"), newest_first()).alias("_newest")
-    return attach_group_values(keyed, ["_g", "_s"], [newest], spread=["row_id"])
+    newest = F.min(F.struct(newest_first().alias("order"), F.col("superseded_on"))).alias("_first")
+    found = attach_group_values(keyed, ["_g", "_s"], [newest], spread=["row_id"])
+    return found.withColumn("_newest", F.struct("_first.order.row_id", "_first.superseded_on")).drop("_first")
 
 
 def _superseded(as_of) -> Column:
@@ -28,6 +31,10 @@ def _superseded(as_of) -> Column:
     return F.when(older & F.col("superseded_on").isNull(), F.lit(as_of)).otherwise(F.col("superseded_on"))
 
 
+def _valid() -> Column:
+    return F.col("_newest.superseded_on").isNull() & F.coalesce(F.col("case_id").rlike("^[0-9]+$"), F.lit(False))
+
+
 def supersede(df: DataFrame, as_of) -> DataFrame:
     """Mark all but the newest row of each (group, site) as superseded; earlier marks
     stay. A wave that arrives late is superseded on arrival."""
@@ -38,9 +45,7 @@ def supersede(df: DataFrame, as_of) -> DataFrame:
 def check_history(df: DataFrame, as_of) -> DataFrame:
     """Supersede, and add `is_valid`: the entity has exactly one active row and its firm
     number is numeric. After superseding, only the newest row can be active."""
-    valid = F.col("_newest.superseded_on").isNull() & F.coalesce(
-        F.col("case_id").rlike("^[0-9]+$"), F.lit(False))
-    return (_with_newest(df).withColumn("is_valid", valid)
+    return (_with_newest(df).withColumn("is_valid", _valid())
             .withColumn("superseded_on", _superseded(as_of)).drop("_newest", "_g", "_s"))
 
 
@@ -79,53 +84,84 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
     return check_history(generate_ids(select_required(wave, columns), secret), as_of)
 
 
-KEYS = ["_g", "_s", "_e", "_r", "_c", "_d"]
 #: Keys of a wave that are sent to all executors, 8 bytes each; more are shuffled.
 FEW = 2_000_000
+#: Rows of a wave up to which its changes are gathered, so that a small layer is not many tiny files.
+SMALL = 100_000
+#: The entity and the content of a row, 16 bytes each.
+ENTITY, CONTENT = ["_e", "_f"], ["_c", "_d"]
 
 
 def _keyed(df: DataFrame, dedupe: list[str]) -> DataFrame:
-    """Add the entity (_g, _s) and short hashes of entity (_e), row id (_r) and content (_c, _d).
+    """Add the entity (_e, _f) and the content (_c, _d) as two hashes each, and a hash of the row id (_r).
     Which parts are NULL goes into the hash, as hashes skip NULLs."""
     nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in dedupe])
-    entity = {"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))}
-    return df.withColumns(entity).withColumns({
-        "_e": F.xxhash64("_g", "_s"), "_r": F.xxhash64("row_id"), "_c": F.xxhash64(nulls, *dedupe), "_d": F.xxhash64(F.lit(1), nulls, *dedupe)})
+    entity = [as_text(F.col("group_id")), F.lit("|"), as_text(F.col("site_id"))]
+    return df.withColumns({
+        "_e": F.xxhash64(*entity), "_f": F.xxhash64(F.lit(1), *entity), "_r": F.xxhash64("row_id"),
+        "_c": F.xxhash64(nulls, *dedupe), "_d": F.xxhash64(F.lit(1), nulls, *dedupe)})
 
 
-def _among(rows: DataFrame, keys: DataFrame, names: list[str], few: bool) -> DataFrame:
-    """Rows that have one of the keys under one of the names. A few keys go to the rows; else narrow
-    rows are shuffled by key."""
-    for name in names:
-        wanted = keys.select(name).distinct().withColumn(f"_has{name}", F.lit(True))
-        rows = rows.join(F.broadcast(wanted) if few else wanted, name, "left")
-    marks = [f"_has{name}" for name in names]
-    return rows.where(F.coalesce(*marks)).drop(*marks)
+def _among(rows: DataFrame, keys: DataFrame, name: str, few: bool) -> DataFrame:
+    """Rows that may have one of the keys. A few keys go to the rows; with many, all rows pass, and are
+    shuffled once, by the join that decides."""
+    if not few:
+        return rows
+    return rows.join(F.broadcast(keys.select(name).distinct()), name, "left_semi")
 
 
 def _news(wave: DataFrame, known: DataFrame, as_of, few: bool) -> DataFrame:
     """Rows of a wave that tell something new: not in the backbone yet, once each, and with
     other content than every active row. The content holds the firm and site numbers, so equal
     content is that of one entity, whatever ids a second linkage gives. When a file is added again,
-    rows that it superseded the first time count as active."""
-    slim = known.select("row_id", "superseded_on", "_g", "_s", "_c", "_d", "_r")
-    told = _among(slim, wave, ["_c"], few)
-    files = known.join(wave.select("file_id").distinct(), "file_id", "left_semi").select("_g", "_s", "file_id").distinct()
-    replaced = told.where(F.col("superseded_on") == F.lit(as_of)).join(files, ["_g", "_s"]).select("_c", "_d", "file_id")
-    active = told.where("superseded_on is null").select("_c", "_d")
-    fresh = wave.join(_among(slim, wave, ["_r"], few).select("row_id"), "row_id", "left_anti")
-    return (top_per_key(fresh, ["_c", "_d"], survivor_order())
-            .join(active, ["_c", "_d"], "left_anti").join(replaced, ["_c", "_d", "file_id"], "left_anti"))
-
-
-def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of) -> tuple[DataFrame, DataFrame]:
-    """(news, rows): the new rows of a wave, and all rows of the entities that they touch, with
-    their earlier mark `_was` and validity `_valid`, which is NULL for new rows. Both are staged."""
-    few = identified.count() <= FEW
-    news = stage(_news(identified, known, as_of, few).select(*columns, *KEYS), "news")
-    again = _among(known, news, ["_e"], few).join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_semi")
-    added = news.select(*columns, F.lit(None).cast("date").alias("_was"), F.lit(None).cast("boolean").alias("_valid"))
-    return news, stage(added.unionByName(again.select(*columns, F.col("superseded_on").alias("_was"), F.col("is_valid").alias("_valid"))), "touched")
+    rows that it superseded the first time count as active.
+
+    Decided on row id, dates and hashes alone; the other columns stay where they are."""
+    told = _among(known.select("superseded_on", *ENTITY, *CONTENT), wave, "_c", few)
+    files = known.join(F.broadcast(wave.select("file_id").distinct()), "file_id", "left_semi").select(*ENTITY, "file_id").distinct()
+    replaced = told.where(F.col("superseded_on") == F.lit(as_of)).join(files, ENTITY).select(*CONTENT, "file_id")
+    active = told.where("superseded_on is null").select(*CONTENT)
+    seen = _among(known.select("row_id", "_r"), wave, "_r", few).select("row_id")
+    fresh = wave.select(*ROW, "file_id", *ENTITY, *CONTENT).join(seen, "row_id", "left_anti")
+    return (top_per_key(fresh, CONTENT, survivor_order())
+            .join(active, CONTENT, "left_anti").join(replaced, [*CONTENT, "file_id"], "left_anti"))
+
+
+#: What the order of rows is decided by.
+ROW = ["row_id", "wave_date", "loaded_on", "latest_event_date", "superseded_on"]
+
+
+def _newest_of_touched(news: DataFrame, again: DataFrame) -> DataFrame:
+    """Per entity with a new row, the newest of its new and known rows."""
+    narrow = ["row_id", "wave_date", "latest_event_date", "superseded_on", *ENTITY]
+    both = news.select(*narrow, F.lit(1).alias("_new")).unionByName(again.select(*narrow, F.lit(0).alias("_new")))
+    return (both.withColumn(HASH, F.xxhash64(*ENTITY)).groupBy(HASH, *ENTITY)
+            .agg(F.min(F.struct(newest_first().alias("order"), F.col("superseded_on"))).alias("_first"), F.max("_new").alias("_new"))
+            .where("_new = 1").select(HASH, *ENTITY, F.struct("_first.order.row_id", "_first.superseded_on").alias("_newest")))
+
+
+def _checked(as_of) -> dict[str, Column]:
+    """The mark and the validity of rows of touched entities."""
+    return {"superseded_on": _superseded(as_of), "is_valid": _valid()}
+
+
+def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of, few: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(added, again, passed): the new rows of a wave, checked; the known rows that may be of an entity
+    with a new row, with `_newest`, which is NULL if they aren't; and the rest of the known rows.
+
+    Everything is decided on narrow rows. Whole rows of the wave are shuffled once, to meet the verdict on
+    them, and known ones once, if the wave is not small."""
+    news = stage(_news(identified, known, as_of, few).drop("loaded_on", "file_id"), "news")
+    again = _among(known, news, "_e", few)
+    newest = _newest_of_touched(news, again)
+    verdicts = lookup_join(news.select("row_id", *ENTITY, *CONTENT), newest, ENTITY, spread=["row_id"])
+    key = ["row_id", *CONTENT]
+    whole = identified.select(*columns, *CONTENT).join(verdicts.select(*key, "_newest"), key)
+    added = top_per_key(whole, key, survivor_order())
+    looked = lookup_join(again.select(*columns, "is_valid", *ENTITY), newest, ENTITY, spread=["row_id"])
+    touched = F.broadcast(news.select("_e").distinct())
+    passed = known.join(touched, "_e", "left_anti") if few else known.limit(0)
+    return added, looked, passed
 
 
 def _with_validity(backbone: DataFrame) -> DataFrame:
@@ -144,14 +180,17 @@ def backbone_changes(identified: DataFrame, backbone: DataFrame, columns: list[s
     (and says so in `is_valid`), so they come back as soon as their entity is in order.
 
     The wave is read several times, so it should be a table. The backbone is scanned for the wave's
-    keys and never shuffled, unless the wave has more than FEW rows. What is written and
-    shuffled grows with the wave and the entities it touches.
+    keys and never shuffled, unless the wave has more than FEW rows; then its whole rows are shuffled
+    once. What is written and shuffled grows with the wave and the entities it touches.
     """
     known = _keyed(_with_validity(backbone), dedupe)
-    _, rows = _touched(_keyed(select_required(identified, columns), dedupe), known, columns, as_of)
-    is_new = F.col("_valid").isNull()
-    other = ~F.col("superseded_on").eqNullSafe(F.col("_was")) | (F.col("is_valid") != F.col("_valid"))
-    return (check_history(rows, as_of).where(is_new | other).withColumn("is_new", is_new).select(*columns, "is_valid", "is_new"))
+    wave, size = _keyed(select_required(identified, columns), dedupe), identified.count()
+    added, again, _ = _touched(wave, known, columns, as_of, size <= FEW)
+    other = ~F.col("superseded_on").eqNullSafe(_superseded(as_of)) | (F.col("is_valid") != _valid())
+    changed = again.where(F.col("_newest").isNotNull() & other)
+    marked = lambda df, new: df.withColumns(_checked(as_of)).select(*columns, "is_valid", F.lit(new).alias("is_new"))
+    changes = marked(added, True).unionByName(marked(changed, False))
+    return changes.hint("rebalance") if size <= SMALL else changes
 
 
 def with_changes(backbone: DataFrame, changes: DataFrame) -> DataFrame:
@@ -165,9 +204,11 @@ def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[st
     """The whole backbone, with `is_valid`, after a wave (see `backbone_changes`). `backbone` holds
     valid rows, or all rows with `is_valid`. Entities that the wave does not touch pass as they are."""
     known = _keyed(select_required(_with_validity(backbone), [*columns, "is_valid"]), dedupe)
-    news, rows = _touched(_keyed(select_required(identified, columns), dedupe), known, columns, as_of)
-    rest = known.join(news.select("_g", "_s").distinct(), ["_g", "_s"], "left_anti")
-    return rest.select(*columns, "is_valid").unionByName(check_history(rows, as_of).select(*columns, "is_valid"))
+    wave = _keyed(select_required(identified, columns), dedupe)
+    added, again, passed = _touched(wave, known, columns, as_of, identified.count() <= FEW)
+    marks = {c: F.when(F.col("_newest").isNull(), F.col(c)).otherwise(made) for c, made in _checked(as_of).items()}
+    parts = [added.withColumns(_checked(as_of)), again.withColumns(marks), passed]
+    return functools.reduce(DataFrame.unionByName, [p.select(*columns, "is_valid") for p in parts])
 
 
 SITE_KEY = ["case_id", "establishment_id"]

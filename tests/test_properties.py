@@ -260,3 +260,17 @@ def test_ids_and_keys_are_packed_on_the_way(spark):
     found = link.candidates(bb, fx.PASSES_8)
     assert found.where(F.octet_length("key") != 16).count() == 0
     assert found.agg(F.max(F.octet_length("ids.entity_id"))).first()[0] == 16
+
+
+def test_the_update_decides_on_narrow_rows(spark, monkeypatch):
+    """With a wave that is not small, whole rows are in no staged table, and the result is the same."""
+    staged = []
+    keep = history.stage
+    monkeypatch.setattr(history, "stage", lambda df, name: staged.append(df.columns) or keep(df, name))
+    rows = stage(identity.identify(fx.wave(spark, SF, fx.WAVE_2), fx.backbone(spark, SF), fx.SECRET, fx.PASSES_2), "identified")
+    update = lambda: sorted(map(str, history.update_backbone(rows, fx.backbone(spark, SF), fx.BACKBONE, fx.DEDUPE,
+                                                             fx.LOADED[fx.WAVE_2]).collect()))
+    few = update()
+    monkeypatch.setattr(history, "FEW", 0)
+    assert update() == few and len(few) > 0
+    assert staged and all("establishment_name" not in columns for columns in staged)
