@@ -121,12 +121,12 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, width: int = 64
         norms = np.sqrt((groups.rows * groups.rows).sum(1))
         graph = Graph(groups.rows / norms[:, None])
 
-        def find(query: np.ndarray, own: int) -> shards.Found:
+        def find_one(query: np.ndarray, own: int) -> shards.Found:
             norm = np.sqrt((query * query).sum())
             rows = graph.nearest(query / norm, width)
             scores = (groups.rows[rows] * query).sum(1) / (norms[rows] * norm)
             return shards.best_of(*groups.expand(rows, scores), own, k)
 
-        return find
+        return lambda queries, own: map(find_one, queries, own)
 
     return shards.search(shards.usable(vectors, nonzero=True), is_query, k, "double", index, per_shard, per_block)

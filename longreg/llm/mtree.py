@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import shards
 
+#: Queries that go through a tree together. What they hold is at most this times a shard's vectors.
+TOGETHER = 256
+
 
 @dataclass
 class Page:
@@ -58,45 +62,60 @@ class MTree:
         return (Page(route, routes, self._distances(self.points[routes], self.points[route]),
                      np.array([r for _, r in built]), [page for page, _ in built]), float(to_route.max()))
 
-    def highest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and products of the k highest products, and of all that equal the last."""
-        point = np.r_[query, 0.0]
-        total = float(query @ query) + self.top
-        rows, scores, least = [], [], -np.inf
-        tie = itertools.count()
-
-        def reach() -> float:
-            """The distance beyond which products are below the least wanted (whole numbers)."""
-            return np.inf if least == -np.inf else np.sqrt(max(0.0, total - 2 * least)) * (1 + 1e-9) + 1e-6
-
-        limit = np.inf
-        start = float(self._distances(self.points[self.root.route], point))
-        heap = [(0.0, next(tie), self.root, start)]
-        best = np.empty(0)
-        while heap and heap[0][0] <= limit:
-            _, _, page, to_query = heapq.heappop(heap)
-            near = np.flatnonzero(np.abs(to_query - page.to_route) - page.radii <= limit)
-            if not len(near):
+    def highest(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query, the rows and products of the k highest products, and of all that equal the last.
+
+        The queries go through the tree together: a page is opened once, for those whose reach it
+        is within, the page nearest to any of them first. Each query has a reach of its own.
+        """
+        totals = (queries * queries).sum(1) + self.top
+        best = np.full((len(queries), k), -np.inf)  # highest products so far, the least of them first
+        reach = np.full(len(queries), np.inf)  # the distance beyond which products are below the least wanted (whole numbers)
+        found = []
+
+        def distances(rows: np.ndarray, asked: np.ndarray) -> np.ndarray:
+            """From queries to routing vectors."""
+            squares = totals[asked, None] - 2 * (queries[asked] @ self.rows[rows].T)
+            return np.sqrt(np.maximum(squares, 0.0))
+
+        tie, everyone = itertools.count(), np.arange(len(queries))
+        heap = [(0.0, next(tie), self.root, everyone, np.zeros(len(queries)), distances(np.array([self.root.route]), everyone)[:, 0])]
+        while heap:
+            _, _, page, asked, closest, to_query = heapq.heappop(heap)
+            open_to = closest <= reach[asked]
+            asked, to_query = asked[open_to], to_query[open_to]
+            near = np.abs(to_query[:, None] - page.to_route) - page.radii <= reach[asked, None]
+            asked, near, to_query = asked[near.any(1)], near[near.any(1)], to_query[near.any(1)]
+            entries = np.flatnonzero(near.any(0))
+            if not len(entries):
                 continue
+            near = near[:, entries]
             if page.below is None:
-                products = self.rows[page.rows[near]] @ query
-                rows.append(page.rows[near])
-                scores.append(products)
-                best = np.r_[best, products]
-                if len(best) > k:
-                    best = np.partition(best, len(best) - k)[-k:]
-                if len(best) == k:
-                    least = best.min()
-                    limit = reach()
+                products = queries[asked] @ self.rows[page.rows[entries]].T
+                one, entry = np.nonzero(near & (products >= best[asked, :1]))
+                found.append((asked[one], page.rows[entries[entry]], products[one, entry]))
+                both = np.c_[best[asked], np.where(near, products, -np.inf)]
+                kept = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                kept[:, ::-1].sort(axis=1)
+                best[asked] = kept[:, ::-1]
+                least = best[asked, 0]
+                full = asked[least > -np.inf]
+                # Squares of distances are whole; beyond 2^53 a distance may be off by a share of the norms.
+                reach[full] = np.sqrt(np.maximum(0.0, totals[full] - 2 * best[full, 0])) * (1 + 1e-9) + 1e-6 + 2e-7 * np.sqrt(totals[full])
                 continue
-            distances = self._distances(self.points[page.rows[near]], point)
-            for i, d in zip(near.tolist(), distances.tolist()):
-                closest = max(0.0, d - page.radii[i])
-                if closest <= limit:
-                    heapq.heappush(heap, (closest, next(tie), page.below[i], d))
-        rows, scores = np.concatenate(rows), np.concatenate(scores)
-        kept = scores >= least
-        return rows[kept], scores[kept]
+            away = distances(page.rows[entries], asked)
+            nearest = np.maximum(0.0, away - page.radii[entries])
+            near &= nearest <= reach[asked, None]
+            for j, i in enumerate(entries.tolist()):
+                at = np.flatnonzero(near[:, j])
+                if len(at):
+                    heapq.heappush(heap, (float(nearest[at, j].min()), next(tie), page.below[i], asked[at], nearest[at, j], away[at, j]))
+        one, rows, products = map(np.concatenate, zip(*found))
+        kept = products >= best[one, 0]
+        order = np.argsort(one[kept], kind="stable")
+        one, rows, products = (x[kept][order] for x in (one, rows, products))
+        ends = np.searchsorted(one, np.arange(1, len(queries)))
+        return list(zip(np.split(rows, ends), np.split(products, ends)))
 
 
 def highest_products(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, per_shard: int = 8192, per_block: int = 4096) -> DataFrame:
@@ -110,10 +129,12 @@ def highest_products(vectors: DataFrame, is_query, k: int = 20, scale: float = 6
         groups = shards.Groups(places, matrix, k)
         tree = MTree(groups.rows)
 
-        def find(query: np.ndarray, own: int) -> shards.Found:
-            # One more, as the query's own may be among them.
-            rows, scores = tree.highest(query, k + 1)
-            return shards.best_of(*groups.expand(rows, scores.astype(np.int64)), own, k)
+        def find(queries: np.ndarray, own: np.ndarray) -> Iterator[shards.Found]:
+            for at in range(0, len(queries), TOGETHER):
+                # One more, as the query's own may be among them.
+                found = tree.highest(queries[at:at + TOGETHER], k + 1)
+                for (rows, scores), place in zip(found, own[at:]):
+                    yield shards.best_of(*groups.expand(rows, scores.astype(np.int64)), place, k)
 
         return find
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -30,12 +30,12 @@ def usable(vectors: DataFrame, nonzero: bool) -> DataFrame:
     return stage(kept.where(F.coalesce(good, F.lit(False)) & (F.size("embedding") > 0)), "vectors")
 
 
-def search(vectors: DataFrame, is_query, k: int, score_type: str, index: Callable[[np.ndarray, np.ndarray], Callable[[np.ndarray, int], Found]],
+def search(vectors: DataFrame, is_query, k: int, score_type: str, index: Callable[[np.ndarray, np.ndarray], Callable[[np.ndarray, np.ndarray], Iterable[Found]]],
            per_shard: int, per_block: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of every query row, ties to smaller vec_id.
 
     `index(places, matrix)` indexes a shard of about per_shard vectors, in the order of their ids, and
-    returns what finds the best of a query there, but for its own place. A task holds one shard and
+    returns what finds the best of each of some queries there, but for its own place. A task holds one shard and
     one block of about per_block queries. A shard is indexed anew for each block, so a lost task is
     repeated from its inputs alone.
     """
@@ -55,8 +55,9 @@ def search(vectors: DataFrame, is_query, k: int, score_type: str, index: Callabl
             left = left.sort_values(["vec_id", "_key"])
             ids, places = left["vec_id"].to_numpy("int64"), {key: i for i, key in enumerate(left["_key"])}
             find = index(np.arange(len(ids)), np.stack(left["embedding"]))
-            for key, query_id, query in zip(right["_query"], right["query_id"], right["query"]):
-                rows += [(key, query_id, ids[i], s) for i, s in zip(*find(np.asarray(query), places.get(key, -1)))]
+            own = np.array([places.get(key, -1) for key in right["_query"]])
+            for key, query_id, (at, scores) in zip(right["_query"], right["query_id"], find(np.stack(right["query"]), own)):
+                rows += [(key, query_id, i, s) for i, s in zip(ids[at].tolist(), scores.tolist())]
         return pd.DataFrame(rows, columns=["_query", "query_id", "vec_id", "score"])
 
     found = held.groupBy("shard", "block", "length").cogroup(asked.groupBy("_shard", "_block", "_length")).applyInPandas(

@@ -48,6 +48,19 @@ def test_exact_top_k_with_ties_over_several_shards(spark):
     assert results(got) == products(np.arange(400), rows, 20, 20)
 
 
+def test_queries_go_through_a_tree_together(monkeypatch):
+    rng, opened = np.random.default_rng(1), []
+    rows = np.unique(rng.integers(-60, 60, (3000, 8)).astype(float), axis=0)
+    rows[:5] *= 2.0 ** 20  # norms far apart
+    tree, asked = mtree.MTree(rows), np.r_[rows[::30], np.zeros((1, 8))]
+    pop = mtree.heapq.heappop
+    monkeypatch.setattr(mtree.heapq, "heappop", lambda heap: opened.append(heap[0][2]) or pop(heap))
+    for query, (at, scores) in zip(asked, tree.highest(asked, 21), strict=True):
+        every = rows @ query
+        assert sorted(at) == np.flatnonzero(every >= np.sort(every)[-21]).tolist() and (scores == every[at]).all()
+    assert len(opened) == len({id(page) for page in opened})
+
+
 def test_neighbours_are_mostly_the_nearest(spark):
     sf = "/root/testdata/sf0.1"
     ids, rows = vectors(spark, sf)
