@@ -13,6 +13,7 @@ over whole texts then gives their exact likelihood.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from longreg.sources.tables import stage
 
-from .common import bounded_batches, words_of
+from .common import bounded_batches, lookup, words_of
 
 END = b"\n"  # no word holds it
 
@@ -56,6 +57,28 @@ def _chunks(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[
         yield pd.concat(held, ignore_index=True)
 
 
+#: Lists of more classes are put together apart from shorter ones.
+LONG = 2000
+
+
+def _chunks_alike(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[pd.DataFrame]:
+    """The rows of frames, put together until a column's lists are `most` numbers long. Recursions go side by
+    side for as many steps as the longest list has, so a few long lists don't go along with many short ones."""
+    held, sizes = {True: [], False: []}, {True: 0, False: 0}
+    for frame in frames:
+        lengths = frame[column].str.len()
+        for long in held:
+            at = (lengths > LONG) == long
+            if not at.any():
+                continue
+            held[long].append(frame[at])
+            sizes[long] += int(lengths[at].sum())
+            if sizes[long] >= most:
+                yield pd.concat(held[long], ignore_index=True)
+                held[long], sizes[long] = [], 0
+    yield from (pd.concat(rest, ignore_index=True) for rest in held.values() if rest)
+
+
 def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
     """Staged batches: the words of a batch with their training counts (doc null), and its texts
     as numbers of these words."""
@@ -63,21 +86,18 @@ def _numbered(docs: DataFrame, trained: Column, s: Settings) -> DataFrame:
 
     def run(frames):
         for place, frame in enumerate(_chunks(frames, "text", 20_000_000)):
-            number: dict[bytes, int] = {}
-            texts, counts = [], np.zeros(0, np.int64)
-            for text, train in zip(frame["text"], frame["_train"]):
-                at = np.fromiter((number.setdefault(w, len(number)) for w in (*words_of(text), END)), np.int32)
-                if len(number) > len(counts):
-                    counts = np.r_[counts, np.zeros(2 * len(number) - len(counts), np.int64)]
-                if train:
-                    counts += np.bincount(at, minlength=len(counts))
-                texts.append(at)
+            number: defaultdict[bytes, int] = defaultdict()
+            number.default_factory = number.__len__
+            texts = [lookup(number, [*words_of(text), END], np.int32) for text in frame["text"]]
+            number.default_factory = None  # it refers to the dict, which then could not go at once
+            trained = [at for at, train in zip(texts, frame["_train"]) if train]
+            counts = np.bincount(np.concatenate([*trained, np.empty(0, np.int32)]), minlength=len(number))
             # The partition and the place in it tell batches apart; a partition has under 2^31 of them.
             batch = (int(frame["_part"].iloc[0]) << 31) + place
             yield pd.DataFrame({"kind": 0, "batch": batch, "doc_id": frame["doc_id"].astype("Int64"), "train": frame["_train"],
                                 "ids": texts, "word": None, **{c: pd.array([None] * len(frame), "Int64") for c in ("n", "number", "shared")}})
             yield pd.DataFrame({"kind": 1, "batch": batch, "doc_id": pd.array([None] * len(number), "Int64"), "train": None,
-                                "ids": None, "word": list(number), "n": pd.array(counts[:len(number)], "Int64"),
+                                "ids": None, "word": list(number), "n": pd.array(counts, "Int64"),
                                 "number": pd.array(list(number.values()), "Int64"),
                                 "shared": pd.array([shared_class(w, s) for w in number], "Int64")})
 
@@ -128,27 +148,47 @@ def first_model(weights: np.ndarray, s: Settings) -> Model:
     return Model(np.full(s.states, 1 / s.states), move, emit / emit.sum(0))
 
 
+class Steps:
+    """Lists side by side, longest first, laid out step by step: the numbers at one step lie together."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        lengths = np.array([len(x) for x in lists])
+        self.order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[self.order]
+        self.longest = int(lengths[0])
+        #: How many lists reach each step, and where its numbers begin.
+        self.active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(self.longest), "right")
+        self.begins = np.r_[0, np.cumsum(self.active)]
+        at = np.repeat(-np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())  # place in its list
+        self.flat = np.empty(len(at), np.int32)
+        self.flat[self.begins[at] + np.repeat(np.arange(len(lengths)), lengths)] = np.concatenate([lists[i] for i in self.order])
+
+    def __iter__(self) -> Iterator[slice]:
+        begins = self.begins.tolist()
+        return map(slice, begins, begins[1:])
+
+
 def log_likelihoods(texts: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 likelihood of each list of classes, by the scaled forward recursion, all side by side."""
     model = model.smoothed()
-    order = np.argsort([-len(t) for t in texts], kind="stable")
-    lengths = np.array([len(texts[i]) for i in order])
-    if not len(lengths) or not lengths[0]:
+    if not sum(map(len, texts)):
         return np.zeros(len(texts))
-    first = np.r_[0, np.cumsum(lengths)[:-1]]
-    flat = np.concatenate([texts[i] for i in order])
-    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
-    total = np.zeros(len(lengths))
-    forward = np.broadcast_to(model.start, (len(lengths), len(model.start)))
-    for t in range(lengths[0]):
-        n = active[t]
-        forward = (forward[:n] @ model.move if t else forward[:n]) * model.emit[flat[first[:n] + t]]
-        scale = forward.sum(1)
-        total[:n] += np.log10(scale)
-        forward = forward / scale[:, None]
+    steps = Steps(texts)
+    emit, scales = model.emit[steps.flat], np.empty(len(steps.flat), np.float32)
+    forward = None
+    for at in steps:
+        now = emit[at]
+        now *= model.start if forward is None else forward[:len(now)] @ model.move
+        scale = scales[at] = now.sum(1)
+        now /= scale[:, None]
+        forward = now
     out = np.zeros(len(texts))
-    out[order] = total
-    return out
+    logs = np.log10(scales)
+    for at in steps:
+        out[:at.stop - at.start] += logs[at]
+    back = np.empty_like(out)
+    back[steps.order] = out
+    return back
 
 
 def expected_counts(texts: list[np.ndarray], model: Model, average: np.ndarray, segment: int):
@@ -157,37 +197,36 @@ def expected_counts(texts: list[np.ndarray], model: Model, average: np.ndarray,
     model, average = model.smoothed(), average.astype(np.float32)
     segment = segment or max(map(len, texts))
     parts = [(t[i:i + segment], i == 0) for t in texts for i in range(0, len(t), segment)]
-    parts.sort(key=lambda p: -len(p[0]))
-    lengths = np.array([len(p[0]) for p in parts])
-    first = np.r_[0, np.cumsum(lengths)[:-1]]
-    flat = np.concatenate([p[0] for p in parts])
-    begins = np.array([p[1] for p in parts])
+    steps = Steps([p[0] for p in parts])
+    begins = np.array([p[1] for p in parts])[steps.order]
     k = len(average)
-    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
-    emit = model.emit[flat]
-    forward, scales = np.empty((len(flat), k), np.float32), []
+    emit = model.emit[steps.flat]
+    forward, scales = np.empty_like(emit), np.empty((len(emit), 1), np.float32)
     now = np.where(begins[:, None], model.start, average)
-    for t in range(lengths[0]):
-        n, at = active[t], first[:active[t]] + t
-        now = (now[:n] @ model.move if t else now[:n]) * emit[at]
-        scale = now.sum(1, keepdims=True)
-        now = now / scale
-        forward[at] = now
-        scales.append(scale)
-    gamma, moves = np.empty_like(forward), np.zeros((k, k))
-    after = np.ones((0, k), np.float32)
-    for t in range(lengths[0] - 1, -1, -1):
-        n, at = active[t], first[:active[t]] + t
-        back = np.ones((n, k), np.float32)
-        m = len(after)
-        if m:
-            onward = emit[at[:m] + 1] * after / scales[t + 1]
-            back[:m] = onward @ model.move.T
-            moves += forward[at[:m]].T @ onward
-        gamma[at] = forward[at] * back
-        after = back
-    used = np.stack([np.bincount(flat, gamma[:, i], len(model.emit)) for i in range(k)], 1)
-    return gamma[first[begins]].sum(0, dtype=np.float64), moves * model.move, used
+    for t, at in enumerate(steps):
+        n = at.stop - at.start
+        np.multiply(now[:n] @ model.move if t else now[:n], emit[at], out=forward[at])
+        now = forward[at]
+        scale = scales[at] = now.sum(1, keepdims=True)
+        now /= scale
+    # What is left of the chances: those of the next step, over its scale.
+    emit /= scales
+    gamma, moves, move = forward.copy(), np.zeros((k, k)), np.ascontiguousarray(model.move.T)
+    onward, after = None, 0
+    for at in reversed(list(steps)):
+        if after:
+            # The lists that go on are the first ones of this step.
+            on = slice(at.start, at.start + after)
+            moves += forward[on].T @ onward
+            back = onward @ move
+            gamma[on] *= back
+            onward = emit[at]
+            onward[:after] *= back
+        else:
+            onward = emit[at]
+        after = at.stop - at.start
+    used = np.stack([np.bincount(steps.flat, gamma[:, i], len(model.emit)) for i in range(k)], 1)
+    return gamma[:len(begins)][begins].sum(0, dtype=np.float64), moves * model.move, used
 
 
 def baum_welch_round(texts: DataFrame, model: Model, average: np.ndarray, weights: np.ndarray, s: Settings) -> tuple[Model, np.ndarray]:
@@ -198,7 +237,7 @@ def baum_welch_round(texts: DataFrame, model: Model, average: np.ndarray, weight
     def run(frames):
         # One sum a task: rows for the classes, then the start, then one a state for its moves.
         total = np.zeros((classes + 1 + k, k))
-        for frame in _chunks(frames, "classes", 500_000):
+        for frame in _chunks_alike(frames, "classes", 500_000):
             start, moves, used = expected_counts(list(frame["classes"]), *shared.value, s.segment)
             total[:classes] += used
             total[classes] += start
@@ -256,7 +295,7 @@ def scored(docs: DataFrame, trained: Column, s: Settings = Settings(), watch: Ca
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(frames):
-        for frame in _chunks(frames, "classes", 4_000_000):
+        for frame in _chunks_alike(frames, "classes", 1_000_000):
             lists = list(frame["classes"])
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].astype("Int64"), "trained": frame["train"], "n_tokens": [len(t) for t in lists],

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -102,6 +103,13 @@ def test_hidden_markov_scores(spark, docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_long_lists_do_not_go_along_with_short_ones():
+    lengths = [3, hmm.LONG + 1, 5, 9, 2 * hmm.LONG, 1, hmm.LONG, 7]
+    frames = [pd.DataFrame({"id": range(at, at + 2), "classes": [np.zeros(n, int) for n in lengths[at:at + 2]]}) for at in range(0, 8, 2)]
+    chunks = [frame["id"].tolist() for frame in hmm._chunks_alike(iter(frames), "classes", 3 * hmm.LONG)]
+    assert sorted(map(sorted, chunks)) == [[0, 2, 3, 5, 6, 7], [1, 4]]
+
+
 def test_hidden_markov_odd(spark):
     small = hmm.Settings(states=2, own=64, shared=16, rounds=1)
     rows = hmm.scored(odd_documents(spark), F.lit(True), small).collect()
