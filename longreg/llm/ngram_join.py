@@ -2,10 +2,11 @@
 
 All n-grams have one global order, that of their 64-bit hashes. It is cut into fragments, and
 every document's set is cut with it. For sets of like size, a similarity of at least t leaves
-at most D n-grams that only one of two documents has. With more than D fragments in which
-either has n-grams, one fragment is the same in both. So documents meet under the hashes of
-their fragments, not of single n-grams: a phrase that many documents share does not make
-them meet. Pairs that met are compared by their profiles first, the number of n-grams in each
+at most D n-grams that only one of two documents has. With D + m fragments in which either has
+n-grams, m fragments are the same in both. So documents meet under the hashes of their
+fragments, not of single n-grams, and those that have less than m fragments in common with many
+others need not be compared for these: a phrase that many documents share does not make them
+meet. Pairs that met are compared by their profiles first, the number of n-grams in each
 of many narrow fragments: profiles differ by no more than the sets do, so no link is lost.
 The rest are counted exactly: partial overlaps fragment by fragment, then their sum per pair.
 
@@ -43,6 +44,8 @@ BLOCK = 1 << 12
 LARGEST = 1 << 40
 #: Documents that meet under one key are all paired if they are no more than this.
 FEW = 32
+#: Keys that two similar sets share at least, if they have as many n-grams in common.
+AGREE = 5
 #: Ratio of neighbouring steps of set sizes.
 STEP = 1.02
 
@@ -72,6 +75,8 @@ class Cut:
 
     def __init__(self, num: int, den: int):
         self.num, self.den, self.starts, self.rules = num, den, [1], []
+        # Two different sets that are similar have num / (den - num) n-grams in common at least.
+        self.agree = max(1, min(AGREE, num // (den - num))) if num < den else AGREE
         while self.starts[-1] < LARGEST:
             low = self.starts[-1]
             high = max(low + 1, int(low * SPAN))
@@ -80,11 +85,11 @@ class Cut:
             # set with more empty ones than spared for also meets others by its first n-grams.
             empty = 0
             for _ in range(4):
-                fragments = spare + 1 + empty
+                fragments = spare + self.agree + empty
                 expected = fragments * (1 - 1 / fragments) ** low
                 empty = int(expected + 2 * expected ** 0.5) + (spare > 0)
             self.starts.append(high)
-            self.rules.append((spare + 1 + empty, empty))
+            self.rules.append((spare + self.agree + empty, empty))
 
     def spans_of(self, size: int) -> range:
         """The spans under which a set meets others: those of the smaller set of any pair."""
@@ -92,7 +97,7 @@ class Cut:
         return range(bisect.bisect_right(self.starts, least) - 1, bisect.bisect_right(self.starts, size))
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        """Keys of which two sets share at least one if they are similar enough."""
+        """Keys of which two different sets share `agree` at least if they are similar enough."""
         found, size = [], len(grams)
         for span in self.spans_of(size) if size else ():
             fragments, empty = self.rules[span]
@@ -101,7 +106,7 @@ class Cut:
             content = np.add.reduceat(_mixed(grams), first)
             found.append(_mixed(content ^ _mixed(at[first] * np.uint64(1 << 10) + np.uint64(span))))
             if fragments - len(first) > empty:
-                prefix = size - -(-size * self.num // self.den) + 1
+                prefix = size - -(-size * self.num // self.den) + self.agree
                 found.append(_mixed(grams[:prefix] + np.uint64(span + 1)))
         return np.concatenate(found) if found else np.empty(0, np.uint64)
 
@@ -283,6 +288,17 @@ def _still_apart(met: DataFrame, links: DataFrame) -> DataFrame:
     return stage(labelled.join(apart, "key"), "apart")
 
 
+def _under_many(met: DataFrame, agree: int) -> tuple[DataFrame, DataFrame]:
+    """(few, many): met for keys of more than FEW classes, without classes that have less than `agree` such
+    keys. Similar classes that share only such keys share as many of them, so the others need no search here.
+    few is for keys that have no more than FEW classes now."""
+    enough = lambda rows: rows.join(rows.groupBy("cls").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= agree).select("cls"), "cls")
+    kept = enough(met.where(F.col("classes") > FEW)).drop("classes")
+    left = kept.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
+    again = stage(kept.join(left, "key"), "met-again")
+    return again.where(F.col("classes") <= FEW), stage(enough(again.where(F.col("classes") > FEW)), "met-many")
+
+
 def _within_few(met: DataFrame) -> DataFrame:
     """All pairs of classes that share a key which few have."""
     few = met.where(F.col("classes") <= FEW)
@@ -349,8 +365,9 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     of_set = base.where("cls is not null").groupBy("cls")
     reps = of_set.agg(F.min("doc_id").alias("doc_id"))
     profiles = stage(of_set.agg(F.min("profile").alias("profile")).join(met.select("cls").distinct(), "cls"), "profiles")
-    many = met.where(F.col("classes") > FEW)
-    pairs = stage(_likely(_within_few(met).unionByName(_to_central(many)), profiles, num, den), "pairs")
+    few, many = _under_many(met, cut_for(num, den).agree)
+    paired = _within_few(met).unionByName(_within_few(few)).unionByName(_to_central(many))
+    pairs = stage(_likely(paired, profiles, num, den), "pairs")
     counted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(many.select("cls")).distinct()
     sets = _counted_sets(docs, counted.join(reps, "cls"), n, num, den)
     links = stage(_links(pairs, sets, num, den), "ngram-links")

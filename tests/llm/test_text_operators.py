@@ -480,6 +480,27 @@ def test_similar_sets_share_a_key(a, change, share):
         assert set(cut.keys(grams[0]).tolist()) & set(cut.keys(grams[1]).tolist())
 
 
+@given(st.sets(st.integers(0, 300), min_size=1), st.sets(st.integers(0, 300), max_size=20), st.sampled_from([(90, 100), (80, 100), (1, 2)]))
+@settings(max_examples=300, deadline=None)
+def test_similar_sets_share_several_keys(a, change, share):
+    b, cut = a ^ change, ngram_join.cut_for(*share)
+    if change and b and share[1] * len(a & b) >= share[0] * len(a | b):
+        keys = [set(cut.keys(np.unique(ngram_join._mixed(np.array(sorted(x), np.uint64)))).tolist()) for x in (a, b)]
+        assert len(keys[0] & keys[1]) >= cut.agree == {90: 5, 80: 4, 1: 1}[share[0]]
+
+
+def test_classes_with_a_few_frequent_keys_are_not_searched(spark):
+    """A phrase in many texts makes them share a key, which is less than similar texts share."""
+    n = ngram_join.FEW + 8
+    held = ([(key, cls, 9) for key in range(4) for cls in range(n)] + [(4, cls, 9) for cls in range(100, 100 + n)]
+            + [(5, cls, 9) for cls in [*range(9), *range(200, 200 + n)]] + [(6, cls, 9) for cls in range(3)])
+    classes = Counter(key for key, *_ in held)
+    met = spark.createDataFrame([(*row, classes[row[0]]) for row in held], "key long, cls long, size long, classes long")
+    few, many = ngram_join._under_many(met, 4)
+    assert {(r.key, r.cls) for r in many.collect()} == {(key, cls) for key in range(4) for cls in range(n)}
+    assert {(r.key, r.cls, r.classes) for r in few.collect()} == {(5, cls, 9) for cls in range(9)}
+
+
 @given(st.sets(st.integers(0, 4000), min_size=1), st.sets(st.integers(0, 4000), max_size=200), st.booleans())
 @settings(max_examples=200, deadline=None)
 def test_profiles_differ_by_no_more_than_their_sets(a, change, crowded):
