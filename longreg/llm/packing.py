@@ -11,8 +11,10 @@ no length's pieces meet in one task.
 from __future__ import annotations
 
 import functools
+import itertools
 import operator
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,6 +33,16 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 TAIL = b".,;:!?#$%&*)"
 #: Words and stems a worker remembers between batches.
 REMEMBERED = 700_000
+#: Lower-case letters of Latin-1. The tokenizer leaves them as they are and in one piece, so neither
+#: its normaliser nor its pattern is asked.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def _stem(word: bytes) -> bytes:
+    """A word in lower case without its tail, if that may be cut off."""
+    stem = word if b"<|" in word else word.rstrip(TAIL)
+    # A letter may end in a mark once it is in lower case.
+    return stem if stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha() else word
 
 
 class WordIds:
@@ -42,9 +54,13 @@ class WordIds:
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        #: The same merges, for stems in plain letters.
+        self.merges = Tokenizer.from_file(tokenizer_path)
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
@@ -55,20 +71,24 @@ class WordIds:
             self.words = {w: self.words[w] for w in words.intersection(self.words)}
         # What may spell a special token counts only as it is spelt.
         low = [word if b"<|" in word else word.lower() for word in unknown]
-        stems = [word if b"<|" in word else word.rstrip(TAIL) for word in low]
-        # A letter may end in a mark once it is in lower case.
-        stems = [stem if stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha() else word for stem, word in zip(stems, low)]
+        stems = [word.rstrip(TAIL) for word in low]
+        plain = [match is not None for match in map(PLAIN.fullmatch, stems)]
+        stems = [stem if known else _stem(word) for stem, known, word in zip(stems, plain, low)]
         tails = [word[len(stem):] for stem, word in zip(stems, low)]
-        parts = {*stems, *tails}
-        new = list(parts - self.stems.keys())
+        parts, letters = {*stems, *tails}, set(itertools.compress(stems, plain))
+        new = parts - self.stems.keys()
         if len(self.stems) + len(new) > REMEMBERED:
             self.stems = {p: self.stems[p] for p in parts.intersection(self.stems)}
-        texts = [part.decode("utf-8", "replace") for part in new]
-        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        self.stems.update(zip(new, (struct.pack(f"<{len(e)}I", *e.ids) for e in encodings)))
+        self._encode(self.merges, list(new & letters))
+        self._encode(self.tokenizer, list(new - letters))
         found = self.stems.__getitem__
         self.words.update(zip(unknown, map(operator.add, map(found, stems), map(found, tails))))
 
+    def _encode(self, tokenizer, parts: list[bytes]) -> None:
+        texts = [part.decode("utf-8", "replace") for part in parts]
+        encodings = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.stems.update(zip(parts, (struct.pack(f"<{len(e)}I", *e.ids) for e in encodings)))
+
     def of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         texts = [(text or "").encode("utf-8", "replace").split() for text in texts]
         self.learn(set().union(*texts))

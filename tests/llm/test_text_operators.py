@@ -332,6 +332,17 @@ def test_ids_are_the_tokenizers(parts):
     assert list(encoder.of([text]))[0] == np.asarray(want, "<u4").tobytes()
 
 
+def test_plain_words_are_encoded_by_merges_alone():
+    letters = [chr(c) for c in range(0x250) if packing.PLAIN.fullmatch(chr(c).encode())]
+    assert letters == [c for c in map(chr, range(256)) if c.islower() and c not in "µªº"]
+    words = [*letters, *(a + b for a in letters for b in letters[::7]), "straße", "élève", "naïvement"]
+    encoder = packing.WordIds(BPE)
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch([w + "!?" for w in words], add_special_tokens=False)]
+    encoder.tokenizer = type("Tails", (), {"encode_batch_fast": lambda self, texts, tails=encoder.tokenizer, **more: (
+        tails.encode_batch_fast(texts, **more) if set(texts) <= {"!?"} else pytest.fail("plain words"))})()
+    assert list(encoder.of([w + "!?" for w in words])) == want
+
+
 def test_packing_odd(spark):
     rows = packing.pack_documents(odd_documents(spark), BPE, capacity=512).collect()
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
