@@ -405,15 +405,20 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     def class_of(texts: pd.Series) -> pd.Series:
         return pd.Series([_class_of(ngram_set(text, n)) for text in texts], dtype="Int64")
 
+    # Else Spark moves tests of the set's number before the join, where it is made of all texts.
+    class_of = class_of.asNondeterministic()
     rows = stage(_grouped(docs, n, num, den).where("doc_id is not null"), "ngram-groups")
     heads = rows.where("doc_id = component_id")
-    ids = rows.groupBy(F.col("doc_id").alias("_d")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_head")).where("_head")
-    kept = packed(docs, "doc_id", "text").join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).drop("_d")
+    ids = stage(rows.groupBy(F.col("doc_id").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_head"))
+        .where("_head").select("_d", "_rows"), "kept-ids")
+    # Both parts read the same columns, so the texts are shuffled once.
+    of = lambda these: packed(docs, "doc_id").join(
+        ids.where(these).select("_d").hint("shuffle_hash"), F.col("doc_id") == F.col("_d")).select("_row", "doc_id")
     # An id alone does not say which of its rows is meant; the set's number does.
-    several = kept.where("_rows > 1").select("_row", "doc_id", class_of("text").alias("cls"))
+    several = of("_rows > 1").select("_row", "doc_id", class_of(F.col("_row")["text"]).alias("cls"))
     first = heads.where("cls is not null").groupBy("doc_id", "component").agg(F.min("cls").alias("cls")).select("doc_id", "cls")
     chosen = several.join(first, ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"])
-    return (kept.where("_rows = 1").select("_row").unionByName(chosen.select("_row"))
+    return (of("_rows = 1").select("_row").unionByName(chosen.select("_row"))
             .unionByName(several.where("cls is null").select("_row"))
             .select("_row.*").unionByName(docs.where("doc_id is null")))

@@ -561,3 +561,13 @@ def test_rows_with_one_id_are_decided_on_apart(spark):
 
 def rows_size(rows, doc_id):
     return next(r["size"] for r in rows if r.doc_id == doc_id)
+
+
+def test_only_texts_of_repeated_ids_are_numbered_again_when_one_of_each_is_kept(spark):
+    plan = ngram_join.one_of_each(odd_documents(spark))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    numbered = [i for i, line in enumerate(plan) if "ArrowEvalPython" in line]
+    assert numbered
+    for i in numbered:
+        below = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+        assert any("Join" in line for line in plan[i + 1:below])
