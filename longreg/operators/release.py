@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.blank import not_blank
 from .clean import active_only
 from .shape import forbid_columns, require, select_required
-from .skew import lookup_join
+from .skew import HASH, hash_of, lookup_join
 
 
 def release_projection(df: DataFrame, columns: list[str], deny=()) -> DataFrame:
@@ -60,10 +60,14 @@ def subset_by_backbone(src: DataFrame, backbone: DataFrame, col: str,
     subset, as in `subset_by_codes`."""
     require(backbone, ["entity_id", col])
     rows = active_only(backbone) if active else backbone
-    # The set per entity is bounded by the number of configured groups.
-    per_entity = (rows
-                  .select("entity_id", F.explode(_groups_of(F.trim(F.col(col).cast("string")), groups)).alias("g"))
-                  .groupBy("entity_id").agg(F.sort_array(F.collect_set("g")).alias("_groups")))
+    code = F.trim(F.col(col).cast("string"))
+    names = sorted(name for name, codes in groups.items() if codes)
+    has = [F.max(code.isin(list(groups[name]))).alias(f"_g{i}") for i, name in enumerate(names)]
+    # One flag per configured group, formed before the shuffle; grouped as the join deals its rows.
+    flags = (rows.where(code.isin(sorted({c for codes in groups.values() for c in codes})))
+             .groupBy(hash_of(["entity_id"]).alias(HASH), "entity_id").agg(F.first(F.lit(True)).alias("_any"), *has))
+    per_entity = flags.select(HASH, "entity_id", F.array_compact(F.array(
+        *[F.when(F.col(f"_g{i}"), F.lit(name)) for i, name in enumerate(names)]).cast("array<string>")).alias("_groups"))
     found = F.coalesce(F.col("_groups"), F.array().cast("array<string>"))
     if complete:
         found = F.concat(F.array(F.lit(complete)), found)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx, naive
 from longreg.functions import keys
-from longreg.operators import clean, dedup, history, identity, link, profile, skew
+from longreg.operators import clean, dedup, history, identity, link, profile, release, skew
 from longreg.plans.standardise import standardise
 from longreg.sources.tables import stage
 
@@ -274,3 +274,15 @@ def test_the_update_decides_on_narrow_rows(spark, monkeypatch):
     monkeypatch.setattr(history, "FEW", 0)
     assert update() == few and len(few) > 0
     assert staged and all("establishment_name" not in columns for columns in staged)
+
+
+def test_sets_of_entities_are_flags_that_are_grouped_as_the_join_deals_rows(spark):
+    backbone = spark.createDataFrame([("e1", "b"), ("e1", " a "), ("e1", "a"), ("e2", "c"), (None, "a"), ("e3", None)],
+                                     "entity_id string, code string").withColumn("superseded_on", F.lit(None).cast("date"))
+    src = spark.createDataFrame([("r1", "e1"), ("r2", "e2"), ("r3", "e3"), ("r4", None)], "row_id string, entity_id string")
+    found = lambda groups: release.subset_by_backbone(src, backbone, "code", groups, complete=None)
+    rows = found({"two": ("a", "c"), "one": ("b", "a"), "none": ()})
+    assert sorted(map(tuple, rows.collect())) == [("r1", "e1", "one"), ("r1", "e1", "two"), ("r2", "e2", "two")]
+    assert found({}).count() == 0
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
