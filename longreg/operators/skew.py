@@ -62,9 +62,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     if not weight:
         apart = apart | F.col("_pieces").isNotNull()
     dealt = known.select(*left_columns, "_few", F.when(apart, F.xxhash64(*spread)).otherwise(F.col(HASH)).alias("_at"))
-    # Naming the weight here makes Spark read the grouped rows above again instead of grouping twice.
+    # Naming the weight here makes Spark read the grouped rows above again instead of grouping twice; so does the order of
+    # the columns, which becomes that of the aggregates: Spark takes groups with other orders for different ones.
     told = F.col(weight or HASH).alias("_r_told")
-    joined = dealt.join(right.select(*named(right, "_r"), *values, told), on("_r", "_at"), "left").where(
+    again = [told if c == weight else F.col(c) for c in right.columns if c == weight or c in values]
+    joined = dealt.join(right.select(*named(right, "_r"), *again, *([] if weight else [told])), on("_r", "_at"), "left").where(
         F.col("_r_told").isNull() | (F.col("_r_told") >= -2**63))
     return joined.select(*left_columns, *[F.when(F.col("_few").isNotNull(), F.col(f"_few.{v}")).otherwise(F.col(v)).alias(v) for v in values])
 

@@ -213,6 +213,18 @@ def test_inheritance_is_a_flat_plan(spark):
     assert all(p.count("FileScan") <= 12 and p.count("Join") <= 4 for p in plans)
 
 
+def test_groups_are_made_once_for_hot_and_other_keys(spark):
+    rows = stage(fx.wave(spark, SF, fx.WAVE_1), "grouped-once")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # then the plan says beforehand what is used again
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = history.check_history(identity.generate_ids(rows, "s"), AS_OF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("partial_min(struct(") == 1 and "ReusedExchange" in plan
+
+
 def test_a_hot_key_is_spread_by_its_share(spark):
     # Half of the rows have one key, a third none.
     rows = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 == 0, None)
