@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from longreg.sources.tables import stage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Two rows out of one, not a union, which would make everything below it twice.
+    return _each(edges, F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _each(rows: DataFrame, *pairs: Column) -> DataFrame:
+    """(a, b): the pairs of each row."""
+    return rows.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+
+
+def _state(edges: DataFrame) -> Row:
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
 def _to_least(neighbours: DataFrame) -> DataFrame:
@@ -26,13 +36,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     that only links to itself is not listed.
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
+    seen = _state(edges)
     while True:
         large = _to_least(_both_ways(edges)).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         small = _to_least(large.where("a <> b").distinct())
-        tied = small.select("b", "least").union(small.select("a", "least")).toDF("a", "b").where("a <> b").distinct()
+        tied = _each(small, F.struct(F.col("b").alias("a"), F.col("least").alias("b")),
+                     F.struct("a", F.col("least").alias("b"))).where("a <> b").distinct()
         edges = stage(tied, "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = _state(edges)
         if state == seen:
             break
         seen = state

@@ -129,14 +129,15 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: fl
     key = ["source", "stratum"]
     drawn = rows.where(F.col("_q").isNotNull())
     first = _rank_within(drawn.groupBy(*key, "draws", "_b1").agg(F.count(F.lit(1)).alias("rows")), key, "_b1")
-    edge1 = first.where((F.col("before") < F.col("draws")) & (F.col("before") + F.col("rows") >= F.col("draws"))).select(
-        F.col("source").alias("_s"), F.col("stratum").alias("_k"), F.col("_b1").alias("_e1"), F.col("before").alias("_n1"))
+    # A row per source and stratum at most. They are stored, else each later step would make all earlier ones anew.
+    edge1 = stage(first.where((F.col("before") < F.col("draws")) & (F.col("before") + F.col("rows") >= F.col("draws"))).select(
+        F.col("source").alias("_s"), F.col("stratum").alias("_k"), F.col("_b1").alias("_e1"), F.col("before").alias("_n1")), "mix-edges")
     rows = rows.join(edge1, here, "left").drop("_s", "_k")
     inside1 = rows.where(F.col("_b1") == F.col("_e1"))
     second = _rank_within(inside1.groupBy(*key, "draws", "_n1", "_b2").agg(F.count(F.lit(1)).alias("rows")), key, "_b2")
     need = F.col("draws") - F.col("_n1")
-    edge2 = second.where((F.col("before") < need) & (F.col("before") + F.col("rows") >= need)).select(
-        F.col("source").alias("_s"), F.col("stratum").alias("_k"), F.col("_b2").alias("_e2"), F.col("before").alias("_n2"))
+    edge2 = stage(second.where((F.col("before") < need) & (F.col("before") + F.col("rows") >= need)).select(
+        F.col("source").alias("_s"), F.col("stratum").alias("_k"), F.col("_b2").alias("_e2"), F.col("before").alias("_n2")), "mix-fine-edges")
     rows = rows.join(edge2, here, "left").drop("_s", "_k")
     fine = (F.col("_b1") == F.col("_e1")) & (F.col("_b2") == F.col("_e2"))
     keep = ["doc_id", "source", "size", "source_size", "target", "sure"]
@@ -154,8 +155,8 @@ def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The documents of the mix, each row repeated as often as it is taken, with the columns of
     `docs`. Equal ids share the copies of all their rows evenly, the first rows getting what is over."""
     keys = ["doc_id", "source"]
-    taken = mix.groupBy(*keys).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_copies", "_rows").where("_copies > 0")
+    taken = stage(mix.groupBy(*keys).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).select(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_copies", "_rows").where("_copies > 0"), "mix-taken")
     joined = packed(docs, "doc_id", "source").join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
     single = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
     # By content, so that reruns agree; rows of equal content are interchangeable.

@@ -280,9 +280,9 @@ def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .where(F.col("common") * den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * num).select("a", "b"))
 
 
-def _still_apart(met: DataFrame, links: DataFrame) -> DataFrame:
-    """Those of met whose key holds several components of the links so far, with label."""
-    labels = connected_components(links).withColumnRenamed("node", "cls").withColumnRenamed("component", "label")
+def _still_apart(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """Those of met whose key holds several of the components so far (node, component), with label."""
+    labels = joined.select(F.col("node").alias("cls"), F.col("component").alias("label"))
     labelled = met.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     apart = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("key")
     return stage(labelled.join(apart, "key"), "apart")
@@ -370,10 +370,14 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     pairs = stage(_likely(paired, profiles, num, den), "pairs")
     counted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(many.select("cls")).distinct()
     sets = _counted_sets(docs, counted.join(reps, "cls"), n, num, den)
-    links = stage(_links(pairs, sets, num, den), "ngram-links")
-    across = _likely(_across(_still_apart(many, links), sets, num, den), profiles, num, den)
-    links = links.unionByName(_links(across, sets, num, den))
-    groups = reps.join(connected_components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    joined = connected_components(_links(pairs, sets, num, den))
+    apart = _still_apart(many, joined)
+    if not apart.isEmpty():
+        across = _likely(_across(apart, sets, num, den), profiles, num, den)
+        # What is connected already goes on as links to the component's smallest class.
+        known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = connected_components(known.unionByName(_links(across, sets, num, den)))
+    groups = reps.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = groups.join(least, "component").select(F.col("cls").alias("_c"), "component", "component_id")

@@ -6,8 +6,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from longreg.llm import hnsw, mtree, queries
+from longreg.llm import components, hnsw, mixing, mtree, ngram_join, queries
 from longreg.llm.components import connected_components
+from longreg.sources.tables import stage
 
 from ..conftest import SF
 from .frames import empty, odd_documents
@@ -115,6 +116,30 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation ")
+
+
+def test_plans_of_the_pipeline_stay_small(spark, monkeypatch):
+    seen, rounds = [], []
+
+    def staged(df, name):
+        seen.append(scans(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(components, "stage", staged)
+    links = stage(spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long"), "chain")
+    assert connected_components(links).count() == 21
+    assert max(seen) <= 4
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert scans(mixing.apply_mix(docs, mixing.mix_documents(docs))) <= 4
+    # No key is shared by many, so nothing is left to search or to connect after the pairs.
+    monkeypatch.setattr(ngram_join, "connected_components", lambda df: rounds.append(df) or connected_components(df))
+    few = spark.createDataFrame([(i, f"a b c d e f g h i j k l m n o p q r s t {i // 2 * 'z'} w{i}") for i in range(8)], "doc_id long, text string")
+    ngram_join.similar_groups(few).count()
+    assert len(rounds) == 1
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]
