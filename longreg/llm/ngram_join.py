@@ -292,7 +292,9 @@ def _under_many(met: DataFrame, agree: int) -> tuple[DataFrame, DataFrame]:
     """(few, many): met for keys of more than FEW classes, without classes that have less than `agree` such
     keys. Similar classes that share only such keys share as many of them, so the others need no search here.
     few is for keys that have no more than FEW classes now."""
-    enough = lambda rows: rows.join(rows.groupBy("cls").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= agree).select("cls"), "cls")
+    # A class has no more keys than its text is long, so a window holds them.
+    held = F.count(F.lit(1)).over(Window.partitionBy("cls"))
+    enough = lambda rows: rows.withColumn("_n", held).where(F.col("_n") >= agree).drop("_n")
     kept = enough(met.where(F.col("classes") > FEW)).drop("classes")
     left = kept.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
     again = stage(kept.join(left, "key"), "met-again")
@@ -312,8 +314,8 @@ def _to_central(met: DataFrame) -> DataFrame:
     Copies that differ from their original in several places each may not be similar to one
     another, but the original is to all of them, and it shares most keys.
     """
-    central = met.groupBy("cls").agg(F.sum("classes").alias("meets"))
-    one = met.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls", "size")).alias("o"))
+    meets = F.sum("classes").over(Window.partitionBy("cls"))
+    one = met.withColumn("meets", meets).groupBy("key").agg(F.max(F.struct("meets", "cls", "size")).alias("o"))
     a, b = F.struct("cls", "size"), F.struct("o.cls", "o.size")
     pair = F.struct(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
     return met.join(one, "key").where(F.col("cls") != F.col("o.cls")).select(pair.alias("p")).select(
@@ -330,8 +332,8 @@ def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     they are taken per step of its size.
     """
     members = apart.groupBy("cls").agg(F.max("size").alias("size"), F.max("label").alias("label"))
-    grams = members.select("cls", "size").join(sets, "cls").where(F.col("level") == _level(F.col("size"))).select(
-        "cls", F.explode("grams").alias("gram"))
+    grams = members.join(sets, "cls").where(F.col("level") == _level(F.col("size"))).select(
+        "cls", "size", "label", F.explode("grams").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Those that no other class has come before all of these.
     own = Window.partitionBy("cls")
@@ -341,7 +343,7 @@ def _across(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     others = F.explode(F.sequence(step(F.floor(F.col("size") * num / den)) - 1, step(F.ceil(F.col("size") * den / num)) + 1))
     least = F.greatest(F.ceil(F.col("size") * num / den), F.floor(F.pow(F.lit(STEP), F.col("other"))))
     first = F.col("size") - F.ceil((F.col("size") + least) * num / (num + den)) + 1
-    placed = (grams.join(shared, "gram").join(members, "cls").withColumn("place", place)
+    placed = (grams.join(shared, "gram").withColumn("place", place)
               .where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * num / den) + 1))
               .withColumn("own", step(F.col("size"))).withColumn("other", others).where(F.col("place") <= first))
     key = ["gram", "small", "large"]

@@ -140,6 +140,15 @@ def test_plans_of_the_pipeline_stay_small(spark, monkeypatch):
     assert len(rounds) == 1
 
 
+def test_keys_of_many_are_counted_without_a_join(spark):
+    met = stage(spark.createDataFrame([(k, c, 9, 40) for k in range(4) for c in range(40)] + [(9, 99, 9, 40)],
+                                      "key long, cls long, size long, classes long"), "met-by-hand")
+    few, many = ngram_join._under_many(met, 4)
+    assert few.count() == 0 and many.count() == 160 and many.where("cls = 99").count() == 0
+    # One join, that of every row with its key's most central class.
+    assert ngram_join._to_central(many)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]
