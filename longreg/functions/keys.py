@@ -57,10 +57,15 @@ def packed(text: Column) -> Column:
         F.concat(F.lit(PLAIN), text).cast("binary"))
 
 
+def is_short(value: Column) -> Column:
+    """Whether a packed text is a UUID in its usual form. Among these, and among the others, the order is that of the texts."""
+    return F.octet_length(value) == KEY_DIGITS // 2
+
+
 def unpacked(value: Column) -> Column:
     """The text that was packed."""
     uuid = F.regexp_replace(F.lower(F.hex(value)), UUID_DIGITS, "$1-$2-$3-$4-$5")
-    return F.when(F.octet_length(value) == KEY_DIGITS // 2, uuid).otherwise(
+    return F.when(is_short(value), uuid).otherwise(
         F.substr(value.cast("string"), F.lit(len(PLAIN) + 1)))
 
 

@@ -7,27 +7,49 @@ import functools
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import as_text, blank_to_null
-from ..functions.keys import key_text
+from ..functions.keys import key_text, packed, unpacked
 from ..sources.tables import stage
 from .dedup import top_per_key
 from .identity import generate_ids
-from .order import newest_first, oldest_first
+from .order import LAST, FirstRow, newest_dates, oldest_first
 from .shape import select_required
-from .skew import HASH, attach_group_values, lookup_join
+from .skew import HASH, attach_group_values, key_filter, lookup_join, rare_join, with_filter
 
 ENTITY_IDS = ["group_id", "site_id"]
+#: The entity and the content of a row, 16 bytes each.
+ENTITY, CONTENT = [HASH, "_f"], ["_c", "_d"]
+#: Columns that travel packed in whole rows.
+PACKED = ["entity_id", "group_id", "site_id", "row_id"]
+
+
+def _entity() -> dict[str, Column]:
+    parts = [as_text(F.col("group_id")), F.lit("|"), as_text(F.col("site_id"))]
+    return {HASH: F.xxhash64(*parts), "_f": F.xxhash64(F.lit(1), *parts), "_row": packed(F.col("row_id"))}
+
+
+def _newest_of() -> FirstRow:
+    return FirstRow(newest_dates(), [F.col("superseded_on")])
+
+
+def _and_mark(first: Column) -> Column:
+    """What is needed of the newest row of an entity."""
+    return F.struct(first["_row"].alias("_row"), first["superseded_on"].alias("superseded_on"))
 
 
 def _with_newest(df: DataFrame) -> DataFrame:
-    """Add the newest row of each (group, site) and whether that row is still active."""
-    keyed = df.withColumns({"_g": as_text(F.col("group_id")), "_s": as_text(F.col("site_id"))})
-    newest = F.min(F.struct(newest_first().alias("order"), F.col("superseded_on"))).alias("_first")
-    found = attach_group_values(keyed, ["_g", "_s"], [newest], spread=["row_id"])
-    return found.withColumn("_newest", F.struct("_first.order.row_id", "_first.superseded_on")).drop("_first")
+    """Add the newest row of each (group, site) and whether that row is still active. The row of an entity
+    that has no other is its newest, so only rows of entities with several are shuffled."""
+    keyed, newest = df.withColumns(_entity()), _newest_of()
+    groups = keyed.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("_rows"), *newest.aggregates)
+    several = groups.where("_rows > 1").select(*ENTITY, "_rows", newest.found().alias("_found"))
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    found = rare_join(keyed, several, ["_f"], "_rows", total, PACKED)
+    own = F.struct("_row", "superseded_on")
+    return found.withColumn("_newest", F.when(F.col("_found").isNull(), own).otherwise(_and_mark(F.col("_found")))).drop("_found", "_f")
 
 
 def _superseded(as_of) -> Column:
-    older = F.col("row_id") != F.col("_newest.row_id")
+    older = F.col("_row") != F.col("_newest._row")
     return F.when(older & F.col("superseded_on").isNull(), F.lit(as_of)).otherwise(F.col("superseded_on"))
 
 
@@ -38,15 +60,14 @@ def _valid() -> Column:
 def supersede(df: DataFrame, as_of) -> DataFrame:
     """Mark all but the newest row of each (group, site) as superseded; earlier marks
     stay. A wave that arrives late is superseded on arrival."""
-    return (_with_newest(df).withColumn("superseded_on", _superseded(as_of))
-            .drop("_newest", "_g", "_s"))
+    return _with_newest(df).withColumn("superseded_on", _superseded(as_of)).drop("_newest", "_row")
 
 
 def check_history(df: DataFrame, as_of) -> DataFrame:
     """Supersede, and add `is_valid`: the entity has exactly one active row and its firm
     number is numeric. After superseding, only the newest row can be active."""
     return (_with_newest(df).withColumn("is_valid", _valid())
-            .withColumn("superseded_on", _superseded(as_of)).drop("_newest", "_g", "_s"))
+            .withColumn("superseded_on", _superseded(as_of)).drop("_newest", "_row"))
 
 
 def split_history(df: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
@@ -88,17 +109,14 @@ def create_backbone(wave: DataFrame, columns: list[str], secret: str, as_of) ->
 FEW = 2_000_000
 #: Rows of a wave up to which its changes are gathered, so that a small layer is not many tiny files.
 SMALL = 100_000
-#: The entity and the content of a row, 16 bytes each.
-ENTITY, CONTENT = ["_e", "_f"], ["_c", "_d"]
 
 
 def _keyed(df: DataFrame, dedupe: list[str]) -> DataFrame:
-    """Add the entity (_e, _f) and the content (_c, _d) as two hashes each, and a hash of the row id (_r).
+    """Add the entity and the content (_c, _d) as two hashes each, the packed row id and a hash of it (_r).
     Which parts are NULL goes into the hash, as hashes skip NULLs."""
     nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in dedupe])
-    entity = [as_text(F.col("group_id")), F.lit("|"), as_text(F.col("site_id"))]
     return df.withColumns({
-        "_e": F.xxhash64(*entity), "_f": F.xxhash64(F.lit(1), *entity), "_r": F.xxhash64("row_id"),
+        **_entity(), "_r": F.xxhash64("row_id"),
         "_c": F.xxhash64(nulls, *dedupe), "_d": F.xxhash64(F.lit(1), nulls, *dedupe)})
 
 
@@ -121,23 +139,30 @@ def _news(wave: DataFrame, known: DataFrame, as_of, few: bool) -> DataFrame:
     files = known.join(F.broadcast(wave.select("file_id").distinct()), "file_id", "left_semi").select(*ENTITY, "file_id").distinct()
     replaced = told.where(F.col("superseded_on") == F.lit(as_of)).join(files, ENTITY).select(*CONTENT, "file_id")
     active = told.where("superseded_on is null").select(*CONTENT)
-    seen = _among(known.select("row_id", "_r"), wave, "_r", few).select("row_id")
-    fresh = wave.select(*ROW, "file_id", *ENTITY, *CONTENT).join(seen, "row_id", "left_anti")
-    return (top_per_key(fresh, CONTENT, survivor_order())
-            .join(active, CONTENT, "left_anti").join(replaced, [*CONTENT, "file_id"], "left_anti"))
+    seen = _among(known.select("_row", "_r"), wave, "_r", few).select("_row")
+    fresh = wave.select("_row", *DATES, *ENTITY, *CONTENT, "file_id").join(seen, "_row", "left_anti")
+    first = FirstRow(_surviving(), [F.col(c) for c in (*DATES, *ENTITY, "file_id")])
+    once = fresh.groupBy(*CONTENT).agg(*first.aggregates).select(*CONTENT, first.found().alias("_one")).select(
+        *CONTENT, *[F.col("_one")[c].alias(c) for c in ("_row", *DATES, *ENTITY, "file_id")])
+    return once.join(active, CONTENT, "left_anti").join(replaced, [*CONTENT, "file_id"], "left_anti")
+
 
+#: What the order of rows is decided by, besides the row id.
+DATES = ["wave_date", "loaded_on", "latest_event_date", "superseded_on"]
 
-#: What the order of rows is decided by.
-ROW = ["row_id", "wave_date", "loaded_on", "latest_event_date", "superseded_on"]
+
+def _surviving() -> dict[str, Column]:
+    """The lead of `survivor_order`, as values of which the least goes first."""
+    last = lambda c: F.coalesce(F.unix_date(F.col(c)), F.lit(LAST))
+    return {"s_wave": last("wave_date"), "s_loaded": last("loaded_on"), "s_superseded": F.col("superseded_on")}
 
 
 def _newest_of_touched(news: DataFrame, again: DataFrame) -> DataFrame:
     """Per entity with a new row, the newest of its new and known rows."""
-    narrow = ["row_id", "wave_date", "latest_event_date", "superseded_on", *ENTITY]
+    narrow, newest = ["_row", "wave_date", "latest_event_date", "superseded_on", *ENTITY], _newest_of()
     both = news.select(*narrow, F.lit(1).alias("_new")).unionByName(again.select(*narrow, F.lit(0).alias("_new")))
-    return (both.withColumn(HASH, F.xxhash64(*ENTITY)).groupBy(HASH, *ENTITY)
-            .agg(F.min(F.struct(newest_first().alias("order"), F.col("superseded_on"))).alias("_first"), F.max("_new").alias("_new"))
-            .where("_new = 1").select(HASH, *ENTITY, F.struct("_first.order.row_id", "_first.superseded_on").alias("_newest")))
+    return (both.groupBy(*ENTITY).agg(*newest.aggregates, F.max("_new").alias("_new"))
+            .where("_new = 1").select(*ENTITY, _and_mark(newest.found()).alias("_newest")))
 
 
 def _checked(as_of) -> dict[str, Column]:
@@ -145,23 +170,34 @@ def _checked(as_of) -> dict[str, Column]:
     return {"superseded_on": _superseded(as_of), "is_valid": _valid()}
 
 
+def _split(known: DataFrame, news: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
+    """(again, passed): known rows that may be of an entity with a new row, and the others. A few entities go to
+    the rows; of many, a filter of fixed size."""
+    if few:
+        touched = F.broadcast(news.select(HASH).distinct())
+        return known.join(touched, HASH, "left_semi"), known.join(touched, HASH, "left_anti")
+    marked = with_filter(known, key_filter(news, HASH), HASH)
+    return marked.where("_may").drop("_may"), marked.where("not _may").drop("_may")
+
+
 def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of, few: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(added, again, passed): the new rows of a wave, checked; the known rows that may be of an entity
     with a new row, with `_newest`, which is NULL if they aren't; and the rest of the known rows.
 
     Everything is decided on narrow rows. Whole rows of the wave are shuffled once, to meet the verdict on
-    them, and known ones once, if the wave is not small."""
+    them, and known ones once, if their entity may be touched. Ids travel packed."""
     news = stage(_news(identified, known, as_of, few).drop("loaded_on", "file_id"), "news")
-    again = _among(known, news, "_e", few)
+    again, passed = _split(known, news, few)
     newest = _newest_of_touched(news, again)
-    verdicts = lookup_join(news.select("row_id", *ENTITY, *CONTENT), newest, ENTITY, spread=["row_id"])
-    key = ["row_id", *CONTENT]
-    whole = identified.select(*columns, *CONTENT).join(verdicts.select(*key, "_newest"), key)
-    added = top_per_key(whole, key, survivor_order())
-    looked = lookup_join(again.select(*columns, "is_valid", *ENTITY), newest, ENTITY, spread=["row_id"])
-    touched = F.broadcast(news.select("_e").distinct())
-    passed = known.join(touched, "_e", "left_anti") if few else known.limit(0)
-    return added, looked, passed
+    verdicts = lookup_join(news.select("_row", *ENTITY, *CONTENT), newest, ["_f"], spread=["_row"])
+    key, slim = ["_row", *CONTENT], [c for c in columns if c in PACKED and c != "row_id"]
+    pack = lambda df, more: df.select(*[packed(F.col(c)).alias(c) if c in slim else F.col(c) for c in columns if c != "row_id"], *more)
+    full = lambda df, more: df.select(*[unpacked(F.col({"row_id": "_row"}.get(c, c))).alias(c) if c in (*slim, "row_id") else F.col(c)
+                                        for c in columns], "_row", "_newest", *more)
+    whole = pack(identified, key).join(verdicts.select(*key, "_newest"), key)
+    added = full(top_per_key(whole, key, survivor_order()[:-1]), [])  # rows of a key have one row id
+    looked = lookup_join(pack(again, ["_row", "is_valid", *ENTITY]), newest, ["_f"], spread=["_row"])
+    return added, full(looked, ["is_valid"]), passed
 
 
 def _with_validity(backbone: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.blank import blank_to_null
 from ..functions.keys import key_digest, key_text, surrogate_id, unpacked
-from .link import IDS, MatchPass, candidates, match_status, set_ids, stacked_hits, with_row
+from .link import IDS, MatchPass, candidates, join_hits, match_status, set_ids, stacked_hits
 from .shape import require
 from .skew import HASH, lookup_join
 
@@ -84,7 +84,7 @@ def identify(df: DataFrame, backbone: DataFrame, secret: str, passes: list[Match
     best = hits.groupBy("_row").agg(
         F.min_by("ids", usable).alias("_link"), F.min(usable).alias("_slot"),
         F.max((F.col("slot") < n) & F.col("ambiguous")).alias("_ambiguous"), *known)
-    joined = with_row(df).join(best, "_row", "left")
+    joined = join_hits(df, best)
     linked = {i: blank_to_null(c) for i, c in set_ids(joined, F.col("_link")).items()}
     ids = _fill(joined, secret, lambda i: unpacked(F.col(f"_k{i}")), linked)
     return joined.select(

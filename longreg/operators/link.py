@@ -7,6 +7,7 @@ one equi join on (pass, key) instead of one join and one window per pass.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import blank, not_blank
 from ..functions.keys import filled_text, key_digest, key_of, key_text, packed, unpacked
-from .order import LAST, newest_date, newest_first
+from .order import LAST, FirstRow, newest_date, newest_first
 from .dedup import top_per_key
 from .shape import require
 from .skew import HASH, lookup_join
@@ -61,64 +62,85 @@ class MatchPass:
         return [b for _, b in self.keys]
 
 
-def _stack(df: DataFrame, passes: list[MatchPass], columns: list[list[str]], usable: list,
+def _alike(passes: list[MatchPass]) -> list[list[int]]:
+    """Passes by number, those together that look up the same key of the same rows: it is sent once for all of them."""
+    groups: dict = {}
+    for i, p in enumerate(passes):
+        groups.setdefault((p.keys, p.allow_blank, p.override or p.needs), []).append(i)
+    return list(groups.values())
+
+
+def _stack(df: DataFrame, blanks: list[bool], columns: list[list[str]], usable: list,
            carry: list[str]) -> DataFrame:
-    """One row per (row, pass) that has a key, with the hash of (slot, key) in front.
+    """One row per (row, slot) that has a key, with the hash of (slot, key) in front.
 
-    The text of each key column is cleaned once per row, whatever the number of passes.
+    The text of each key column is cleaned once per row, whatever the number of slots.
     """
     names = sorted({c for cols in columns for c in cols})
     texts = {c: f"_t{i}" for i, c in enumerate(names)}
     cleaned = df.select(*carry, *[F.expr(filled_text(c)).alias(t) for c, t in texts.items()],
                         *[c.alias(f"_u{i}") for i, c in enumerate(usable)])
     entries = []
-    for i, (p, cols) in enumerate(zip(passes, columns)):
-        key = key_digest(key_of([texts[c] for c in cols], p.allow_blank))
+    for i, (allow_blank, cols) in enumerate(zip(blanks, columns)):
+        key = key_digest(key_of([texts[c] for c in cols], allow_blank))
         entries.append(F.struct(F.lit(i).alias("slot"), F.when(F.col(f"_u{i}"), key).alias("key")))
     return (cleaned.select(*carry, F.explode(F.array(*entries)).alias("_e"))
             .select(*carry, "_e.*").where(F.col("key").isNotNull())
-            .withColumn(HASH, F.xxhash64(*_by(passes))))
+            .withColumn(HASH, F.xxhash64(*_by(columns))))
 
 
-def _by(passes: list[MatchPass]) -> list[str]:
-    """What tells the keys apart: a single pass needs no slot."""
-    return ["slot", "key"] if len(passes) > 1 else ["key"]
+def _by(slots: list) -> list[str]:
+    """What tells the keys apart: a single slot needs no number."""
+    return ["slot", "key"] if len(slots) > 1 else ["key"]
 
 
 def _among(slots: list[int]) -> Column:
     return F.col("slot").isin(slots) if slots else F.lit(False)
 
 
-def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
-    """Best candidate per (slot, key), or per key of a single pass: `ids`, packed, its rank `best`, and whether
-    the key is `ambiguous`. One scan and one pre-aggregated shuffle for all passes, which carries
-    a row id and the ids that are used once each."""
+def _best(backbone: DataFrame, passes: list[MatchPass], groups: list[list[int]]) -> DataFrame:
+    """Per (slot, key), or per key of a single slot, the best candidate of each pass of the slot: for the first
+    pass `ids0`, packed, its rank `best0`, and whether the key is `ambiguous0`. One scan and one pre-aggregated
+    shuffle for all passes, which carries a row id and the ids that are used once each, packed before the passes are stacked."""
     prefer = sorted({c for p in passes for c in p.prefer})
     require(backbone, [*BACKBONE_COLUMNS, *prefer, *[b for p in passes for b in p.backbone_columns]])
 
     usable = [not_blank(backbone, p.needs) & F.col("superseded_on").isNull() if p.active
               else not_blank(backbone, p.needs) for p in passes]
-    slots = lambda test: [i for i, p in enumerate(passes) if test(p)]
-    oldest = _among(slots(lambda p: p.oldest))
-    rank = F.struct(
-        *[F.when(_among(slots(lambda p, c=c: c in p.prefer)), F.col(c)).alias(f"p{i}")
-          for i, c in enumerate(prefer)],
-        F.when(oldest, 0).otherwise(F.col("superseded_on").isNotNull().cast("int")).alias("old"),
-        F.when(oldest, 0).otherwise(newest_date("latest_event_date")).alias("e"),
-        F.when(oldest, F.coalesce(F.unix_date("wave_date"), F.lit(LAST)))
-        .otherwise(newest_date("wave_date")).alias("w"),
-        F.col("row_id"))
-    unique = _among(slots(lambda p: p.unique))
-    # Packed before the passes are stacked, so once per row.
-    rows = backbone.withColumns({f"_p_{c}": packed(F.col(c)) for c in IDS})
-    stacked = _stack(rows, passes, [p.backbone_columns for p in passes], usable,
-                     [*BACKBONE_COLUMNS, *prefer, *[f"_p_{c}" for c in IDS]])
-    taken = F.struct(*[F.when(_among(slots(lambda p, c=c: c in p.takes)), F.col(f"_p_{c}")).alias(c) for c in IDS])
-    told = F.when(unique, F.col("entity_id"))
-    return (stacked.groupBy(HASH, *_by(passes))
-            .agg(F.min(F.struct(rank.alias("rank"), taken.alias("ids"))).alias("_first"), (F.min(told) != F.max(told)).alias("_several"))
-            .select(HASH, *_by(passes), F.col("_first.ids").alias("ids"), F.col("_first.rank").alias("best"),
-                    F.coalesce("_several", F.lit(False)).alias("ambiguous")))
+    rows = with_row(backbone).withColumns({f"_p_{c}": packed(F.col(c)) for c in IDS})
+    flags = {f"_v{i}": c for i, c in enumerate(usable)}
+    firsts = [passes[g[0]] for g in groups]
+    dates = ["latest_event_date", "wave_date", "superseded_on", "entity_id"]
+    stacked = _stack(rows.withColumns(flags), [p.allow_blank for p in firsts], [p.backbone_columns for p in firsts],
+                     [functools.reduce(Column.__or__, [usable[i] for i in g]) for g in groups],
+                     ["_row", *dates, *prefer, *[f"_p_{c}" for c in IDS], *flags])
+    by, made, told = _by(groups), [], []
+    for j in range(max(map(len, groups))):
+        here = {slot: g[j] for slot, g in enumerate(groups) if len(g) > j}
+        slots = lambda test: [slot for slot, i in here.items() if test(passes[i])]  # noqa: B023,E731
+        oldest = _among(slots(lambda p: p.oldest))
+        rank = {
+            **{f"p{i}": F.when(_among(slots(lambda p, c=c: c in p.prefer)), F.col(c)) for i, c in enumerate(prefer)},
+            "old": F.when(oldest, 0).otherwise(F.col("superseded_on").isNotNull().cast("int")),
+            "e": F.when(oldest, 0).otherwise(newest_date("latest_event_date")),
+            "w": F.when(oldest, F.coalesce(F.unix_date("wave_date"), F.lit(LAST))).otherwise(newest_date("wave_date"))}
+        taken = F.struct(*[F.when(_among(slots(lambda p, c=c: c in p.takes)), F.col(f"_p_{c}")).alias(c) for c in IDS]).alias("ids")
+        among = functools.reduce(Column.__or__, [(F.col("slot") == slot) & F.col(f"_v{i}") for slot, i in here.items()])
+        first = FirstRow(rank, [taken], None if len(groups) == len(passes) else among, str(j))
+        entity = F.when(_among(slots(lambda p: p.unique)) & among, F.col("entity_id"))
+        made += [*first.aggregates, (F.min(entity) != F.max(entity)).alias(f"_several{j}")]
+        found = first.found()
+        told += [found["ids"].alias(f"ids{j}"),
+                 F.when(found.isNotNull(), F.struct(*[found[n].alias(n) for n in rank], unpacked(found["_row"]).alias("row_id"))).alias(f"best{j}"),
+                 F.coalesce(f"_several{j}", F.lit(False)).alias(f"ambiguous{j}")]
+    return stacked.groupBy(HASH, *by).agg(*made).select(HASH, *by, *told)
+
+
+def candidates(backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
+    """Best candidate per (slot, key), the slot being the number of the pass, or per key of a single pass:
+    `ids`, packed, its rank `best`, and whether the key is `ambiguous`."""
+    found = _best(backbone, passes, [[i] for i in range(len(passes))])
+    return found.withColumnsRenamed({f"{c}0": c for c in ("ids", "best", "ambiguous")})
 
 
 def with_row(src: DataFrame) -> DataFrame:
@@ -126,13 +148,29 @@ def with_row(src: DataFrame) -> DataFrame:
     return src.withColumn("_row", packed(F.col("row_id")))
 
 
-def stacked_hits(src: DataFrame, backbone: DataFrame, passes: list[MatchPass]) -> DataFrame:
-    """(_row, slot, ids, best, ambiguous) for every pass that finds a candidate; row id and ids are packed."""
+def stacked_hits(src: DataFrame, backbone: DataFrame, passes: list[MatchPass], best: bool = False) -> DataFrame:
+    """(_row, slot, ids, ambiguous) for every pass that finds a candidate, with `best` also its rank; row id and ids
+    are packed, `slot` is the number of the pass."""
     require(src, ["row_id", "entity_id", *[s for p in passes for s in p.source_columns]])
-    usable = [F.lit(True) if p.override else blank(src, p.needs) for p in passes]
-    stacked = _stack(with_row(src), passes, [p.source_columns for p in passes], usable, ["_row"])
-    return (lookup_join(stacked, candidates(backbone, passes), _by(passes), spread=["_row"])
-            .where(F.col("ids").isNotNull()).drop("key"))
+    groups = _alike(passes)
+    firsts = [passes[g[0]] for g in groups]
+    usable = [F.lit(True) if p.override else blank(src, p.needs) for p in firsts]
+    stacked = _stack(with_row(src), [p.allow_blank for p in firsts], [p.source_columns for p in firsts], usable, ["_row"])
+    told, places = ["ids", "ambiguous", *["best"][:best]], range(max(map(len, groups)))
+    right = _best(backbone, passes, groups).select(HASH, *_by(groups), *[f"{c}{j}" for j in places for c in told])
+    met = lookup_join(stacked, right, _by(groups), spread=["_row"])
+    # The number of the pass at each place of a slot; a slot with fewer passes has no ids there.
+    number = lambda j: F.element_at(F.array(*[F.lit(g[j] if len(g) > j else -1) for g in groups]), F.col("slot") + 1)
+    hits = [F.struct(number(j).alias("slot"), *[F.col(f"{c}{j}").alias(c) for c in told]) for j in places]
+    each = met.select("_row", hits[0].alias("_h")) if len(hits) == 1 else met.select("_row", F.explode(F.array(*hits)).alias("_h"))
+    return each.select("_row", "_h.*").where(F.col("ids").isNotNull())
+
+
+def join_hits(src: DataFrame, best: DataFrame) -> DataFrame:
+    """The rows with the columns of `best`, which has one row per `_row`. Ids travel packed, the row id once."""
+    packs = [c for c in IDS if c in src.columns]
+    slim = with_row(src).drop("row_id").withColumns({c: packed(F.col(c)) for c in packs})
+    return slim.join(best, "_row", "left").withColumns({"row_id": unpacked(F.col("_row")), **{c: unpacked(F.col(c)) for c in packs}}).drop("_row")
 
 
 def match_status(df: DataFrame, linked: Column, ambiguous: Column) -> Column:
@@ -157,7 +195,7 @@ def match_cascade(src: DataFrame, backbone: DataFrame, passes: list[MatchPass])
     best = hits.groupBy("_row").agg(F.min_by("ids", usable).alias("_link"),
                                       F.min(usable).alias("_slot"),
                                       F.max("ambiguous").alias("_ambiguous"))
-    joined = with_row(src).join(best, "_row", "left")
+    joined = join_hits(src, best)
     return joined.select(
         *[set_ids(joined, F.col("_link"))[c].alias(c) if c in IDS else F.col(c) for c in src.columns],
         (F.col("_slot") + 1).alias("match_pass"),
@@ -191,12 +229,12 @@ def threshold_match(src: DataFrame, backbone: DataFrame, keys, at_least: int) ->
     if not 1 <= at_least <= n:
         raise ValueError(f"at_least must be between 1 and {n}")
     subsets = [s for size in range(n, at_least - 1, -1) for s in combinations(pairs, size)]
-    hits = stacked_hits(src, backbone, [MatchPass(tuple(s)) for s in subsets])
+    hits = stacked_hits(src, backbone, [MatchPass(tuple(s)) for s in subsets], best=True)
     sizes = F.element_at(F.array(*[F.lit(len(s)) for s in subsets]), F.col("slot") + 1)
     best = (hits.withColumn("_size", sizes).groupBy("_row")
             .agg(F.min_by("ids", F.struct(-F.col("_size"), "best")).alias("_link"),
                  F.max("_size").alias("_size")))
-    joined = with_row(src).join(best, "_row", "left")
+    joined = join_hits(src, best)
     return joined.select(
         *[set_ids(joined, F.col("_link"))[c].alias(c) if c in IDS else F.col(c) for c in src.columns],
         F.col("_size").alias("agreeing"),

@@ -13,12 +13,17 @@ still decide equality.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blank import any_null
+from ..functions.keys import packed, unpacked
 
 PIECES = 1000
 HASH = "_hash"
+#: Bits of a filter, whatever the number of its keys: at most 2**20 words of 64 bits are broadcast.
+FILTER_BITS = 1 << 26
 
 
 def hash_of(keys: list[str]) -> Column:
@@ -71,6 +76,51 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     return joined.select(*left_columns, *[F.when(F.col("_few").isNotNull(), F.col(f"_few.{v}")).otherwise(F.col(v)).alias(v) for v in values])
 
 
+def _word(hashed: Column) -> tuple[Column, Column]:
+    """The word and the bit of a hash in a filter."""
+    at = hashed.bitwiseAND(F.lit(FILTER_BITS - 1))
+    return F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
+
+
+def key_filter(keys: DataFrame, name: str) -> DataFrame:
+    """Words with the bits of the hashes in column `name`. A hash whose bit is not set is surely not among
+    them; one whose bit is set may be. It only saves shuffles, so it need not grow with the keys."""
+    word, bit = _word(F.col(name))
+    return (keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word")
+            .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")))
+
+
+def with_filter(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """Add `_may`: whether the hash in column `name` may be one of the filter `keys`."""
+    word, bit = _word(F.col(name))
+    placed = rows.withColumns({"_at": word, "_bit": bit})
+    found = placed.join(F.broadcast(keys), F.col("_at") == F.col("_word"), "left")
+    may = F.coalesce(F.expr("getbit(_bits, _bit)") == 1, F.lit(False))
+    return found.withColumn("_may", may).drop("_at", "_bit", "_word", "_bits")
+
+
+def rare_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: Column, ids=()) -> DataFrame:
+    """`lookup_join` with a `right` that has few of the keys: left rows whose key is surely not there, or is hot,
+    stay where they are, and only the others are shuffled. `left` and `right` bring the key hash along in
+    `_hash`; `ids` names columns of `left` that travel packed."""
+    left_columns = [c for c in left.columns if c != HASH]
+    values = [c for c in right.columns if c not in (*keys, weight, HASH)]
+    named = lambda df, prefix: [F.col(HASH).alias(f"{prefix}_hash"), *[F.col(k).alias(f"{prefix}_{k}") for k in keys]]
+    on = lambda prefix: [F.col(HASH) == F.col(f"{prefix}_hash"), *[F.col(k) == F.col(f"{prefix}_{k}") for k in keys]]
+    # Names all columns, so that grouped rows are made once for the filter, the hot keys and the join.
+    there = right.where(functools.reduce(Column.__or__, [F.col(v).isNotNull() for v in values], F.col(weight) > 0))
+    known = with_filter(left, key_filter(there, HASH), HASH)
+    hot = right.where(F.ceil(F.col(weight) * pieces(left) / total) > 1)
+    few = F.broadcast(hot.select(*named(hot, "_h"), F.struct(F.lit(True), *values).alias("_few")))
+    known = known.join(few, on("_h"), "left")
+    moves = F.col("_may") & F.col("_few").isNull()
+    stay = known.where(~moves).select(*left_columns, *[F.col(f"_few.{v}").alias(v) for v in values])
+    slim = known.where(moves).select(HASH, *[packed(F.col(c)).alias(c) if c in ids else F.col(c) for c in left_columns])
+    met = slim.join(right.select(*named(right, "_r"), F.col(weight).alias("_r_told"), *values), on("_r"), "left").where(
+        F.col("_r_told").isNull() | (F.col("_r_told") > 0))
+    return stay.unionByName(met.select(*[unpacked(F.col(c)).alias(c) if c in ids else F.col(c) for c in left_columns], *values))
+
+
 def attach_group_values(df: DataFrame, keys: list[str], aggregates: list, spread: list[str]) -> DataFrame:
     """Add per-group aggregates to every row, like a window over the whole group but
     pre-aggregated before the shuffle, so no group is ever gathered in one task."""

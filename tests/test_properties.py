@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx, naive
 from longreg.functions import keys
-from longreg.operators import clean, dedup, history, identity, link, profile, release, skew
+from longreg.operators import clean, dedup, history, identity, link, order, profile, release, skew
 from longreg.plans.standardise import standardise
 from longreg.sources.tables import stage
 
@@ -261,6 +261,41 @@ def test_grouped_lookup_rows_are_not_shuffled_again(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+@pytest.mark.parametrize("share", [10, 100_000])
+def test_rows_without_a_lookup_row_are_not_shuffled(spark, monkeypatch, bits, share):
+    """Whatever the filter lets through and whichever keys are hot, the result is that of a left join."""
+    monkeypatch.setattr(skew, "FILTER_BITS", bits)
+    monkeypatch.setattr(skew, "PIECES", share)
+    rows = spark.range(2000).select(F.concat(F.lit("r"), "id").alias("row_id"), F.when(F.col("id") % 4 == 0, 7).otherwise(F.col("id")).alias("k"))
+    left = stage(rows.withColumn(skew.HASH, F.xxhash64("k")), "rare-left")
+    right = rows.where("k < 20").groupBy(F.xxhash64("k").alias(skew.HASH), "k").agg(F.count("*").alias("_rows"), F.max("row_id").alias("v"))
+    out = skew.rare_join(left, right, ["k"], "_rows", F.lit(2000), ["row_id"])
+    plain = rows.join(right.select("k", "v"), "k", "left").select(*out.columns)
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    moved = skew.with_filter(left, skew.key_filter(right, skew.HASH), skew.HASH).where("_may")
+    assert bits == 64 or moved.count() == rows.where("k < 20").count()
+
+
+def test_the_first_row_is_the_first_by_text_whatever_the_form_of_ids(spark):
+    short, texts = "3f8f4c1e-1a55-4f5e-9d0a-3f6f0f3c000", ["", "3", "4", "3F8f", "zz", "3f8f4c1e", "3f8f4c1e-1a55-4f5e-9d0a-3f6f0f3c0009x"]
+    rows = spark.createDataFrame([(g, i) for g, pair in enumerate([[short + "1", t] for t in texts] + [[short + "2", short + "1"], texts])
+                                  for i in pair], "g int, row_id string").withColumn("_row", keys.packed(F.col("row_id")))
+    first = order.FirstRow({"lead": F.lit(1)}, [F.col("row_id")])
+    found = rows.groupBy("g").agg(*first.aggregates, F.min("row_id").alias("least")).select("least", first.found()["row_id"].alias("found"))
+    assert found.count() == len(texts) + 2 and found.where("least <> found").count() == 0
+
+
+def test_passes_with_one_key_send_it_once(spark):
+    src, bb = fx.wave(spark, SF, fx.WAVE_2), fx.backbone(spark, SF)
+    passes = [*fx.PASSES_2, *[p for _, _, p in identity.CROSSWALK]]
+    assert link._alike(passes) == [[0, 4], [1], [2], [3], [5, 6]]
+    together, apart = [stage(link.stacked_hits(src, bb, part), "hits") for part in (passes, passes[:4])]
+    assert content(together.where("slot < 4"), *apart.columns) == content(apart, *apart.columns)
+    alone = stage(link.stacked_hits(src, bb, passes[6:]), "hits").withColumn("slot", F.lit(6))
+    assert content(together.where("slot = 6"), *apart.columns) == content(alone, *apart.columns) and alone.count() > 0
+
+
 def test_ids_and_keys_are_packed_on_the_way(spark):
     texts = ["0f8f4c1e-1a55-4f5e-9d0a-3f6f0f3c0001", "0F8F4C1E-1a55-4f5e-9d0a-3f6f0f3c0001", "e1", "", " ", "sixteen letters!",
              "0f8f4c1e1a554f5e9d0a3f6f0f3c0001", "Łódź", "-" * 17, None]

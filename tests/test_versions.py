@@ -98,6 +98,17 @@ def test_a_small_wave_costs_the_same_on_a_long_history(spark, tmp_path):
     assert cost[8][1] * 4 < folder_bytes(tmp_path / "8" / "rows")
 
 
+def test_entities_of_one_row_are_not_shuffled_whole(spark):
+    """Only rows of an entity with others have to learn which of them is the newest."""
+    text = F.concat(*[F.sha2(F.concat(F.lit(str(i)), F.col("id").cast("string")), 512) for i in range(8)])
+    rows = stage(frame(spark, {"case_id": "1"}).drop("row_id", "group_id", "city").crossJoin(spark.range(1000)).withColumns(
+        {"row_id": F.concat(F.lit("r"), "id"), "group_id": F.concat(F.lit("g"), F.col("id") % 990), "city": text}).drop("id"), "singles")
+    before = shuffled(spark)
+    out = stage(history.check_history(rows, AS_OF), "checked")
+    assert shuffled(spark) - before < 200_000  # the texts are a million characters
+    assert out.count() == 1000 and out.where("superseded_on is not null").count() == 10 and out.where("is_valid").count() == 1000
+
+
 def test_layers_are_merged_when_they_pile_up(spark, tmp_path):
     base = frame(spark, *[{"row_id": f"r{i}", "group_id": f"g{i}", "case_id": str(i), "name": "a"} for i in range(8)])
     version = versions.commit_base(history.check_history(base, D(2024, 1, 2)), str(tmp_path), "0")
@@ -117,6 +128,45 @@ def test_layers_are_merged_when_they_pile_up(spark, tmp_path):
         versions.read_rows(spark, str(tmp_path / "elsewhere"))
 
 
+def test_a_layer_has_marks_only_of_known_rows(spark, tmp_path):
+    ids = {"case_id": "1", "establishment_id": "2", "entity_id": "e", "site_id": "s"}
+    base = frame(spark, *[{**ids, "row_id": f"r{i}", "group_id": f"g{i}", "name": "a" * i} for i in range(20)])
+    first = versions.commit_base(history.check_history(base, D(2024, 1, 2)), str(tmp_path), "0")
+    wave = frame(spark, {**ids, "row_id": "n", "group_id": "g3", "name": "other", "wave_date": D(2024, 5, 1)})
+    state = versions.read_rows(spark, first)
+    new = stage(changes(wave, state), "new")
+    assert by_row(new, "name", "is_new") == {"n": ("other", True), "r3": ("aaa", False)}
+    second = versions.commit_changes(new, first, "1")
+    layer = versions._layers(spark, second)[1]["layer"]
+    stored = spark.read.parquet(f"{tmp_path}/rows/layer={layer}")
+    assert by_row(stored.where("not is_new"), "name", "group_id", "case_id", "superseded_on", "is_valid") == {
+        "r3": (None, None, None, D(2024, 6, 1), True)}
+    assert rows_of(versions.read_rows(spark, second)) == rows_of(history.with_changes(state, new))
+    # The newest mark counts, also that of a row which a layer added.
+    wave = frame(spark, {**ids, "row_id": "m", "group_id": "g3", "name": "third", "wave_date": D(2024, 7, 1)})
+    third = versions.commit_changes(changes(wave, versions.read_rows(spark, second), D(2024, 8, 1)), second, "2")
+    assert len(versions._layers(spark, third)) == 3
+    assert by_row(versions.read_rows(spark, third).where("group_id = 'g3'"), "superseded_on", "name") == {
+        "r3": (D(2024, 6, 1), "aaa"), "n": (D(2024, 8, 1), "other"), "m": (None, "third")}
+
+
+def test_layers_with_whole_changed_rows_can_be_read(spark, tmp_path):
+    """As earlier versions of this code have stored them."""
+    row = {"case_id": "1", "group_id": "g", "name": "a"}
+    base = history.check_history(frame(spark, {**row, "row_id": "a"}, {"row_id": "b", "group_id": "h", "case_id": "2"}), D(2024, 1, 2))
+    first = versions.commit_base(base, str(tmp_path), "0")
+    later = base.where("row_id = 'a'").withColumns({"superseded_on": F.lit(D(2024, 6, 1)), "name": F.lit("changed")})
+    layer, n, _ = versions._write_layer(later, str(tmp_path))
+    layers = [(r["layer"], r["rows"]) for r in versions._layers(spark, first)]
+    second = versions._name(spark, str(tmp_path), 1, [*layers, (layer, n)], 2, "1")
+    assert by_row(versions.read_rows(spark, second), "superseded_on", "name") == {"a": (D(2024, 6, 1), "changed"), "b": (None, None)}
+    marks = later.select(*[F.lit(D(2024, 7, 1)).alias(c) if c == "superseded_on" else c for c in later.columns], F.lit(False).alias("is_new"))
+    layer, m, _ = versions._write_layer(marks, str(tmp_path))
+    layers = [(r["layer"], r["rows"]) for r in versions._layers(spark, second)]
+    third = versions._name(spark, str(tmp_path), 2, [*layers, (layer, m)], 2, "2")
+    assert by_row(versions.read_rows(spark, third), "superseded_on", "name") == {"a": (D(2024, 7, 1), "changed"), "b": (None, None)}
+
+
 def test_a_batch_is_committed_once(spark, tmp_path):
     base = history.check_history(frame(spark, {"row_id": "a", "group_id": "g", "case_id": "1"}), D(2024, 1, 2))
     first = versions.commit_base(base, str(tmp_path), "b")
