@@ -107,7 +107,7 @@ def register(spark: SparkSession, sf: str) -> DataFrame:
     sql = REGISTER_SQL.format(date_format="date_format(o.o_orderdate,'yyyyMMdd')",
                               **{n: "{" + n + "}" for n in names})
     tables = {n: table(spark, sf, n) for n in names}
-    tables["orders"] = tables["orders"].repartition(spark.sparkContext.defaultParallelism)
+    tables["orders"] = tables["orders"].repartition("o_custkey")  # as a join with many customers needs them
     return spark.sql(sql, **tables)
 
 

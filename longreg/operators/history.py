@@ -36,6 +36,12 @@ def _and_mark(first: Column) -> Column:
     return F.struct(first["_row"].alias("_row"), first["superseded_on"].alias("superseded_on"))
 
 
+def _or_own(found: DataFrame) -> DataFrame:
+    """Rows with the newest row of their entity, which is the row itself where the entity has no other."""
+    own = F.struct("_row", "superseded_on")
+    return found.withColumn("_newest", F.when(F.col("_found").isNull(), own).otherwise(_and_mark(F.col("_found")))).drop("_found")
+
+
 def _with_newest(df: DataFrame) -> DataFrame:
     """Add the newest row of each (group, site) and whether that row is still active. The row of an entity
     that has no other is its newest, so only rows of entities with several are shuffled."""
@@ -44,8 +50,7 @@ def _with_newest(df: DataFrame) -> DataFrame:
     several = groups.where("_rows > 1").select(*ENTITY, "_rows", newest.found().alias("_found"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     found = rare_join(keyed, several, ["_f"], "_rows", total, PACKED)
-    own = F.struct("_row", "superseded_on")
-    return found.withColumn("_newest", F.when(F.col("_found").isNull(), own).otherwise(_and_mark(F.col("_found")))).drop("_found", "_f")
+    return _or_own(found).drop("_f")
 
 
 def _superseded(as_of) -> Column:
@@ -158,11 +163,11 @@ def _surviving() -> dict[str, Column]:
 
 
 def _newest_of_touched(news: DataFrame, again: DataFrame) -> DataFrame:
-    """Per entity with a new row, the newest of its new and known rows."""
+    """Per entity with a new row and others, the newest of its new and known rows, and how many are new."""
     narrow, newest = ["_row", "wave_date", "latest_event_date", "superseded_on", *ENTITY], _newest_of()
     both = news.select(*narrow, F.lit(1).alias("_new")).unionByName(again.select(*narrow, F.lit(0).alias("_new")))
-    return (both.groupBy(*ENTITY).agg(*newest.aggregates, F.max("_new").alias("_new"))
-            .where("_new = 1").select(*ENTITY, _and_mark(newest.found()).alias("_newest")))
+    return (both.groupBy(*ENTITY).agg(*newest.aggregates, F.sum("_new").alias("_rows"), F.count(F.lit(1)).alias("_all"))
+            .where("_rows > 0 and _all > 1").select(*ENTITY, "_rows", newest.found().alias("_found")))
 
 
 def _checked(as_of) -> dict[str, Column]:
@@ -180,23 +185,50 @@ def _split(known: DataFrame, news: DataFrame, few: bool) -> tuple[DataFrame, Dat
     return marked.where("_may").drop("_may"), marked.where("not _may").drop("_may")
 
 
-def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of, few: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(added, again, passed): the new rows of a wave, checked; the known rows that may be of an entity
+def _doubtful(wave: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """A filter of the row ids of a wave that need a look: all but those of one row that is new, the newest of its
+    entity, and active. Of the others the verdict is known without one."""
+    plain = verdicts.where((F.col("_newest._row") == F.col("_row")) & F.col("_newest.superseded_on").isNull())
+    each = wave.select("_row", F.lit(0).alias("_plain")).unionByName(plain.select("_row", F.lit(1).alias("_plain")))
+    odd = each.groupBy("_row").agg(F.count(F.lit(1)).alias("_n"), F.sum("_plain").alias("_plain")).where("_row is null or _plain <> 1 or _n <> 2")
+    return key_filter(odd.select(F.xxhash64("_row").alias("_id")), "_id")
+
+
+def _among_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    return with_filter(rows.withColumn("_id", F.xxhash64("_row")), ids, "_id").drop("_id")
+
+
+def _touched(identified: DataFrame, known: DataFrame, columns: list[str], as_of, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(added, again, passed): the new rows of a wave of `size` rows, checked; the known rows that may be of an entity
     with a new row, with `_newest`, which is NULL if they aren't; and the rest of the known rows.
 
-    Everything is decided on narrow rows. Whole rows of the wave are shuffled once, to meet the verdict on
-    them, and known ones once, if their entity may be touched. Ids travel packed."""
+    Everything is decided on narrow rows. Whole rows of the wave are shuffled once at most, to meet the verdict on
+    them: of a wave with little news those that may be new, of one with much those that may be anything but new, newest
+    and active. Known ones are shuffled once, if their entity may be touched. Ids travel packed."""
+    few = size <= FEW
     news = stage(_news(identified, known, as_of, few).drop("loaded_on", "file_id"), "news")
     again, passed = _split(known, news, few)
     newest = _newest_of_touched(news, again)
-    verdicts = lookup_join(news.select("_row", *ENTITY, *CONTENT), newest, ["_f"], spread=["_row"])
+    own, found = news.select("_row", "superseded_on", *ENTITY, *CONTENT), news.count()
     key, slim = ["_row", *CONTENT], [c for c in columns if c in PACKED and c != "row_id"]
     pack = lambda df, more: df.select(*[packed(F.col(c)).alias(c) if c in slim else F.col(c) for c in columns if c != "row_id"], *more)
-    full = lambda df, more: df.select(*[unpacked(F.col({"row_id": "_row"}.get(c, c))).alias(c) if c in (*slim, "row_id") else F.col(c)
-                                        for c in columns], "_row", "_newest", *more)
-    whole = pack(identified, key).join(verdicts.select(*key, "_newest"), key)
-    added = full(top_per_key(whole, key, survivor_order()[:-1]), [])  # rows of a key have one row id
-    looked = lookup_join(pack(again, ["_row", "is_valid", *ENTITY]), newest, ["_f"], spread=["_row"])
+    full = lambda df, more=(): df.select(*[unpacked(F.col({"row_id": "_row"}.get(c, c))).alias(c) if c in (*slim, "row_id") else F.col(c)
+                                           for c in columns], "_row", "_newest", *more)
+    # Rows of a key have one row id.
+    met = lambda rows, verdicts: full(top_per_key(pack(rows, key).join(verdicts.select(*key, "_newest"), key), key, survivor_order()[:-1]))
+    if few:
+        added = met(identified, _or_own(lookup_join(own, newest.drop("_rows"), ["_f"], spread=["_row"])))
+    else:
+        verdicts = lambda rows: _or_own(rare_join(rows, newest, ["_f"], "_rows", F.lit(max(found, 1))))
+        much = 2 * found > size
+        ids = _doubtful(identified, verdicts(own)) if much else key_filter(news.select(F.xxhash64("_row").alias("_id")), "_id")
+        marked, look = _among_ids(identified, ids), _among_ids(own, ids).where("_may").drop("_may")
+        added = met(marked.where("_may"), verdicts(look))
+        if much:
+            sure = marked.where("not _may").withColumn("_newest", F.struct("_row", "superseded_on"))
+            added = added.unionByName(sure.select(*columns, "_row", "_newest"))
+    marks = newest.select(*ENTITY, _and_mark(F.col("_found")).alias("_newest"))
+    looked = lookup_join(pack(again, ["_row", "is_valid", *ENTITY]), marks, ["_f"], spread=["_row"])
     return added, full(looked, ["is_valid"]), passed
 
 
@@ -221,7 +253,7 @@ def backbone_changes(identified: DataFrame, backbone: DataFrame, columns: list[s
     """
     known = _keyed(_with_validity(backbone), dedupe)
     wave, size = _keyed(select_required(identified, columns), dedupe), identified.count()
-    added, again, _ = _touched(wave, known, columns, as_of, size <= FEW)
+    added, again, _ = _touched(wave, known, columns, as_of, size)
     other = ~F.col("superseded_on").eqNullSafe(_superseded(as_of)) | (F.col("is_valid") != _valid())
     changed = again.where(F.col("_newest").isNotNull() & other)
     marked = lambda df, new: df.withColumns(_checked(as_of)).select(*columns, "is_valid", F.lit(new).alias("is_new"))
@@ -241,7 +273,7 @@ def update_backbone(identified: DataFrame, backbone: DataFrame, columns: list[st
     valid rows, or all rows with `is_valid`. Entities that the wave does not touch pass as they are."""
     known = _keyed(select_required(_with_validity(backbone), [*columns, "is_valid"]), dedupe)
     wave = _keyed(select_required(identified, columns), dedupe)
-    added, again, passed = _touched(wave, known, columns, as_of, identified.count() <= FEW)
+    added, again, passed = _touched(wave, known, columns, as_of, identified.count())
     marks = {c: F.when(F.col("_newest").isNull(), F.col(c)).otherwise(made) for c, made in _checked(as_of).items()}
     parts = [added.withColumns(_checked(as_of)), again.withColumns(marks), passed]
     return functools.reduce(DataFrame.unionByName, [p.select(*columns, "is_valid") for p in parts])

@@ -78,7 +78,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
 
 def _word(hashed: Column) -> tuple[Column, Column]:
     """The word and the bit of a hash in a filter."""
-    at = hashed.bitwiseAND(F.lit(FILTER_BITS - 1))
+    at = F.coalesce(hashed, F.lit(0)).bitwiseAND(F.lit(FILTER_BITS - 1))
     return F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
 
 
@@ -107,8 +107,9 @@ def rare_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, t
     values = [c for c in right.columns if c not in (*keys, weight, HASH)]
     named = lambda df, prefix: [F.col(HASH).alias(f"{prefix}_hash"), *[F.col(k).alias(f"{prefix}_{k}") for k in keys]]
     on = lambda prefix: [F.col(HASH) == F.col(f"{prefix}_hash"), *[F.col(k) == F.col(f"{prefix}_{k}") for k in keys]]
-    # Names all columns, so that grouped rows are made once for the filter, the hot keys and the join.
-    there = right.where(functools.reduce(Column.__or__, [F.col(v).isNotNull() for v in values], F.col(weight) > 0))
+    # Names all columns, and keeps the keys that the joins keep, so that grouped rows are made once for all of them.
+    there = right.where(functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in (HASH, *keys)]) & functools.reduce(
+        Column.__or__, [F.col(v).isNotNull() for v in values], F.col(weight) > 0))
     known = with_filter(left, key_filter(there, HASH), HASH)
     hot = right.where(F.ceil(F.col(weight) * pieces(left) / total) > 1)
     few = F.broadcast(hot.select(*named(hot, "_h"), F.struct(F.lit(True), *values).alias("_few")))

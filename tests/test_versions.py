@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from longreg.operators import history, identity
+from longreg.operators import history, identity, skew
 from longreg.plans import jobs
 from longreg.sources import versions
 from longreg.sources.bronze import landed_file, landed_rows, land_bronze, read_manifest
@@ -109,6 +109,55 @@ def test_entities_of_one_row_are_not_shuffled_whole(spark):
     assert out.count() == 1000 and out.where("superseded_on is not null").count() == 10 and out.where("is_valid").count() == 1000
 
 
+def test_new_rows_that_are_sure_are_not_shuffled_whole(spark, monkeypatch):
+    """Of a large wave with much news only rows that may be anything but new, newest and active meet a verdict; of one
+    with little news, only those that may be new."""
+    monkeypatch.setattr(history, "FEW", 0)
+    monkeypatch.setattr(history, "SMALL", 0)
+    text = F.concat(*[F.sha2(F.concat(F.lit(str(i)), F.col("id").cast("string")), 512) for i in range(8)])
+    rows = frame(spark, {"case_id": "1"}).drop("row_id", "group_id", "city", "name").crossJoin(spark.range(1000)).withColumns(
+        {"row_id": F.concat(F.lit("r"), "id"), "group_id": F.concat(F.lit("g"), F.col("id") % 990), "name": F.concat(F.lit("n"), "id"),
+         "city": text}).drop("id").select(*COLUMNS)
+    wave = stage(rows, "large-wave")
+    state = stage(history.check_history(rows.where("group_id < 'g2'").withColumn("row_id", F.concat(F.lit("k"), "row_id")), D(2024, 1, 2)), "state")
+    assert state.count() == 114
+    before = shuffled(spark)
+    new = stage(changes(wave, state), "new")
+    assert shuffled(spark) - before < 600_000  # the texts are a million characters
+    assert new.where("is_new").count() == 1000 - 114 + state.where("superseded_on is not null").count()
+    after = stage(history.with_changes(state, new), "after")
+    more = stage(wave.unionByName(wave.limit(1).withColumns({"row_id": F.lit("z"), "group_id": F.lit("z"), "name": F.lit("z")})), "more")
+    before = shuffled(spark)
+    assert by_row(stage(changes(more, after, D(2024, 7, 1)), "new"), "is_new", "is_valid") == {"z": (True, True)}
+    assert shuffled(spark) - before < 600_000
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+@pytest.mark.parametrize("news", [0, 40])
+def test_odd_rows_of_a_wave_do_not_depend_on_its_size(spark, monkeypatch, bits, news):
+    """Row ids that are NULL or occur again, superseded rows, content twice or known: the same in a small wave and in a
+    large one, with little and with much news."""
+    monkeypatch.setattr(skew, "FILTER_BITS", bits)
+    ids = lambda g, name, **more: {"case_id": str(g), "establishment_id": "2", "group_id": f"g{g}", "site_id": "s", "name": name, **more}
+    known = [ids(i, "a", row_id=f"k{i}") for i in range(20)] + [ids(3, "b", row_id="k3b", superseded_on=D(2024, 1, 1)),
+                                                                {"row_id": "k-none", "case_id": "X", "name": "q"}]
+    late = {"wave_date": D(2024, 5, 1), "file_id": "f2"}
+    wave = [ids(1, "a", row_id="w1"), ids(2, "new", row_id="w2"), ids(2, "newer", row_id="w2x", latest_event_date=D(2024, 4, 1)),
+            ids(4, "x", row_id="dup"), ids(5, "y", row_id="dup"), ids(6, "x", row_id="same"), ids(6, "x", row_id="same"),
+            ids(7, "x", row_id="c1"), ids(7, "x", row_id="c2"), ids(8, "x", row_id=None), ids(9, "gone", row_id="w9", superseded_on=D(2024, 5, 2)),
+            ids(10, "a", row_id="k10"), ids(30, "x", row_id="w30"), ids(31, "x", row_id="0f8f4c1e-1a55-4f5e-9d0a-3f6f0f3c0001"),
+            ids(31, "y", row_id="0f8"), ids("Z", "x", row_id="wz"), *[ids(100 + i, "x", row_id=f"n{i}") for i in range(news)],
+            *[ids(i, "a", row_id=f"old{i}") for i in range(11, 20) if not news]]
+    state = stage(history.check_history(frame(spark, *known), D(2024, 1, 2)), "state")
+    rows = stage(frame(spark, *[{**w, **late} for w in wave]), "odd-wave")
+    made = {}
+    for few in (history.FEW, 0):
+        monkeypatch.setattr(history, "FEW", few)
+        made[few] = rows_of(changes(rows, state)), rows_of(history.update_backbone(rows, state, COLUMNS, DEDUPE, D(2024, 6, 1)))
+    small, large = made.values()
+    assert small == large and len(small[0]) > news
+
+
 def test_layers_are_merged_when_they_pile_up(spark, tmp_path):
     base = frame(spark, *[{"row_id": f"r{i}", "group_id": f"g{i}", "case_id": str(i), "name": "a"} for i in range(8)])
     version = versions.commit_base(history.check_history(base, D(2024, 1, 2)), str(tmp_path), "0")
@@ -139,7 +188,7 @@ def test_a_layer_has_marks_only_of_known_rows(spark, tmp_path):
     second = versions.commit_changes(new, first, "1")
     layer = versions._layers(spark, second)[1]["layer"]
     stored = spark.read.parquet(f"{tmp_path}/rows/layer={layer}")
-    assert by_row(stored.where("not is_new"), "name", "group_id", "case_id", "superseded_on", "is_valid") == {
+    assert by_row(stored.where("part = 'marked'"), "name", "group_id", "case_id", "superseded_on", "is_valid") == {
         "r3": (None, None, None, D(2024, 6, 1), True)}
     assert rows_of(versions.read_rows(spark, second)) == rows_of(history.with_changes(state, new))
     # The newest mark counts, also that of a row which a layer added.
@@ -150,6 +199,25 @@ def test_a_layer_has_marks_only_of_known_rows(spark, tmp_path):
         "r3": (D(2024, 6, 1), "aaa"), "n": (D(2024, 8, 1), "other"), "m": (None, "third")}
 
 
+def test_a_new_base_does_not_write_added_rows_again(spark, tmp_path):
+    ids = {"case_id": "1", "entity_id": "e", "site_id": "s"}
+    base = frame(spark, *[{**ids, "row_id": f"r{i}", "group_id": f"g{i}", "name": "a"} for i in range(3)])
+    first = versions.commit_base(history.check_history(base, D(2024, 1, 2)), str(tmp_path), "0")
+    wave = frame(spark, *[{**ids, "row_id": f"n{i}", "group_id": f"g{i}", "name": f"b{i}", "wave_date": D(2024, 5, 1)} for i in range(1, 9)])
+    state = versions.read_rows(spark, first)
+    new = stage(changes(wave, state), "new")
+    second = versions.commit_changes(new, first, "1")
+    assert [r["rows"] for r in versions._layers(spark, second)] == [11] and versions.total_rows(spark, second) == 11
+    stored = spark.read.parquet(f"{tmp_path}/rows/layer={versions._layers(spark, second)[0]['layer']}")
+    assert stored.where("row_id like 'n%'").count() == 8
+    assert rows_of(versions.read_rows(spark, second)) == rows_of(history.with_changes(state, new))
+    assert versions.read_rows(spark, first).where("superseded_on is null").count() == 3  # the former version stays
+    wave = frame(spark, {**ids, "row_id": "z", "group_id": "g8", "name": "c", "wave_date": D(2024, 7, 1)})
+    third = versions.commit_changes(changes(wave, versions.read_rows(spark, second), D(2024, 8, 1)), second, "2")
+    assert [r["rows"] for r in versions._layers(spark, third)] == [11, 2]
+    assert by_row(versions.read_rows(spark, third).where("group_id = 'g8'"), "superseded_on") == {"n8": D(2024, 8, 1), "z": None}
+
+
 def test_layers_with_whole_changed_rows_can_be_read(spark, tmp_path):
     """As earlier versions of this code have stored them."""
     row = {"case_id": "1", "group_id": "g", "name": "a"}
