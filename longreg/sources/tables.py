@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -20,6 +21,24 @@ def _same(a: str, b: str) -> bool:
     return clean(a) == clean(b)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def releasing_shuffles(spark: SparkSession):
+    """Shuffle files of a write are removed when it ends, and not when the driver next collects its garbage, so the
+    disk holds those of one step at a time. Nobody reads them again: the result is the table."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists",
                 reads=()) -> int:
     """Write in parallel, partitioned by columns; returns the rows written, counted by
@@ -32,7 +51,8 @@ def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "errorife
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by)
     if mode == "replace":
         writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
-    writer.mode(mode).parquet(path)
+    with releasing_shuffles(df.sparkSession):
+        writer.mode(mode).parquet(path)
     return seen.get["rows"]
 
 
@@ -65,5 +85,6 @@ def stage(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4()}")
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    with releasing_shuffles(spark):
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

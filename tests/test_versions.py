@@ -1,12 +1,14 @@
 """Stored versions: what a wave costs, what stays in the chain, and what a dead run leaves behind."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from longreg.operators import history, identity, skew
 from longreg.plans import jobs
-from longreg.sources import versions
+from longreg.sources import tables, versions
 from longreg.sources.bronze import landed_file, landed_rows, land_bronze, read_manifest
 from longreg.sources.tables import scan_table, stage
 from longreg.specs import register
@@ -158,6 +160,21 @@ def test_odd_rows_of_a_wave_do_not_depend_on_its_size(spark, monkeypatch, bits,
     assert small == large and len(small[0]) > news
 
 
+def test_shuffle_files_of_a_step_are_removed_when_it_ends(spark, tmp_path):
+    """Also if the plan of an earlier write is still held; the caller's setting stays."""
+    root = next(p for p in map(pathlib.Path, spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+                if p.exists())
+    files = lambda: {p for p in root.rglob("shuffle_*.data")}
+    before, asked = files(), spark.conf.get(tables.CLEANUP, None)
+    rows = spark.range(20_000).groupBy((F.col("id") % 7000).alias("k")).count()
+    assert stage(rows, "grouped").count() == 7000
+    versions.commit_base(history.check_history(frame(spark, {"row_id": "a", "group_id": "g", "case_id": "1"}), D(2024, 1, 2)), str(tmp_path / "v"), "b")
+    assert tables.write_table(rows, str(tmp_path / "t")) == 7000
+    assert not [p for p in files() - before if p.stat().st_size > 10_000]
+    assert spark.conf.get(tables.CLEANUP, None) == asked
+    assert rows.count() == 7000 == len(rows.collect()) == len(rows.collect())
+
+
 def test_layers_are_merged_when_they_pile_up(spark, tmp_path):
     base = frame(spark, *[{"row_id": f"r{i}", "group_id": f"g{i}", "case_id": str(i), "name": "a"} for i in range(8)])
     version = versions.commit_base(history.check_history(base, D(2024, 1, 2)), str(tmp_path), "0")
